@@ -1,0 +1,164 @@
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import line
+from triprollup.operators.decode import decode_trips
+from triprollup.plans import reports
+from triprollup.schemas import GROUP_KEYS, PARTITION, STAMP
+from triprollup.sources.messages import line_stream
+from triprollup.sources.tables import raw_table, reject_table, rollup_table
+from triprollup.streaming import ingest
+
+LINES = [
+    line(vendor_id=str(i % 3), payment_type=str(i % 4), total_amount=f"{i / 100:.2f}")
+    for i in range(1, 101)
+]
+
+
+@pytest.fixture
+def paths(tmp_path):
+    names = ("feed", "raw", "rollup", "checkpoint", "rejects")
+    made = {name: str(tmp_path / name) for name in names}
+    (tmp_path / "feed").mkdir()
+    return made
+
+
+def _feed(paths, name, texts):
+    with open(f"{paths['feed']}/{name}.txt", "w") as out:
+        out.write("".join(f"{t}\n" for t in texts))
+
+
+def _run(spark, paths, **options):
+    ingest.run_ingest(
+        line_stream(spark, paths["feed"], maxFilesPerTrigger=1),
+        paths["raw"], paths["rollup"], paths["checkpoint"], decimals=2, **options,
+    )
+
+
+def _stamps(table):
+    return sorted(r[0] for r in table.select(PARTITION).distinct().collect())
+
+
+def _check_whole(spark, paths, lines_of, texts=LINES):
+    raw, rollup = raw_table(spark, paths["raw"]), rollup_table(spark, paths["rollup"])
+    direct = reports.report_raw(decode_trips(lines_of(*texts)), 2).collect()
+    assert reports.report_raw(raw, 2).collect() == direct
+    assert reports.report_rollup(rollup, 2).collect() == direct
+    assert raw.filter(F.unix_millis(STAMP) != F.col(PARTITION)).count() == 0
+    assert rollup.filter(F.unix_millis(STAMP) != F.col(PARTITION)).count() == 0
+    assert _stamps(raw) == _stamps(rollup)
+    assert raw.select(STAMP).distinct().count() == len(_stamps(raw))
+    assert rollup.groupBy(STAMP, *GROUP_KEYS).count().filter("count > 1").count() == 0
+
+
+def test_stream_equals_batch_over_several_micro_batches(spark, paths, lines_of):
+    for part in range(3):
+        _feed(paths, f"part{part}", LINES[part::3])
+    _run(spark, paths)
+    assert len(_stamps(raw_table(spark, paths["raw"]))) == 3
+    _check_whole(spark, paths, lines_of)
+
+
+def test_restart_takes_only_new_files(spark, paths, lines_of):
+    _feed(paths, "a", LINES[:60])
+    _run(spark, paths)
+    _feed(paths, "b", LINES[60:])
+    _run(spark, paths)
+    _run(spark, paths)
+    assert len(_stamps(raw_table(spark, paths["raw"]))) == 2
+    _check_whole(spark, paths, lines_of)
+
+
+@pytest.mark.parametrize("moment", ["before the rollup", "within the rollup", "after it"])
+def test_crash_between_the_writes(spark, paths, lines_of, monkeypatch, moment):
+    for part in range(3):
+        _feed(paths, f"part{part}", LINES[part::3])
+    whole, seen = ingest.roll_up_batch, []
+
+    def crash_once(session, raw, rollup, batch_ms, decimals):
+        seen.append(batch_ms)
+        fails = len(seen) == 2
+        if not fails or moment == "after it":
+            whole(session, raw, rollup, batch_ms, decimals)
+        if fails and moment == "within the rollup":
+            whole(session, raw, rollup, batch_ms, decimals)
+            spark.range(1).write.mode("append").parquet(
+                f"{rollup}/{PARTITION}={batch_ms}/_temporary/0"
+            )
+        if fails:
+            raise RuntimeError("killed")
+
+    monkeypatch.setattr(ingest, "roll_up_batch", crash_once)
+    with pytest.raises(Exception, match="killed"):
+        _run(spark, paths)
+    _run(spark, paths)
+    assert seen[1] == seen[2], "the replayed batch must keep its stamp"
+    assert len(seen) == 4
+    _check_whole(spark, paths, lines_of)
+
+
+def test_strict_ingest_fails_and_writes_nothing_of_the_batch(spark, paths, lines_of):
+    _feed(paths, "a", LINES[:50])
+    _run(spark, paths)
+    _feed(paths, "b", [*LINES[50:], "not a trip"])
+    with pytest.raises(Exception, match="refused trip line"):
+        _run(spark, paths)
+    rollup = rollup_table(spark, paths["rollup"])
+    assert rollup.agg(F.sum("count_trips")).first()[0] == 50
+
+
+def test_quarantine(spark, paths, lines_of):
+    _feed(paths, "a", [*LINES[:50], "not a trip", line(passenger_count="1.0")])
+    _feed(paths, "b", LINES[50:])
+    _run(spark, paths, mode="quarantine", rejects=paths["rejects"])
+    _check_whole(spark, paths, lines_of)
+    refused = reject_table(spark, paths["rejects"])
+    assert sorted(r["reject_reason"] for r in refused.collect()) == ["arity", "bad passenger_count"]
+    assert len(_stamps(refused)) == 1
+    assert set(_stamps(refused)) <= set(_stamps(raw_table(spark, paths["raw"])))
+
+
+def test_batch_of_faulty_lines_only(spark, paths, lines_of):
+    _feed(paths, "a", ["x", "y"])
+    _run(spark, paths, mode="quarantine", rejects=paths["rejects"])
+    _feed(paths, "b", LINES)
+    _run(spark, paths, mode="quarantine", rejects=paths["rejects"])
+    assert raw_table(spark, paths["raw"]).count() == 100
+    assert rollup_table(spark, paths["rollup"]).agg(F.sum("count_trips")).first()[0] == 100
+    assert reject_table(spark, paths["rejects"]).count() == 2
+
+
+def test_empty_source_writes_nothing(spark, paths, tmp_path):
+    _run(spark, paths)
+    assert not (tmp_path / "raw").exists()
+
+
+def test_preview_is_printed(spark, paths, capfd):
+    _feed(paths, "a", LINES)
+    _run(spark, paths, preview=2)
+    out = capfd.readouterr().out
+    assert "tpep_pickup_datetime" in out and "count_trips" in out
+
+
+def test_started_query_runs_until_stopped(spark, paths, lines_of):
+    _feed(paths, "a", LINES)
+    query = ingest.start_ingest(
+        line_stream(spark, paths["feed"]), paths["raw"], paths["rollup"], paths["checkpoint"],
+        trigger={"processingTime": "1 second"}, decimals=2, name="trips",
+    )
+    try:
+        assert query.isActive and query.name == "trips"
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    _check_whole(spark, paths, lines_of)
+
+
+def test_options_are_checked(spark, paths):
+    stream = line_stream(spark, paths["feed"])
+    with pytest.raises(ValueError):
+        ingest.start_ingest(stream, "a", "b", "c", mode="quarantine")
+    with pytest.raises(ValueError):
+        ingest.start_ingest(stream, "a", "b", "c", rejects="d")
+    with pytest.raises(ValueError):
+        ingest.stamped_lines(stream, "lenient")

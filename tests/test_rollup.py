@@ -1,0 +1,170 @@
+import math
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from triprollup.functions.numbers import exact_sum, sum_sql
+from triprollup.operators.latest import latest_by_key, merge_latest
+from triprollup.operators.preview import preview, schema_listing
+from triprollup.operators.reconcile import reconcile
+from triprollup.operators.rollup import batch_rollup, reaggregate
+
+KEYS = ["vendor_id", "payment_type"]
+
+
+def _total(spark, values, decimals=2):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    return df.agg(exact_sum("x", decimals).alias("s")).first()["s"]
+
+
+def test_exact_sum_is_the_decimal_sum(spark):
+    rng = random.Random(5)
+    values = [round(rng.uniform(-1e5, 1e5), 2) for _ in range(5000)]
+    expected = float(sum(Decimal(str(v)) for v in values))
+    for _ in range(3):
+        rng.shuffle(values)
+        assert _total(spark, values) == expected
+
+
+def test_exact_sum_of_odd_values(spark):
+    assert math.isnan(_total(spark, [1.0, math.nan]))
+    assert _total(spark, [1.0, math.inf]) == math.inf
+    assert _total(spark, [1.0, 1e300]) == 1e300
+    assert _total(spark, [9e16] * 4) == 3.6e17
+    assert _total(spark, [None, 0.1, 0.2]) == 0.3
+    assert _total(spark, [None, None]) is None
+    assert _total(spark, []) is None
+    assert _total(spark, [0.1, 0.2], decimals=None) == 0.1 + 0.2
+    with pytest.raises(ValueError):
+        sum_sql("x", -1)
+
+
+def test_exact_sum_does_not_depend_on_ansi(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert math.isnan(_total(spark, [1.0, math.nan]))
+        assert _total(spark, [9e16] * 4) == 3.6e17
+        assert _total(spark, [1.0, 1e300]) == 1e300
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """A third of the rows share one key; one key is null."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(3000):
+        vendor = "hot" if i % 3 == 0 else rng.choice(["a", "b", None])
+        pay = "1" if vendor == "hot" else rng.choice("12")
+        rows.append((i % 4, vendor, pay, rng.randrange(6), round(rng.uniform(0, 90), 2)))
+    schema = "batch int, vendor_id string, payment_type string, n bigint, x double"
+    return rows, spark.createDataFrame(rows, schema).repartition(5)
+
+
+def _by_hand(rows, cut):
+    groups = {}
+    for row in rows:
+        groups.setdefault(cut(row), []).append(row)
+    return {
+        key: (
+            sum(r[3] for r in g), max(r[3] for r in g), sum(r[3] for r in g) / len(g),
+            float(sum(Decimal(str(r[4])) for r in g)), max(r[4] for r in g),
+            sum(r[4] for r in g) / len(g), len(g),
+        )
+        for key, g in groups.items()
+    }
+
+
+def _close(actual, expected):
+    assert actual.keys() == expected.keys()
+    for key, row in expected.items():
+        for position, value in enumerate(row):
+            exact = position not in (2, 5)
+            got = actual[key][position]
+            assert got == value if exact else math.isclose(got, value, rel_tol=1e-9)
+
+
+def test_rollup_and_reaggregation_by_hand(skewed):
+    rows, df = skewed
+    fine = batch_rollup(df, ["batch", *KEYS], ["n", "x"], decimals=2)
+    _close({tuple(r)[:3]: tuple(r)[3:] for r in fine.collect()}, _by_hand(rows, lambda r: r[:3]))
+    coarse = reaggregate(fine, KEYS, ["n", "x"], decimals=2)
+    _close({tuple(r)[:2]: tuple(r)[2:] for r in coarse.collect()}, _by_hand(rows, lambda r: r[1:3]))
+
+
+def test_rollup_folds_before_the_shuffle(skewed):
+    _, df = skewed
+    plan = batch_rollup(df, KEYS, ["n", "x"], decimals=2)._jdf.queryExecution().executedPlan()
+    text = plan.toString()
+    assert text.count("Exchange hashpartitioning") == 1
+    assert "partial_sum" in text and "partial_max" in text
+
+
+def test_unknown_statistic(skewed):
+    with pytest.raises(ValueError):
+        batch_rollup(skewed[1], KEYS, ["n"], ["median"])
+    with pytest.raises(ValueError):
+        reaggregate(skewed[1], KEYS, ["n"], ["median"])
+
+
+REPORT = "k string, p string, n bigint, s double"
+
+
+def test_reconcile(spark):
+    left = [("a", "1", 1, 1.0), ("b", "1", 2, 2.0), (None, "1", 3, 3.0), ("d", "1", 4, None)]
+    right = [("a", "1", 1, 1.0), ("b", "1", 2, 2.5), (None, "1", 3, 3.0), ("e", "1", 5, 5.0),
+             ("d", "1", 4, None)]
+    result = reconcile(
+        spark.createDataFrame(left, REPORT), spark.createDataFrame(right, REPORT), ["k", "p"], ["n", "s"]
+    )
+    rows = {r["k"]: r for r in result.collect()}
+    assert {k: r["match"] for k, r in rows.items()} == {
+        "a": True, "b": False, None: True, "d": True, "e": False,
+    }
+    assert rows["b"]["diff_s"] == -0.5 and rows["b"]["diff_n"] == 0
+    assert rows["e"]["left_n"] is None and rows["e"]["diff_n"] is None
+    assert result.columns == [
+        "k", "p", "left_n", "right_n", "left_s", "right_s", "diff_n", "diff_s", "match",
+    ]
+
+
+def test_reconcile_tolerance_and_repeated_keys(spark):
+    a = spark.createDataFrame([("a", "1", 1, 100.0), ("b", "1", 1, 1.0), ("b", "1", 1, 1.0)], REPORT)
+    b = spark.createDataFrame([("a", "1", 1, 100.0 + 1e-9), ("b", "1", 1, 1.0)], REPORT)
+    exact = {r["k"]: r["match"] for r in reconcile(a, b, ["k", "p"], ["n", "s"]).collect()}
+    near = {r["k"]: r["match"] for r in reconcile(a, b, ["k", "p"], ["n", "s"], 1e-9).collect()}
+    assert exact == {"a": False, "b": False}
+    assert near == {"a": True, "b": False}
+
+
+def test_latest_by_key(spark):
+    rng = random.Random(1)
+    rows = [(rng.choice("abc") if i % 3 else "hot", i, i * 2) for i in range(900)]
+    df = spark.createDataFrame(rows, "k string, version int, v int").repartition(4)
+    newest = {}
+    for k, version, v in rows:
+        newest[k] = (version, v)
+    got = {r["k"]: (r["version"], r["v"]) for r in latest_by_key(df, ["k"], ["version"]).collect()}
+    assert got == newest
+    plan = latest_by_key(df, ["k"], ["version"])._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
+def test_merge_latest(spark):
+    stored = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int")
+    incoming = spark.createDataFrame([(2, "b"), (2, "c")], "v int, k string")
+    merged = merge_latest(stored, incoming, ["k"])
+    assert sorted(map(tuple, merged.collect())) == [("a", 1), ("b", 2), ("c", 2)]
+
+
+def test_preview_and_schema_listing(spark):
+    df = spark.range(100).select("id", F.when(F.col("id") % 2 == 0, F.lit("x")).alias("odd one"))
+    assert [r["id"] for r in preview(df, ["id"], 3).collect()] == [0, 1, 2]
+    assert preview(df).count() == 20
+    assert [tuple(r) for r in schema_listing(df).collect()] == [
+        (0, "id", "bigint", 100),
+        (1, "odd one", "string", 50),
+    ]

@@ -35,10 +35,10 @@ def exact_sum(measure: str, decimals: int | None = None) -> Column:
     return F.expr(sum_sql(measure, decimals))
 
 
-def mean(measure: str) -> Column:
-    """Average over the non-null values.
+def mean(measure: str, decimals: int | None = None) -> Column:
+    """Average over the non-null values, from the sum :func:`exact_sum` gives.
 
-    Written as sum over count: next to a ``sum`` of the same measure both share one
+    Written as sum over count: next to a sum of the same measure both share one
     aggregation buffer, which ``avg`` would not.
     """
-    return F.try_divide(F.sum(measure), F.count(measure)).cast("double")
+    return F.try_divide(exact_sum(measure, decimals), F.count(measure)).cast("double")

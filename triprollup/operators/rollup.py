@@ -19,12 +19,13 @@ def _decimals_for(df: DataFrame, measure: str, decimals: int | None) -> int | No
 
 
 def _statistic(df: DataFrame, stat: str, measure: str, decimals: int | None) -> Column:
+    digits = _decimals_for(df, measure, decimals)
     if stat == "sum":
-        return exact_sum(measure, _decimals_for(df, measure, decimals))
+        return exact_sum(measure, digits)
     if stat == "max":
         return F.max(measure)
     if stat == "avg":
-        return mean(measure)
+        return mean(measure, digits)
     raise ValueError(f"unknown statistic {stat!r}; known are {', '.join(STATS)}")
 
 
@@ -66,20 +67,22 @@ def reaggregate(
     averages. It needs ``sum_<measure>`` and the count column, and measures without
     nulls, as decoded trips have them.
     """
-    aggregates = []
-    for measure in measures:
-        total = f"sum_{measure}"
-        for stat in stats:
-            if stat == "sum":
-                column = exact_sum(total, _decimals_for(rollup, total, decimals))
-            elif stat == "max":
-                column = F.max(f"max_{measure}")
-            elif stat == "avg":
-                column = F.try_divide(F.sum(total), F.sum(count))
-            else:
-                raise ValueError(
-                    f"unknown statistic {stat!r}; known are {', '.join(STATS)}"
-                )
-            aggregates.append(column.alias(f"{stat}_{measure}"))
+
+    def coarse(stat: str, measure: str) -> Column:
+        if stat == "max":
+            return F.max(f"max_{measure}")
+        if stat not in STATS:
+            raise ValueError(f"unknown statistic {stat!r}; known are {', '.join(STATS)}")
+        partial = f"sum_{measure}"
+        total = exact_sum(partial, _decimals_for(rollup, partial, decimals))
+        if stat == "sum":
+            return total
+        return F.try_divide(total, F.sum(count)).cast("double")
+
+    aggregates = [
+        coarse(stat, measure).alias(f"{stat}_{measure}")
+        for measure in measures
+        for stat in stats
+    ]
     aggregates.append(F.sum(count).alias(count))
     return rollup.groupBy(*keys).agg(*aggregates)

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from triprollup.functions.time import partition_value
 from triprollup.operators.latest import merge_latest
 from triprollup.schemas import PARTITION, ROLLUP_KEYS, ROLLUP_TABLE_SCHEMA, STAMP
+from triprollup.sources.scratch import scratch_path
 
 
 def batch_path(path: str, batch_ms: int) -> str:
@@ -85,11 +86,18 @@ def upsert_rollup(
     if stored is None:
         write_partitions(incoming, path, partition)
         return
-    touched = incoming.select(partition).distinct()
-    affected = stored.join(touched, partition, "left_semi").select(*incoming.columns)
-    write_partitions(
-        merge_latest(affected, incoming, [partition, *keys]), path, partition
-    )
+    # Used three times below and possibly costly to compute: it is written out once.
+    staging = scratch_path(spark, "incoming")
+    incoming.write.parquet(staging)
+    staged = spark.read.schema(incoming.schema).parquet(staging)
+    span = staged.agg(F.min(partition).alias("low"), F.max(partition).alias("high")).first()
+    if span["low"] is None:
+        return
+    # The span prunes partitions while planning, the semi join then picks the exact ones.
+    near = stored.filter(F.col(partition).between(span["low"], span["high"]))
+    touched = staged.select(partition).distinct()
+    affected = near.join(touched, partition, "left_semi").select(*incoming.columns)
+    write_partitions(merge_latest(affected, staged, [partition, *keys]), path, partition)
 
 
 def overwrite_table(df: DataFrame, name: str, path: str) -> None:

@@ -17,13 +17,9 @@ from triprollup.operators.decode import (
     rejected_lines,
     require_valid,
 )
+from triprollup.operators.preview import show
 from triprollup.operators.rollup import batch_rollup
-from triprollup.schemas import (
-    PARTITION,
-    REASON,
-    STAMP,
-    STAMPED_TRIP_SCHEMA,
-)
+from triprollup.schemas import PARTITION, REASON, STAMP, STAMPED_TRIP_SCHEMA
 from triprollup.sinks.tables import batch_path, write_batch
 from triprollup.sources.messages import project_value
 
@@ -65,6 +61,7 @@ def _land_batch(
     rollup: str,
     rejects: str | None,
     decimals: int | None,
+    preview: int,
 ) -> Callable[[DataFrame, int], None]:
     def land(batch: DataFrame, _batch_id: int) -> None:
         head = batch.select(partition_value(STAMP).alias(PARTITION)).first()
@@ -81,6 +78,9 @@ def _land_batch(
             if refused.get["n"]:
                 write_batch(rejected_lines(batch), rejects, batch_ms)
         roll_up_batch(spark, raw, rollup, batch_ms, decimals)
+        if preview:
+            show(spark.read.parquet(batch_path(raw, batch_ms)), preview)
+            show(spark.read.parquet(batch_path(rollup, batch_ms)), preview)
 
     return land
 
@@ -95,13 +95,15 @@ def start_ingest(
     rejects: str | None = None,
     trigger: dict | None = None,
     decimals: int | None = None,
+    preview: int = 0,
     name: str | None = None,
 ) -> StreamingQuery:
     """Start the ingest; ``awaitTermination`` of the result waits for its end.
 
     ``messages`` is a stream with a ``value`` column. In strict mode a faulty line
     fails the query; in quarantine mode it goes to the ``rejects`` table with the
-    reason. ``trigger`` defaults to a micro-batch a minute. A pair of tables takes one
+    reason. ``trigger`` defaults to a micro-batch a minute. ``preview`` rows of each
+    batch and of its rollup are printed. A pair of tables takes one
     ingest at a time, since two could share a stamp.
     """
     if (mode == QUARANTINE) != (rejects is not None):
@@ -109,7 +111,7 @@ def start_ingest(
     writer = (
         stamped_lines(messages, mode)
         .writeStream.foreachBatch(
-            _land_batch(messages.sparkSession, raw, rollup, rejects, decimals)
+            _land_batch(messages.sparkSession, raw, rollup, rejects, decimals, preview)
         )
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or EVERY_MINUTE))
