@@ -11,6 +11,7 @@ from conftest import FIELDS, line
 from triprollup.functions.text import parse_int32, split_fields
 from triprollup.operators.decode import (
     accepted_trips,
+    decode_documents,
     decode_json,
     decode_lines,
     decode_trips,
@@ -187,3 +188,25 @@ def test_literal_record_as_json(spark):
 def test_malformed_json_gives_nulls(lines_of):
     row = decode_json(lines_of("{not json"), "k bigint").first()
     assert row["k"] is None
+
+
+def test_documents(lines_of):
+    given = {
+        '{"vendor_id":2,"passenger_count":3,"total_amount":8.8,"unknown":1}': None,
+        '{"vendor_id":"2","passenger_count":null}': None,
+        '{"vendor_id":"2","passenger_count":1.5}': "bad document",
+        '{"vendor_id":"2","total_amount":"x"}': "bad document",
+        "2,2016": "bad document",
+        "{": "bad document",
+        None: "no value",
+    }
+    decoded = decode_documents(lines_of(*given))
+    refused = {r["line"]: r["reject_reason"] for r in rejected_lines(decoded).collect()}
+    assert refused == {text: reason for text, reason in given.items() if reason}
+    good = sorted(accepted_trips(decoded).collect(), key=lambda r: r["passenger_count"])
+    assert [(r["vendor_id"], r["passenger_count"], r["total_amount"]) for r in good] == [
+        ("2", 0, 0.0), ("2", 3, 8.8),
+    ]
+    assert good[1]["pickup_longitude"] == 0.0 and good[1]["payment_type"] is None
+    with pytest.raises(Exception, match="refused trip line"):
+        decode_trips(lines_of("{"), form="json").collect()

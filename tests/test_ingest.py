@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import line
-from triprollup.operators.decode import decode_trips
+from triprollup.operators.decode import decode_trips, encode_json
 from triprollup.plans import reports
 from triprollup.schemas import GROUP_KEYS, PARTITION, STAMP
 from triprollup.sources.messages import line_stream
@@ -118,6 +118,17 @@ def test_quarantine(spark, paths, lines_of):
     assert set(_stamps(refused)) <= set(_stamps(raw_table(spark, paths["raw"])))
 
 
+def test_json_messages(spark, paths, lines_of):
+    documents = encode_json(decode_trips(lines_of(*LINES)))
+    _feed(paths, "a", [r["value"] for r in documents.collect()])
+    _feed(paths, "b", ['{"vendor_id": "1"'])
+    _run(spark, paths, form="json", mode="quarantine", rejects=paths["rejects"])
+    _check_whole(spark, paths, lines_of)
+    assert [r["reject_reason"] for r in reject_table(spark, paths["rejects"]).collect()] == [
+        "bad document"
+    ]
+
+
 def test_batch_of_faulty_lines_only(spark, paths, lines_of):
     _feed(paths, "a", ["x", "y"])
     _run(spark, paths, mode="quarantine", rejects=paths["rejects"])
@@ -161,4 +172,6 @@ def test_options_are_checked(spark, paths):
     with pytest.raises(ValueError):
         ingest.start_ingest(stream, "a", "b", "c", rejects="d")
     with pytest.raises(ValueError):
-        ingest.stamped_lines(stream, "lenient")
+        ingest.stamped_messages(stream, "lenient")
+    with pytest.raises(ValueError):
+        ingest.stamped_messages(stream, form="xml")

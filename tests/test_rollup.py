@@ -10,6 +10,7 @@ from triprollup.operators.latest import latest_by_key, merge_latest
 from triprollup.operators.preview import preview, schema_listing
 from triprollup.operators.reconcile import reconcile
 from triprollup.operators.rollup import batch_rollup, reaggregate
+from triprollup.plans.reports import reconcile_reports
 
 KEYS = ["vendor_id", "payment_type"]
 
@@ -160,6 +161,16 @@ def test_merge_latest(spark):
     assert sorted(map(tuple, merged.collect())) == [("a", 1), ("b", 2), ("c", 2)]
 
 
+def test_reconcile_neither_sorts_nor_joins(skewed):
+    _, df = skewed
+    trips = df.withColumnRenamed("x", "total_amount")
+    rollup = batch_rollup(trips, ["batch", *KEYS], ["total_amount"], decimals=2)
+    result = reconcile_reports(trips, rollup, 2)
+    assert all(r["match"] for r in result.collect())
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Sort" not in plan
+
+
 def test_preview_and_schema_listing(spark):
     df = spark.range(100).select("id", F.when(F.col("id") % 2 == 0, F.lit("x")).alias("odd one"))
     assert [r["id"] for r in preview(df, ["id"], 3).collect()] == [0, 1, 2]

@@ -60,6 +60,24 @@ def test_append_stamped_replaces_only_its_batches(spark, trips, tmp_path):
     assert one_day.count() == 4
 
 
+def test_hot_partition_is_written_by_several_tasks(spark, tmp_path):
+    """Two thirds of the rows in one partition must not end in one task."""
+    path, size = str(tmp_path / "hot"), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    rows = spark.range(300_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 < 2, 1).otherwise(F.col("id") % 50).cast("bigint").alias(PARTITION),
+        F.sha2(F.col("id").cast("string"), 256).alias("text"),
+    )
+    spark.conf.set(size, "1m")
+    try:
+        sink.write_partitions(rows, path)
+    finally:
+        spark.conf.unset(size)
+    assert len(glob.glob(f"{path}/{PARTITION}=1/*.parquet")) > 4
+    # 8 tasks writing 50 partitions as they come would make 400 files.
+    assert len(glob.glob(f"{path}/*/*.parquet")) < 200
+    assert spark.read.parquet(path).count() == 300_000
+
+
 def test_rollup_schema_is_what_the_rollup_gives(trips):
     rollup = batch_rollup(_stamped(trips, "2016-01-01"))
     given = [(f.name, f.dataType) for f in rollup.schema]

@@ -177,6 +177,7 @@ ORACLE: dict[str, str] = {
     "schema_listing": SCHEMA_LISTING,
     "stream_ingest_raw": REPORT,
     "stream_ingest_rollup": REPORT,
+    "stream_ingest_json": REPORT,
     "stream_reconcile": RECONCILED,
     "stream_rejects": REJECTS,
     "compacted_rollup": REPORT,

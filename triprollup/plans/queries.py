@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from triprollup.functions.time import format_stamp, load_date
 from triprollup.operators.decode import (
+    CSV,
+    JSON,
     QUARANTINE,
     decode_json,
     decode_lines,
@@ -32,7 +34,6 @@ from triprollup.plans.lineitem_trips import (
 from triprollup.schemas import (
     DECIMALS,
     GROUP_KEYS,
-    MEASURES,
     REASON,
     STAMP,
     TRIP_COLUMNS,
@@ -379,18 +380,22 @@ def schema_listing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ingested(
-    spark: SparkSession, lines: DataFrame, by: str | None = None, quarantine: bool = False
+    spark: SparkSession,
+    messages: DataFrame,
+    by: str | None = None,
+    quarantine: bool = False,
+    form: str = CSV,
 ) -> dict[str, str]:
-    """Write lines as files, ingest them in several micro-batches, tell the table paths."""
+    """Write messages as files, ingest them in several micro-batches, tell the table paths."""
     feed = scratch_path(spark, "feed")
-    size = write_feed(lines, feed, by)
+    size = write_feed(messages, feed, by)
     paths = {name: scratch_path(spark, name) for name in ("raw", "rollup", "checkpoint")}
     options = {}
     if quarantine:
         options = {"mode": QUARANTINE, "rejects": scratch_path(spark, "rejects")}
     limit = max(1, size // MICRO_BATCHES)
-    messages = line_stream(spark, feed, maxBytesPerTrigger=limit)
-    run_ingest(messages, decimals=DECIMALS, **paths, **options)
+    stream = line_stream(spark, feed, maxBytesPerTrigger=limit)
+    run_ingest(stream, form=form, decimals=DECIMALS, **paths, **options)
     return {**paths, **options}
 
 
@@ -410,6 +415,13 @@ def stream_ingest_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.report_rollup(rollup_table(spark, paths["rollup"]), DECIMALS)
 
 
+@registered
+def stream_ingest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = encode_json(trips(spark, sf_dir), keep=[BATCH])
+    paths = _ingested(spark, documents, by=BATCH, form=JSON)
+    return reports.report_rollup(rollup_table(spark, paths["rollup"]), DECIMALS)
+
+
 @registered
 def stream_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = _trip_feed(spark, sf_dir)

@@ -19,24 +19,31 @@ TIMING_SCHEMA = (
 )
 
 
-def raw_report_sql(view: str = RAW_VIEW, decimals: int | None = None) -> str:
+ORDER = "order by vendor_id, payment_type"
+
+
+def raw_report_sql(
+    view: str = RAW_VIEW, decimals: int | None = None, ordered: bool = True
+) -> str:
     """Trips and takings by vendor and payment type, from single trips."""
     return f"""
         select vendor_id, payment_type, count(*) as n_trips,
                {sum_sql("total_amount", decimals)} as sum_total_amount
         from {view}
         group by vendor_id, payment_type
-        order by vendor_id, payment_type"""
+        {ORDER if ordered else ""}"""
 
 
-def rollup_report_sql(view: str = ROLLUP_VIEW, decimals: int | None = None) -> str:
+def rollup_report_sql(
+    view: str = ROLLUP_VIEW, decimals: int | None = None, ordered: bool = True
+) -> str:
     """The same report from partial aggregates."""
     return f"""
         select vendor_id, payment_type, sum({COUNT_COLUMN}) as n_trips,
                {sum_sql("sum_total_amount", decimals)} as sum_total_amount
         from {view}
         group by vendor_id, payment_type
-        order by vendor_id, payment_type"""
+        {ORDER if ordered else ""}"""
 
 
 def takings_report_sql(view: str = RAW_VIEW, decimals: int | None = None) -> str:
@@ -59,14 +66,18 @@ def refresh(spark: SparkSession, view: str) -> None:
     spark.catalog.refreshTable(view)
 
 
-def report_raw(trips: DataFrame, decimals: int | None = None) -> DataFrame:
+def report_raw(
+    trips: DataFrame, decimals: int | None = None, ordered: bool = True
+) -> DataFrame:
     view = register(trips, RAW_VIEW)
-    return trips.sparkSession.sql(raw_report_sql(view, decimals))
+    return trips.sparkSession.sql(raw_report_sql(view, decimals, ordered))
 
 
-def report_rollup(rollup: DataFrame, decimals: int | None = None) -> DataFrame:
+def report_rollup(
+    rollup: DataFrame, decimals: int | None = None, ordered: bool = True
+) -> DataFrame:
     view = register(rollup, ROLLUP_VIEW)
-    return rollup.sparkSession.sql(rollup_report_sql(view, decimals))
+    return rollup.sparkSession.sql(rollup_report_sql(view, decimals, ordered))
 
 
 def report_takings(trips: DataFrame, decimals: int | None = None) -> DataFrame:
@@ -82,8 +93,8 @@ def reconcile_reports(
 ) -> DataFrame:
     """Compare the two reports. Plain double sums need a tolerance, exact ones none."""
     return reconcile(
-        report_raw(trips, decimals),
-        report_rollup(rollup, decimals),
+        report_raw(trips, decimals, ordered=False),
+        report_rollup(rollup, decimals, ordered=False),
         GROUP_KEYS,
         REPORT_VALUES,
         tolerance,

@@ -1,4 +1,4 @@
-"""From a stream of lines to the raw table and the rollup table."""
+"""From a stream of messages to the raw table and the rollup table."""
 
 from __future__ import annotations
 
@@ -10,10 +10,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from triprollup.functions.time import partition_value, processing_time
 from triprollup.operators.decode import (
+    CSV,
     QUARANTINE,
     STRICT,
     accepted_trips,
-    decode_lines,
+    decode_messages,
     rejected_lines,
     require_valid,
 )
@@ -27,14 +28,14 @@ EVERY_MINUTE = {"processingTime": "60 seconds"}
 UNTIL_CAUGHT_UP = {"availableNow": True}
 
 
-def stamped_lines(messages: DataFrame, mode: str = STRICT) -> DataFrame:
-    """Decoded lines with the stamp of their micro-batch.
+def stamped_messages(messages: DataFrame, mode: str = STRICT, form: str = CSV) -> DataFrame:
+    """Decoded messages with the stamp of their micro-batch.
 
     The stamp belongs here, in the streaming plan: it is then one value for the whole
     batch, and the same one when the batch is replayed from the checkpoint.
     """
     stamped = project_value(messages).withColumn(STAMP, processing_time())
-    decoded = decode_lines(stamped, keep=[STAMP])
+    decoded = decode_messages(stamped, keep=[STAMP], form=form)
     if mode == STRICT:
         return require_valid(decoded)
     if mode == QUARANTINE:
@@ -91,6 +92,7 @@ def start_ingest(
     rollup: str,
     checkpoint: str,
     *,
+    form: str = CSV,
     mode: str = STRICT,
     rejects: str | None = None,
     trigger: dict | None = None,
@@ -100,7 +102,8 @@ def start_ingest(
 ) -> StreamingQuery:
     """Start the ingest; ``awaitTermination`` of the result waits for its end.
 
-    ``messages`` is a stream with a ``value`` column. In strict mode a faulty line
+    ``messages`` is a stream with a ``value`` column, of CSV lines or with
+    ``form="json"`` of JSON documents. In strict mode a faulty line
     fails the query; in quarantine mode it goes to the ``rejects`` table with the
     reason. ``trigger`` defaults to a micro-batch a minute. ``preview`` rows of each
     batch and of its rollup are printed. A pair of tables takes one
@@ -109,7 +112,7 @@ def start_ingest(
     if (mode == QUARANTINE) != (rejects is not None):
         raise ValueError("a rejects path goes with quarantine mode, and only with it")
     writer = (
-        stamped_lines(messages, mode)
+        stamped_messages(messages, mode, form)
         .writeStream.foreachBatch(
             _land_batch(messages.sparkSession, raw, rollup, rejects, decimals, preview)
         )
