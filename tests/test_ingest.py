@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -175,3 +179,45 @@ def test_options_are_checked(spark, paths):
         ingest.stamped_messages(stream, "lenient")
     with pytest.raises(ValueError):
         ingest.stamped_messages(stream, form="xml")
+
+
+KILLED_JOB = """
+import os, sys
+from pyspark.sql import SparkSession
+from triprollup.sources.messages import line_stream
+from triprollup.streaming import ingest
+
+feed, raw, rollup, checkpoint = sys.argv[1:]
+spark = (
+    SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+    .config("spark.sql.session.timeZone", "UTC").getOrCreate()
+)
+whole, seen = ingest.roll_up_batch, []
+
+def die(*args):
+    seen.append(args)
+    if len(seen) == 2:
+        os._exit(9)
+    whole(*args)
+
+ingest.roll_up_batch = die
+ingest.run_ingest(line_stream(spark, feed, maxFilesPerTrigger=1), raw, rollup, checkpoint, decimals=2)
+"""
+
+
+def test_killed_driver(spark, paths, lines_of):
+    """The process dies between the two writes; another one takes over."""
+    for part in range(3):
+        _feed(paths, f"part{part}", LINES[part::3])
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    tables = [paths[name] for name in ("feed", "raw", "rollup", "checkpoint")]
+    done = subprocess.run(
+        [sys.executable, "-c", KILLED_JOB, *tables],
+        cwd=root, timeout=240, capture_output=True, check=False,
+    )
+    assert done.returncode == 9
+    assert raw_table(spark, paths["raw"]).count() > rollup_table(
+        spark, paths["rollup"]
+    ).agg(F.sum("count_trips")).first()[0]
+    _run(spark, paths)
+    _check_whole(spark, paths, lines_of)

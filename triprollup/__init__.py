@@ -1 +1,38 @@
 """Streamed trip records: decode, stamp, store, roll up, report, reconcile."""
+
+from triprollup.operators.decode import decode_trips, encode_json, encode_lines
+from triprollup.operators.reconcile import reconcile
+from triprollup.operators.rollup import batch_rollup, reaggregate
+from triprollup.plans.reports import (
+    reconcile_reports,
+    report_raw,
+    report_rollup,
+    timed_reports,
+)
+from triprollup.sinks.tables import compact, upsert_rollup
+from triprollup.sources.messages import kafka_messages, kafka_stream, line_stream
+from triprollup.sources.tables import raw_table, reject_table, rollup_table
+from triprollup.streaming.ingest import run_ingest, start_ingest
+
+__all__ = [
+    "batch_rollup",
+    "compact",
+    "decode_trips",
+    "encode_json",
+    "encode_lines",
+    "kafka_messages",
+    "kafka_stream",
+    "line_stream",
+    "raw_table",
+    "reaggregate",
+    "reconcile",
+    "reconcile_reports",
+    "reject_table",
+    "report_raw",
+    "report_rollup",
+    "rollup_table",
+    "run_ingest",
+    "start_ingest",
+    "timed_reports",
+    "upsert_rollup",
+]

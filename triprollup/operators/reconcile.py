@@ -42,7 +42,11 @@ def reconcile(
         .unionByName(tagged[1])
         .groupBy(*keys)
         .agg(
-            *(F.max(f"{name}_{v}").alias(f"{name}_{v}") for name in ("left", "right") for v in values),
+            *(
+                F.max(f"{name}_{v}").alias(f"{name}_{v}")
+                for name in ("left", "right")
+                for v in values
+            ),
             F.sum("_left").alias("_left"),
             F.sum("_right").alias("_right"),
         )
