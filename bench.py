@@ -13,11 +13,11 @@ import time
 
 from pyspark.sql import SparkSession
 
-from triprollup.operators.decode import decode_trips, encode_lines
-from triprollup.operators.rollup import batch_rollup
+from triprollup.operators.decode import decode_trips, encode_json, encode_lines
+from triprollup.operators.rollup import batch_rollup, reaggregate
 from triprollup.plans import reports
 from triprollup.plans.lineitem_trips import BATCH, BATCH_KEYS, trips, write_feed
-from triprollup.schemas import DECIMALS
+from triprollup.schemas import DECIMALS, GROUP_KEYS
 from triprollup.sinks.tables import write_partitions
 from triprollup.sources.messages import line_messages, line_stream
 from triprollup.sources.scratch import scratch_path
@@ -28,6 +28,7 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 MICRO_BATCHES = 4
+ROW_RATES = ("csv_decode", "json_decode", "stream_one_batch", "stream_micro_batches")
 
 
 def session() -> SparkSession:
@@ -69,6 +70,8 @@ def main() -> None:
     rollup = parquet_table(spark, stored)
     feed = scratch_path(spark, "bench-feed")
     size = write_feed(encode_lines(source, keep=[BATCH]), feed, by=BATCH)
+    documents = scratch_path(spark, "bench-documents")
+    write_feed(encode_json(source, keep=[BATCH]), documents, by=BATCH)
 
     def ingest(limits: dict) -> None:
         run_ingest(
@@ -84,7 +87,11 @@ def main() -> None:
         ),
         "rollup_full": lambda: run(batch_rollup(source, BATCH_KEYS, decimals=DECIMALS)),
         "reconcile": lambda: run(reports.reconcile_reports(source, rollup, DECIMALS)),
+        "rollup_from_rollup": lambda: run(
+            reaggregate(parquet_table(spark, stored), GROUP_KEYS, decimals=DECIMALS)
+        ),
         "csv_decode": lambda: run(decode_trips(line_messages(spark, feed))),
+        "json_decode": lambda: run(decode_trips(line_messages(spark, documents), form="json")),
         "stream_one_batch": lambda: ingest({}),
         "stream_micro_batches": lambda: ingest(
             {"maxBytesPerTrigger": max(1, size // MICRO_BATCHES)}
@@ -103,7 +110,7 @@ def main() -> None:
                 "cpus": CPUS,
                 "rows_per_sec": {
                     name: round(rows / seconds[name])
-                    for name in ("csv_decode", "stream_one_batch", "stream_micro_batches")
+                    for name in ROW_RATES
                 },
             }
         )

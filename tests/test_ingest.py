@@ -66,9 +66,12 @@ def test_stream_equals_batch_over_several_micro_batches(spark, paths, lines_of):
 def test_restart_takes_only_new_files(spark, paths, lines_of):
     _feed(paths, "a", LINES[:60])
     _run(spark, paths)
+    view = reports.register(raw_table(spark, paths["raw"]), "restart_test")
     _feed(paths, "b", LINES[60:])
     _run(spark, paths)
     _run(spark, paths)
+    reports.refresh(spark, view)
+    assert spark.sql(f"select count(*) from {view}").first()[0] == 100
     assert len(_stamps(raw_table(spark, paths["raw"]))) == 2
     _check_whole(spark, paths, lines_of)
 

@@ -7,6 +7,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from pyspark.sql import functions as F
+from triprollup.functions.text import split_fields
+from triprollup.operators.decode import decode_lines, rejected_lines
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -63,3 +66,22 @@ def test_entry(spark):
     df = contract.entry(spark)
     rows = df.collect()
     assert len(rows) == 21 and all(r["match"] for r in rows)
+
+
+def test_split_of_whole_texts(spark, duck):
+    """The documents hold every kind of character; none may change the field count."""
+    documents = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    counted = documents.select("doc_id", F.size(split_fields(F.col("text"))).alias("n"))
+    expected = duck.execute(
+        "select doc_id, len(string_split(rtrim(text, ','), ',')) from documents"
+    ).fetchall()
+    assert sorted(map(tuple, counted.collect())) == sorted(expected)
+
+
+def test_whole_texts_are_refused(spark):
+    documents = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    decoded = decode_lines(documents, value="text", keep=["doc_id"])
+    refused = rejected_lines(decoded)
+    assert refused.count() == documents.count()
+    kept = refused.join(documents, "doc_id").filter(F.col("line").eqNullSafe(F.col("text")))
+    assert kept.count() == documents.count()

@@ -18,7 +18,13 @@ from triprollup.schemas import (
 )
 from triprollup.sinks import tables as sink
 from triprollup.sources import tables as source
-from triprollup.sources.messages import kafka_options, project_key_value, project_value
+from triprollup.sources.messages import (
+    kafka_messages,
+    kafka_options,
+    kafka_stream,
+    project_key_value,
+    project_value,
+)
 from triprollup.sources.scratch import scratch_path
 
 
@@ -56,8 +62,10 @@ def test_append_stamped_replaces_only_its_batches(spark, trips, tmp_path):
     table = source.raw_table(spark, path)
     assert [tuple(r) for r in table.groupBy(STAMP).count().orderBy(STAMP).select(
         F.date_format(STAMP, "dd"), "count").collect()] == [("01", 4), ("02", 1)]
-    one_day = spark.read.schema(table.schema).parquet(path).filter(F.col(PARTITION) == 1451606400000)
+    one_day = table.filter(F.col(PARTITION) == 1451606400000)
     assert one_day.count() == 4
+    plan = one_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch_ms" in plan
 
 
 def test_hot_partition_is_written_by_several_tasks(spark, tmp_path):
@@ -100,7 +108,10 @@ def test_upsert(spark, trips, tmp_path):
     sink.upsert_rollup(_rollup(only_one, "2016-01-02"), path)
     stored = source.rollup_table(spark, path)
     got = {
-        (str(r[STAMP])[:10], r["vendor_id"], r["payment_type"]): (r["sum_total_amount"], r["count_trips"])
+        (str(r[STAMP])[:10], r["vendor_id"], r["payment_type"]): (
+            r["sum_total_amount"],
+            r["count_trips"],
+        )
         for r in stored.collect()
     }
     assert got == {
@@ -132,15 +143,15 @@ def test_failing_load_leaves_the_table(spark, trips, lines_of, tmp_path):
 
 def test_compact_keeps_the_reports(spark, trips, tmp_path):
     path, joined = str(tmp_path / "rollup"), str(tmp_path / "joined")
-    for stamp in ("2016-01-01 00:00:00", "2016-01-01 00:01:00", "2016-01-01 23:59:00", "2016-01-02 00:01:00"):
-        sink.write_partitions(_rollup(trips, stamp), path)
+    for stamp in ("01 00:00:00", "01 00:01:00", "01 23:59:00", "02 00:01:00"):
+        sink.write_partitions(_rollup(trips, f"2016-01-{stamp}"), path)
     sink.compact(source.rollup_table(spark, path), joined, before="2016-01-02")
     table = source.rollup_table(spark, joined)
-    assert sorted(r[0] for r in table.select(PARTITION).distinct().collect()) == [1451606400000, 1451692860000]
-    assert _contents(table.drop(PARTITION)) == _contents(source.rollup_table(spark, path).drop(PARTITION))
-    assert reports.report_rollup(table).collect() == reports.report_rollup(
-        source.rollup_table(spark, path)
-    ).collect()
+    partitions = sorted(r[0] for r in table.select(PARTITION).distinct().collect())
+    assert partitions == [1451606400000, 1451692860000]
+    original = source.rollup_table(spark, path)
+    assert _contents(table.drop(PARTITION)) == _contents(original.drop(PARTITION))
+    assert reports.report_rollup(table).collect() == reports.report_rollup(original).collect()
 
 
 def test_named_table(spark, trips, tmp_path):
@@ -156,6 +167,14 @@ def test_named_table(spark, trips, tmp_path):
     spark.sql("drop table named_rollup_test")
 
 
+def test_namespace(spark, tmp_path):
+    for _ in range(2):
+        sink.define_namespace(spark, "trips_test", str(tmp_path / "space"))
+    sink.define_table(spark, "trips_test.rollup", str(tmp_path / "rollup"))
+    assert spark.table("trips_test.rollup").columns[-1] == PARTITION
+    spark.sql("drop database trips_test cascade")
+
+
 def test_overwrite_table(spark, tmp_path):
     path = str(tmp_path / "plain")
     for n in (5, 3):
@@ -213,9 +232,15 @@ def test_kafka_options():
     }
 
 
+def test_kafka_asks_for_its_package(spark):
+    for read in (kafka_stream, kafka_messages):
+        with pytest.raises(Exception, match="(?i)kafka"):
+            read(spark, "h:9092", "trips")
+
+
 def test_stamp_text_and_day(spark):
     df = spark.sql("select timestamp'2017-07-19 09:55:42' as ts")
-    row = df.select(format_stamp("ts").alias("s"), load_date("ts").cast("string").alias("d")).first()
+    row = df.select(format_stamp("ts"), load_date("ts").cast("string")).first()
     assert row[:] == ("2017-07-19 09:55:42+0000", "2017-07-19")
 
 
@@ -224,8 +249,10 @@ def test_reports_agree_and_are_timed(spark, trips, capsys):
     raw = reports.report_raw(trips, 2).collect()
     assert [tuple(r) for r in raw] == [("1", "2", 1, 3.3), ("2", "1", 1, 8.8), ("2", "2", 2, 17.6)]
     assert reports.report_rollup(rollup, 2).collect() == raw
-    assert reports.report_raw(trips).columns == ["vendor_id", "payment_type", "n_trips", "sum_total_amount"]
+    assert reports.report_raw(trips).columns == [*GROUP_KEYS, *reports.REPORT_VALUES]
     assert all(r["match"] for r in reports.reconcile_reports(trips, rollup, 2).collect())
+    plain = batch_rollup(_stamped(trips, "2016-01-01"))
+    assert all(r["match"] for r in reports.reconcile_reports(trips, plain).collect())
     timed = reports.timed_reports(trips, rollup, rounds=2).collect()
     assert [(r["round"], r["report"]) for r in timed] == [
         (1, "raw"), (1, "rollup"), (2, "raw"), (2, "rollup"),
@@ -239,7 +266,8 @@ def test_reports_agree_and_are_timed(spark, trips, capsys):
 def test_raw_report_reads_three_columns(spark, trips, tmp_path):
     path = str(tmp_path / "raw")
     sink.write_batch(_stamped(trips, "2016-01-01"), path, 1)
-    plan = reports.report_raw(source.raw_table(spark, path))._jdf.queryExecution().executedPlan().toString()
+    report = reports.report_raw(source.raw_table(spark, path))
+    plan = report._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<vendor_id:string,payment_type:string,total_amount:double>" in plan
 
 

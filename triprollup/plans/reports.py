@@ -13,6 +13,7 @@ from triprollup.schemas import COUNT_COLUMN, GROUP_KEYS
 
 RAW_VIEW, ROLLUP_VIEW = "trips_raw", "trips_rollup"
 REPORT_VALUES = ("n_trips", "sum_total_amount")
+PLAIN_SUM_TOLERANCE = 1e-9
 TIMING_SCHEMA = (
     "round int, report string, started_at timestamp, ended_at timestamp, "
     "seconds double, seconds_saved double"
@@ -89,9 +90,15 @@ def reconcile_reports(
     trips: DataFrame,
     rollup: DataFrame,
     decimals: int | None = None,
-    tolerance: float = 0.0,
+    tolerance: float | None = None,
 ) -> DataFrame:
-    """Compare the two reports. Plain double sums need a tolerance, exact ones none."""
+    """Compare the two reports.
+
+    Exact sums must agree to the last digit. Plain double sums depend on the order of
+    the rows, so they may differ by a part in 10^9 unless a ``tolerance`` is given.
+    """
+    if tolerance is None:
+        tolerance = PLAIN_SUM_TOLERANCE if decimals is None else 0.0
     return reconcile(
         report_raw(trips, decimals, ordered=False),
         report_rollup(rollup, decimals, ordered=False),

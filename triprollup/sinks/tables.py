@@ -105,6 +105,11 @@ def overwrite_table(df: DataFrame, name: str, path: str) -> None:
     df.write.mode("overwrite").option("path", path).format("parquet").saveAsTable(name)
 
 
+def define_namespace(spark: SparkSession, name: str, path: str) -> None:
+    """Create a namespace for named tables, if it is not there."""
+    spark.sql(f"create database if not exists {name} location '{path}'")
+
+
 def define_table(
     spark: SparkSession,
     name: str,
