@@ -141,17 +141,23 @@ def test_failing_load_leaves_the_table(spark, trips, lines_of, tmp_path):
     assert _contents(source.rollup_table(spark, path)) == before
 
 
-def test_compact_keeps_the_reports(spark, trips, tmp_path):
-    path, joined = str(tmp_path / "rollup"), str(tmp_path / "joined")
-    for stamp in ("01 00:00:00", "01 00:01:00", "01 23:59:00", "02 00:01:00"):
+def test_compaction_keeps_the_reports(spark, trips, tmp_path):
+    path, history = str(tmp_path / "rollup"), str(tmp_path / "history")
+    for stamp in ("01 00:00:00", "01 00:01:00", "02 23:59:00", "03 00:01:00", "04 00:00:00"):
         sink.write_partitions(_rollup(trips, f"2016-01-{stamp}"), path)
-    sink.compact(source.rollup_table(spark, path), joined, before="2016-01-02")
-    table = source.rollup_table(spark, joined)
-    partitions = sorted(r[0] for r in table.select(PARTITION).distinct().collect())
-    assert partitions == [1451606400000, 1451692860000]
-    original = source.rollup_table(spark, path)
-    assert _contents(table.drop(PARTITION)) == _contents(original.drop(PARTITION))
-    assert reports.report_rollup(table).collect() == reports.report_rollup(original).collect()
+    live = source.rollup_table(spark, path)
+    for _ in range(2):
+        sink.compact(live, history, "2016-01-01", "2016-01-03")
+    sink.compact(live, history, "2016-01-03", "2016-01-04")
+    old = source.rollup_table(spark, history)
+    days = [1451606400000 + n * 86400000 for n in range(3)]
+    assert sorted(r[0] for r in old.select(PARTITION).distinct().collect()) == days
+    for since in ("2016-01-01", "2016-01-02", "2016-01-04"):
+        both = source.with_history(live, old, since)
+        assert _contents(both.drop(PARTITION)) == _contents(live.drop(PARTITION))
+        assert reports.report_rollup(both).collect() == reports.report_rollup(live).collect()
+    plan = source.with_history(live, old, "2016-01-04")._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("PartitionFilters: [isnotnull(batch_ms") == 2
 
 
 def test_named_table(spark, trips, tmp_path):

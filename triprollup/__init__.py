@@ -11,7 +11,7 @@ from triprollup.plans.reports import (
 )
 from triprollup.sinks.tables import compact, upsert_rollup
 from triprollup.sources.messages import kafka_messages, kafka_stream, line_stream
-from triprollup.sources.tables import raw_table, reject_table, rollup_table
+from triprollup.sources.tables import raw_table, reject_table, rollup_table, with_history
 from triprollup.streaming.ingest import run_ingest, start_ingest
 
 __all__ = [
@@ -35,4 +35,5 @@ __all__ = [
     "start_ingest",
     "timed_reports",
     "upsert_rollup",
+    "with_history",
 ]

@@ -7,7 +7,7 @@ independent of the order of the rows.
 from __future__ import annotations
 
 from triprollup.plans.lineitem_trips import TRIP_SQL
-from triprollup.schemas import MEASURES, TRIP_COLUMNS
+from triprollup.schemas import COUNT_COLUMN, MEASURES, STATS, TRIP_COLUMNS
 
 TRIP = TRIP_SQL.format(source="lineitem")
 PLAIN = ", ".join(TRIP_COLUMNS)
@@ -47,6 +47,9 @@ REPORT = _with_trip(
     _grouped(KEYS, "count(*) as n_trips", _sum("total_amount")) + f" order by {KEYS}"
 )
 FULL = _grouped(BATCH_KEYS, _each(_sum, _max, _avg), COUNT)
+ROLLUP_COLUMNS = ", ".join(
+    [BATCH_KEYS, *(f"{stat}_{m}" for m in MEASURES for stat in STATS), COUNT_COLUMN]
+)
 RECONCILED = _with_trip(
     f"""select {KEYS}, n_trips as left_n_trips, n_trips as right_n_trips,
           total as left_sum_total_amount, total as right_sum_total_amount,
@@ -133,8 +136,8 @@ ORACLE: dict[str, str] = {
     "csv_rejects": REJECTS,
     "csv_quarantine": _with_trip(
         f"""select {KEYS}, count(*) as n_trips,
-              sum(case when payment_type = '1' and vendor_id = 'A' then 1 else 0 end)
-                ::bigint as n_nan,
+              cast(sum(case when payment_type = '1' and vendor_id = 'A' then 1 else 0 end)
+                as bigint) as n_nan,
               cast(sum(passenger_count) as bigint) as sum_passenger_count
             from trip
             where payment_type = '4' or (payment_type = '1' and vendor_id <> 'R')
@@ -166,7 +169,7 @@ ORACLE: dict[str, str] = {
                   select 2 as load, b.* from ({FULL.replace("from trip", "from late")}) b),
         ranked as (select *, row_number() over
                      (partition by {BATCH_KEYS} order by load desc) as newest from loads)
-        select * exclude (load, newest) from ranked where newest = 1""",
+        select {ROLLUP_COLUMNS} from ranked where newest = 1""",
     "named_rollup_table": _with_trip(FULL),
     "overwritten_table": _with_trip(_grouped(KEYS, _each(_sum, _max, _avg), COUNT)),
     "decoded_upsert": _with_trip(FULL),

@@ -63,6 +63,7 @@ from triprollup.sources.tables import (
     raw_table,
     reject_table,
     rollup_table,
+    with_history,
 )
 from triprollup.streaming.ingest import run_ingest
 
@@ -444,7 +445,8 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def compacted_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rollup report of a streamed table after its batches were joined by day."""
-    paths = _trip_feed(spark, sf_dir)
-    path = scratch_path(spark, "compacted")
-    compact(rollup_table(spark, paths["rollup"]), path, before="2200-01-01")
-    return reports.report_rollup(rollup_table(spark, path), DECIMALS)
+    live = rollup_table(spark, _trip_feed(spark, sf_dir)["rollup"])
+    path, until = scratch_path(spark, "history"), "2200-01-01"
+    compact(live, path, start="1970-01-01", end=until)
+    whole = with_history(live, rollup_table(spark, path), since=until)
+    return reports.report_rollup(whole, DECIMALS)

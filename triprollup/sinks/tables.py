@@ -135,19 +135,16 @@ def discover_partitions(spark: SparkSession, name: str) -> None:
     spark.catalog.recoverPartitions(name)
 
 
-def compact(source: DataFrame, destination: str, before: str) -> None:
-    """Copy a table with the batches before a day joined into one partition a day.
-
-    ``source`` is a raw or rollup table, ``before`` a date such as ``2026-01-31``, and
-    ``destination`` a new directory, since a table cannot be read and replaced at once.
-    The stamps stay, so reports do not change; only replays of batches older than
-    ``before`` must not happen any more.
+def compact(live: DataFrame, history: str, start: str, end: str) -> None:
+    """Copy the batches of some days to a history table, one partition a day.
+
+    ``live`` is a raw or rollup table, ``start`` and ``end`` dates such as
+    ``2026-01-31``, the second one exclusive. Only those days are read, and each replaces
+    its partition of ``history``, so a run may be repeated. The stamps stay as they are.
+    :func:`triprollup.sources.tables.with_history` reads both tables as one; the copied
+    batches may then be removed from the live table at any time.
     """
-    day = F.date_trunc("day", F.col(STAMP))
-    old = F.col(STAMP) < F.to_timestamp(F.lit(before))
-    write_partitions(
-        source.withColumn(
-            PARTITION, F.when(old, partition_value(day)).otherwise(F.col(PARTITION))
-        ),
-        destination,
-    )
+    first, last = (partition_value(F.to_date(F.lit(d)).cast("timestamp")) for d in (start, end))
+    days = live.filter((F.col(PARTITION) >= first) & (F.col(PARTITION) < last))
+    day = partition_value(F.date_trunc("day", F.col(STAMP)))
+    write_partitions(days.withColumn(PARTITION, day), history)

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from triprollup.functions.time import partition_value
 from triprollup.schemas import (
+    PARTITION,
     RAW_TABLE_SCHEMA,
     REJECT_TABLE_SCHEMA,
     ROLLUP_TABLE_SCHEMA,
@@ -40,6 +42,18 @@ def reject_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(REJECT_TABLE_SCHEMA).parquet(path)
 
 
+def with_history(live: DataFrame, history: DataFrame, since: str) -> DataFrame:
+    """A table whose batches before a day come from its compacted history.
+
+    Both sides prune their partitions by that day, so batches still in the live table
+    after they were copied do not count twice.
+    """
+    cut = partition_value(F.to_date(F.lit(since)).cast("timestamp"))
+    return history.filter(F.col(PARTITION) < cut).unionByName(
+        live.filter(F.col(PARTITION) >= cut)
+    )
+
+
 def csv_file(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
     """A trip CSV file with a header line.
 
