@@ -14,7 +14,8 @@ def sum_sql(measure: str, decimals: int | None = None) -> str:
     added up as whole multiples of ``10^-decimals`` in a bigint, so the result is the
     same for every order and every split into batches, at the cost of a plain sum
     rather than that of a decimal one. It is meant for amounts that carry at most that
-    many decimals. Groups holding a value outside the bigint range, or ``NaN``, or
+    many decimals, and stays exact over partial sums as long as these, being doubles,
+    are below 2^53 units (9e13 with two decimals). Groups holding a value outside the bigint range, or ``NaN``, or
     whose sum leaves that range, get the plain sum.
     """
     if decimals is None:

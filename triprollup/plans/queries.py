@@ -319,7 +319,7 @@ def upsert_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def named_rollup_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A defined table filled by partitions and read by its name."""
-    name, path = "trip_reports.olap_trips", scratch_path(spark, "named")
+    name, path = "trip_reports.batch_rollups", scratch_path(spark, "named")
     define_namespace(spark, "trip_reports", scratch_path(spark, "namespace"))
     rollup = batch_rollup(trips(spark, sf_dir), BATCH_KEYS, decimals=DECIMALS)
     define_table(spark, name, path, rollup.schema, partition=BATCH)

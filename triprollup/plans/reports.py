@@ -109,8 +109,8 @@ def reconcile_reports(
 
 
 def print_report(report: DataFrame) -> None:
-    """Collect a report, which has one row per vendor and payment type, and print it."""
-    for row in report.collect():
+    """Print a report row by row, fetching one partition of it at a time."""
+    for row in report.toLocalIterator():
         print(*row, sep="\t")
 
 

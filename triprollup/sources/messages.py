@@ -32,7 +32,8 @@ def kafka_stream(
 ) -> DataFrame:
     """An unbounded read; ``starting_offsets`` counts only until a checkpoint exists.
 
-    ``maxOffsetsPerTrigger`` bounds a micro-batch when a backlog has built up.
+    ``maxOffsetsPerTrigger`` bounds a micro-batch when a backlog has built up;
+    ``minPartitions`` splits topic partitions that hold more than their share of it.
     """
     merged = kafka_options(servers, topic, startingOffsets=starting_offsets, **options)
     return spark.readStream.format("kafka").options(**merged).load()
