@@ -146,9 +146,8 @@ def test_compaction_keeps_the_reports(spark, trips, tmp_path):
     for stamp in ("01 00:00:00", "01 00:01:00", "02 23:59:00", "03 00:01:00", "04 00:00:00"):
         sink.write_partitions(_rollup(trips, f"2016-01-{stamp}"), path)
     live = source.rollup_table(spark, path)
-    for _ in range(2):
-        sink.compact(live, history, "2016-01-01", "2016-01-03")
-    sink.compact(live, history, "2016-01-03", "2016-01-04")
+    for day, joined in (("01", False), ("01", True), ("02", False), ("03", True)):
+        sink.compact(live, history, f"2016-01-{day}", join_files=joined)
     old = source.rollup_table(spark, history)
     days = [1451606400000 + n * 86400000 for n in range(3)]
     assert sorted(r[0] for r in old.select(PARTITION).distinct().collect()) == days
@@ -156,6 +155,7 @@ def test_compaction_keeps_the_reports(spark, trips, tmp_path):
         both = source.with_history(live, old, since)
         assert _contents(both.drop(PARTITION)) == _contents(live.drop(PARTITION))
         assert reports.report_rollup(both).collect() == reports.report_rollup(live).collect()
+    assert len(glob.glob(f"{history}/{PARTITION}={days[0]}/*.parquet")) == 1
     plan = source.with_history(live, old, "2016-01-04")._jdf.queryExecution().executedPlan()
     assert plan.toString().count("PartitionFilters: [isnotnull(batch_ms") == 2
 

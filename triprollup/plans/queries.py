@@ -85,22 +85,25 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _rounded(rollup: DataFrame) -> DataFrame:
-    """Averages to four places; their last digits depend on the order of the rows."""
+    """Averages to four places, to be compared with averages of doubles."""
     return rollup.withColumns(
         {c: F.round(c, 4) for c in rollup.columns if c.startswith("avg_")}
     )
 
 
 def _rollup(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    rollup = batch_rollup(trips(spark, sf_dir), BATCH_KEYS, decimals=DECIMALS, **options)
-    return _rounded(rollup)
+    return batch_rollup(trips(spark, sf_dir), BATCH_KEYS, decimals=DECIMALS, **options)
 
 
 def _stored_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rollup of all trips, read back from a table written for it."""
     path = scratch_path(spark, "rollup")
-    rollup = batch_rollup(trips(spark, sf_dir), BATCH_KEYS, decimals=DECIMALS)
-    write_partitions(rollup, path, BATCH)
+    write_partitions(_rollup(spark, sf_dir), path, BATCH)
+    return _keyed_table(spark, path)
+
+
+def _keyed_table(spark: SparkSession, path: str) -> DataFrame:
+    """A stored rollup; the key read from directory names gets its type back."""
     return parquet_table(spark, path).withColumn(BATCH, F.col(BATCH).cast("bigint"))
 
 
@@ -119,9 +122,7 @@ def report_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def report_rollup_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(
-        reaggregate(_stored_rollup(spark, sf_dir), GROUP_KEYS, decimals=DECIMALS)
-    )
+    return reaggregate(_stored_rollup(spark, sf_dir), GROUP_KEYS, decimals=DECIMALS)
 
 
 @registered
@@ -148,7 +149,7 @@ def timed_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def rollup_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rollup(spark, sf_dir)
+    return _rounded(_rollup(spark, sf_dir))
 
 
 @registered
@@ -163,7 +164,7 @@ def rollup_max(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def rollup_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rollup(spark, sf_dir, stats=["avg"], count=None)
+    return _rounded(_rollup(spark, sf_dir, stats=["avg"], count=None))
 
 
 @registered
@@ -312,8 +313,7 @@ def upsert_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     for load in (source, source.filter(F.col("rate_code_id") == "F")):
         rollup = batch_rollup(load, BATCH_KEYS, decimals=DECIMALS)
         upsert_rollup(rollup, path, BATCH_KEYS, partition=BATCH)
-    stored = parquet_table(spark, path).withColumn(BATCH, F.col(BATCH).cast("bigint"))
-    return _rounded(stored)
+    return _keyed_table(spark, path)
 
 
 @registered
@@ -321,11 +321,11 @@ def named_rollup_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A defined table filled by partitions and read by its name."""
     name, path = "trip_reports.batch_rollups", scratch_path(spark, "named")
     define_namespace(spark, "trip_reports", scratch_path(spark, "namespace"))
-    rollup = batch_rollup(trips(spark, sf_dir), BATCH_KEYS, decimals=DECIMALS)
+    rollup = _rollup(spark, sf_dir)
     define_table(spark, name, path, rollup.schema, partition=BATCH)
     write_partitions(rollup, path, BATCH)
     discover_partitions(spark, name)
-    return _rounded(spark.table(name))
+    return spark.table(name)
 
 
 @registered
@@ -336,7 +336,7 @@ def overwritten_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = trips(spark, sf_dir)
     overwrite_table(batch_rollup(source, BATCH_KEYS, decimals=DECIMALS), name, path)
     overwrite_table(batch_rollup(source, GROUP_KEYS, decimals=DECIMALS), name, path)
-    return _rounded(spark.table(name))
+    return spark.table(name)
 
 
 @registered
@@ -346,8 +346,7 @@ def decoded_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = encode_lines(trips(spark, sf_dir), keep=[BATCH])
     rollup = batch_rollup(decode_trips(lines, keep=[BATCH]), BATCH_KEYS, decimals=DECIMALS)
     upsert_rollup(rollup, path, BATCH_KEYS, partition=BATCH)
-    stored = parquet_table(spark, path).withColumn(BATCH, F.col(BATCH).cast("bigint"))
-    return _rounded(stored)
+    return _keyed_table(spark, path)
 
 
 @registered
@@ -446,7 +445,12 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def compacted_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rollup report of a streamed table after its batches were joined by day."""
     live = rollup_table(spark, _trip_feed(spark, sf_dir)["rollup"])
-    path, until = scratch_path(spark, "history"), "2200-01-01"
-    compact(live, path, start="1970-01-01", end=until)
-    whole = with_history(live, rollup_table(spark, path), since=until)
+    path = scratch_path(spark, "history")
+    # The ingest took place just now, so its batches span a day or, at midnight, two.
+    days = live.agg(
+        F.to_date(F.min(STAMP)).alias("first"), F.to_date(F.max(STAMP)).alias("last")
+    ).first()
+    for day in {days["first"], days["last"]}:
+        compact(live, path, day.isoformat(), join_files=True)
+    whole = with_history(live, rollup_table(spark, path), since="2200-01-01")
     return reports.report_rollup(whole, DECIMALS)

@@ -135,16 +135,21 @@ def discover_partitions(spark: SparkSession, name: str) -> None:
     spark.catalog.recoverPartitions(name)
 
 
-def compact(live: DataFrame, history: str, start: str, end: str) -> None:
-    """Copy the batches of some days to a history table, one partition a day.
-
-    ``live`` is a raw or rollup table, ``start`` and ``end`` dates such as
-    ``2026-01-31``, the second one exclusive. Only those days are read, and each replaces
-    its partition of ``history``, so a run may be repeated. The stamps stay as they are.
-    :func:`triprollup.sources.tables.with_history` reads both tables as one; the copied
-    batches may then be removed from the live table at any time.
+def compact(live: DataFrame, history: str, day: str, join_files: bool = False) -> None:
+    """Copy the batches of a day to a history table, as one partition.
+
+    ``live`` is a raw or rollup table and ``day`` a date such as ``2026-01-31``. Only that
+    day is read, and its partition of ``history`` is replaced, so a run may be repeated.
+    The stamps stay as they are. :func:`triprollup.sources.tables.with_history` reads both
+    tables as one; the copied batches may then be removed from the live table at any time.
+
+    Nothing is shuffled: a scan task packs many small files and writes one. For tiny files,
+    as a rollup has, ``join_files`` joins what the tasks give as well, by a shuffle.
     """
-    first, last = (partition_value(F.to_date(F.lit(d)).cast("timestamp")) for d in (start, end))
-    days = live.filter((F.col(PARTITION) >= first) & (F.col(PARTITION) < last))
-    day = partition_value(F.date_trunc("day", F.col(STAMP)))
-    write_partitions(days.withColumn(PARTITION, day), history)
+    start = F.to_date(F.lit(day))
+    first, last = (partition_value(d.cast("timestamp")) for d in (start, F.date_add(start, 1)))
+    rows = live.filter((F.col(PARTITION) >= first) & (F.col(PARTITION) < last))
+    if join_files:
+        rows = rows.hint("rebalance")
+    day_ms = live.sparkSession.range(1).select(first.alias("ms")).first()["ms"]
+    write_batch(rows.drop(PARTITION), history, day_ms)
