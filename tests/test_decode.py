@@ -234,3 +234,8 @@ def test_documents(lines_of):
     assert good[1]["pickup_longitude"] == 0.0 and good[1]["payment_type"] is None
     with pytest.raises(Exception, match="refused trip line"):
         decode_trips(lines_of("{"), form="json").collect()
+    # Reading few columns must not hide a fault in another one.
+    wrong = lines_of('{"vendor_id":"2","total_amount":"x"}')
+    with pytest.raises(Exception, match="refused trip line"):
+        decode_trips(wrong, form="json").select("vendor_id").collect()
+    assert decode_trips(wrong, form="json", mode="quarantine").count() == 0

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from conftest import line
 from triprollup.operators.decode import decode_trips, encode_json
 from triprollup.plans import reports
-from triprollup.schemas import GROUP_KEYS, PARTITION, STAMP
+from triprollup.schemas import GROUP_KEYS, PARTITION, RAW_TABLE_SCHEMA, STAMP
+from triprollup.sinks.tables import define_table
 from triprollup.sources.messages import line_stream
 from triprollup.sources.tables import raw_table, reject_table, rollup_table
 from triprollup.streaming import ingest
@@ -151,6 +152,26 @@ def test_empty_source_writes_nothing(spark, paths, tmp_path):
     assert not (tmp_path / "raw").exists()
 
 
+def test_named_tables_learn_of_each_batch(spark, paths, lines_of):
+    names = {"raw": "ingest_raw_test", "rollup": "ingest_rollup_test"}
+    define_table(spark, names["raw"], paths["raw"], RAW_TABLE_SCHEMA)
+    define_table(spark, names["rollup"], paths["rollup"])
+    for part in range(3):
+        _feed(paths, f"part{part}", LINES[part::3])
+    _run(spark, paths, named=list(names.values()))
+    _check_whole(spark, paths, lines_of)
+    raw, rollup = spark.table(names["raw"]), spark.table(names["rollup"])
+    direct = reports.report_raw(raw_table(spark, paths["raw"]), 2).collect()
+    assert reports.report_raw(raw, 2).collect() == direct
+    assert reports.report_rollup(rollup, 2).collect() == direct
+    first = rollup.filter(F.col(PARTITION) == _stamps(rollup)[0])
+    assert first.agg(F.sum("count_trips")).first()[0] in (33, 34)
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "[1 paths]" in plan or "(1 paths)" in plan
+    for name in names.values():
+        spark.sql(f"drop table {name}")
+
+
 def test_preview_is_printed(spark, paths, capfd):
     _feed(paths, "a", LINES)
     _run(spark, paths, preview=2)

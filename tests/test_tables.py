@@ -1,4 +1,5 @@
 import glob
+import tempfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -283,5 +284,18 @@ def test_scratch_paths_differ_and_lie_in_the_shared_folder(spark):
     assert a != b and a.startswith(root)
 
 
+class _Session:
+    def __init__(self, **settings):
+        self.conf = {name.replace("_", "."): value for name, value in settings.items()}
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    assert scratch_path(_Session(spark_master="local[4]"), "x").startswith(tempfile.gettempdir())
+    shared = _Session(spark_master="yarn", spark_checkpoint_dir="hdfs:///shared/")
+    assert scratch_path(shared, "x").startswith("hdfs:///shared/triprollup/x-")
+    with pytest.raises(ValueError):
+        scratch_path(_Session(spark_master="yarn"), "x")
+
+
 def test_fixture_has_every_field():
     assert len(FIELDS) == len(TRIP_COLUMNS) == 19 and set(GROUP_KEYS) < set(TRIP_COLUMNS)

@@ -135,6 +135,11 @@ def discover_partitions(spark: SparkSession, name: str) -> None:
     spark.catalog.recoverPartitions(name)
 
 
+def add_batch(spark: SparkSession, name: str, batch_ms: int) -> None:
+    """Make one batch known to a named table, without a listing of its directory."""
+    spark.sql(f"alter table {name} add if not exists partition ({PARTITION}={batch_ms})")
+
+
 def compact(live: DataFrame, history: str, day: str, join_files: bool = False) -> None:
     """Copy the batches of a day to a history table, as one partition.
 
@@ -151,5 +156,5 @@ def compact(live: DataFrame, history: str, day: str, join_files: bool = False) -
     rows = live.filter((F.col(PARTITION) >= first) & (F.col(PARTITION) < last))
     if join_files:
         rows = rows.hint("rebalance")
-    day_ms = live.sparkSession.range(1).select(first.alias("ms")).first()["ms"]
+    day_ms = live.sparkSession.sql("select 1").select(first.alias("ms")).first()["ms"]
     write_batch(rows.drop(PARTITION), history, day_ms)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ from triprollup.operators.decode import (
 from triprollup.operators.preview import show
 from triprollup.operators.rollup import batch_rollup
 from triprollup.schemas import PARTITION, REASON, STAMP, STAMPED_TRIP_SCHEMA
-from triprollup.sinks.tables import batch_path, write_batch
+from triprollup.sinks.tables import add_batch, batch_path, write_batch
 from triprollup.sources.messages import project_value
 
 EVERY_MINUTE = {"processingTime": "60 seconds"}
@@ -63,6 +63,7 @@ def _land_batch(
     rejects: str | None,
     decimals: int | None,
     preview: int,
+    named: Sequence[str],
 ) -> Callable[[DataFrame, int], None]:
     def land(batch: DataFrame, _batch_id: int) -> None:
         head = batch.select(partition_value(STAMP).alias(PARTITION)).first()
@@ -79,6 +80,8 @@ def _land_batch(
             if refused.get["n"]:
                 write_batch(rejected_lines(batch), rejects, batch_ms)
         roll_up_batch(spark, raw, rollup, batch_ms, decimals)
+        for table in named:
+            add_batch(spark, table, batch_ms)
         if preview:
             show(spark.read.parquet(batch_path(raw, batch_ms)), preview)
             show(spark.read.parquet(batch_path(rollup, batch_ms)), preview)
@@ -98,23 +101,27 @@ def start_ingest(
     trigger: dict | None = None,
     decimals: int | None = None,
     preview: int = 0,
+    named: Sequence[str] = (),
     name: str | None = None,
 ) -> StreamingQuery:
     """Start the ingest; ``awaitTermination`` of the result waits for its end.
 
-    ``messages`` is a stream with a ``value`` column, of CSV lines or with
-    ``form="json"`` of JSON documents. In strict mode a faulty line
-    fails the query; in quarantine mode it goes to the ``rejects`` table with the
-    reason. ``trigger`` defaults to a micro-batch a minute. ``preview`` rows of each
-    batch and of its rollup are printed. A pair of tables takes one
-    ingest at a time, since two could share a stamp.
+    ``messages`` is a stream with a ``value`` column, of CSV lines or with ``form="json"``
+    of JSON documents. In strict mode a faulty message fails the query; in quarantine mode
+    it goes to the ``rejects`` table with the reason. ``trigger`` defaults to a micro-batch
+    a minute. ``preview`` rows of each batch and of its rollup are printed. ``named`` are
+    tables defined over ``raw`` or ``rollup`` that each batch is made known to; read by
+    name, they list the partitions a query needs instead of the whole directory. A pair
+    of tables takes one ingest at a time, since two could share a stamp.
     """
     if (mode == QUARANTINE) != (rejects is not None):
         raise ValueError("a rejects path goes with quarantine mode, and only with it")
     writer = (
         stamped_messages(messages, mode, form)
         .writeStream.foreachBatch(
-            _land_batch(messages.sparkSession, raw, rollup, rejects, decimals, preview)
+            _land_batch(
+                messages.sparkSession, raw, rollup, rejects, decimals, preview, named
+            )
         )
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or EVERY_MINUTE))
