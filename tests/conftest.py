@@ -15,7 +15,7 @@ def spark(tmp_path_factory):
         .appName("triprollup-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(home / "warehouse"))
         .getOrCreate()

@@ -141,7 +141,7 @@ def _jvm_split(text):
     return parts
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.text(alphabet="ab ,\n.1", max_size=12), min_size=1, max_size=30))
 def test_split_property(spark, texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
@@ -149,7 +149,7 @@ def test_split_property(spark, texts):
         assert row["f"] == _jvm_split(row["t"])
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(
         st.one_of(
@@ -157,7 +157,7 @@ def test_split_property(spark, texts):
             st.text(alphabet="0123456789+-. e", max_size=11),
         ),
         min_size=1,
-        max_size=40,
+        max_size=120,
     )
 )
 def test_int_property(spark, texts):
@@ -172,7 +172,7 @@ JVM_DOUBLE = re.compile(
 )
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(
         st.one_of(
@@ -181,7 +181,7 @@ JVM_DOUBLE = re.compile(
             st.sampled_from(["NaN", "-Infinity", "+NaN", "inf", "-inf", "INF", "infinity", "1D"]),
         ),
         min_size=1,
-        max_size=40,
+        max_size=120,
     )
 )
 def test_double_property(lines_of, texts):
