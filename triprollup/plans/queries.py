@@ -71,7 +71,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # How many micro-batches a registered stream query cuts its feed into, about.
-MICRO_BATCHES = 4
+MICRO_BATCHES = 3
 
 
 def registered(query: Query) -> Query:
