@@ -2,21 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new directory in the shared folder the cluster names for checkpoints.
-
-    Only a local session may go without that folder: its executors share the disk of
-    the driver.
-    """
+    """A new directory in the shared folder that spark.checkpoint.dir names."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder")
-        root = tempfile.gettempdir()
+        raise ValueError("spark.checkpoint.dir must name a folder all executors share")
     return f"{root.rstrip('/')}/triprollup/{label}-{uuid4().hex}"
