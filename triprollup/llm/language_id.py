@@ -104,7 +104,7 @@ class Tagger:
     def predict(self, texts: list[bytes], part: int = 1 << 21) -> list[tuple[int, float]]:
         """Language number and mean probability at a position, for texts that are not empty."""
         out: list[tuple[int, float]] = []
-        for first, last in chunks(texts, part):
+        for first, last in chunks([len(t) for t in texts], part):
             out.extend(self._pooled(texts[first:last], part // WINDOW))
         return out
 

@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from triprollup.llm.tokens import WordTokenizer, chunks, tokenizer_path
+from triprollup.llm.tokens import encoded, tokenizer_at, tokenizer_path
 
 ROW_TOKENS = 4096
 END = 1
@@ -121,27 +121,21 @@ def pack_matrices(
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(file)
-        if tokenizer.whole.get_vocab_size() > 1 << 16:
+        if tokenizer_at(file).whole.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this tokenizer do not fit 16 bits")
         base = TaskContext.get().partitionId() << 32
         cell: list[tuple[int, int, int, np.ndarray]] = []
         held = 0
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            doc_ids = batch.column(0).to_pylist()
-            for first, last in chunks(texts):
-                ids, bounds = tokenizer.encode(texts[first:last])
-                ids = ids.astype("<u2")
-                for n, doc_id in enumerate(doc_ids[first:last]):
-                    own = np.append(ids[bounds[n] : bounds[n + 1]], np.array([END], "<u2"))
-                    for piece, start in enumerate(range(0, len(own), capacity)):
-                        part = own[start : start + capacity]
-                        if held + len(part) > cell_tokens:
-                            yield (made := rows_of(cell, base))
-                            cell, held, base = [], 0, base + made.num_rows
-                        cell.append((doc_id, piece, start, part))
-                        held += len(part)
+            for doc_id, ids in encoded(batch, file):
+                own = np.append(ids, END).astype("<u2")
+                for piece, start in enumerate(range(0, len(own), capacity)):
+                    part = own[start : start + capacity]
+                    if held + len(part) > cell_tokens:
+                        yield (made := rows_of(cell, base))
+                        cell, held, base = [], 0, base + made.num_rows
+                    cell.append((doc_id, piece, start, part))
+                    held += len(part)
         if cell:
             yield rows_of(cell, base)
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from triprollup.llm.tables import ceil_div, stored
-from triprollup.llm.tokens import WordTokenizer, chunks, tokenizer_path
+from triprollup.llm.tokens import encoded, tokenizer_path
 
 CAPACITY = 4096
 OPEN_BINS = 512
@@ -80,29 +80,20 @@ def pieces_of(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None
     """
     file = path or tokenizer_path()
 
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(file)
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            doc_ids = batch.column(0).to_pylist()
-            for first, last in chunks(texts):
-                rows = []
-                ids, bounds = tokenizer.encode(texts[first:last])
-                ids = ids.astype("<u4")
-                for n, doc_id in enumerate(doc_ids[first:last]):
-                    own = np.append(ids[bounds[n] : bounds[n + 1]], np.array([END], "<u4"))
-                    for piece, start in enumerate(range(0, len(own), capacity)):
-                        part = own[start : start + capacity]
-                        rows.append((doc_id, piece, start, len(part), zlib.crc32(part.tobytes())))
-                yield _batch(rows)
-
-    def _batch(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-        names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-        columns = zip(*rows) if rows else [[]] * len(kinds)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)], names=names
-        )
+            rows = []
+            for doc_id, ids in encoded(batch, file):
+                own = np.append(ids, END).astype("<u4")
+                for piece, start in enumerate(range(0, len(own), capacity)):
+                    part = own[start : start + capacity]
+                    rows.append((doc_id, piece, start, len(part), zlib.crc32(part.tobytes())))
+            columns = zip(*rows) if rows else [[]] * len(kinds)
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text")).mapInArrow(cut, PIECES)
 

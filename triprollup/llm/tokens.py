@@ -3,15 +3,19 @@
 The tokenizer drops white space and splits words from punctuation, so the ids of a text are
 the ids of its words one after the other. Invented and compound words are many but repeat;
 each is encoded once in a batch, and a word of letters only goes straight to the merges.
+Words that repeat are kept for the batches that the same Python worker gets next.
 """
 
 from __future__ import annotations
 
+import functools
 import itertools
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer, pre_tokenizers
 
 TOKENIZER = "word_bpe_49k.json"
@@ -19,6 +23,8 @@ TOKENIZER = "word_bpe_49k.json"
 PUNCTUATION = b".,|!#$%&*+-/:;=?@\\^_`~()[]{}\"<>"
 #: A text with this may hold a special token, which is matched before case is folded.
 SPECIAL = b"<|"
+#: Words that a worker keeps from batch to batch, at most.
+KEPT_WORDS = 250_000
 
 
 def tokenizer_path() -> str:
@@ -27,14 +33,6 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
-class _Numbered(dict):
-    """Numbers keys in the order they are first asked for."""
-
-    def __missing__(self, key):
-        self[key] = number = len(self)
-        return number
-
-
 class WordTokenizer:
     """Of a tokenizer that lower-cases, splits at white space and knows no word before."""
 
@@ -42,6 +40,7 @@ class WordTokenizer:
         self.whole = Tokenizer.from_file(path)
         self.merges = self.whole.model
         self.bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.kept: dict[bytes, list[int]] = {}
 
     def _letters(self, word: str) -> list[int]:
         if not word.isascii():
@@ -68,35 +67,57 @@ class WordTokenizer:
                 found = found + ids if found else ids
         return found
 
-    def encode(self, texts: Sequence[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode_words(self, words: list[bytes], counts: np.ndarray) -> list[list[int]]:
+        parts: dict[bytes, list[int]] = {}
+        kept = self.kept
+        found = [kept.get(w) or self.word_ids(w, parts) for w in words]
+        if len(kept) + int((counts > 1).sum()) > KEPT_WORDS:
+            kept.clear()
+        repeated = np.flatnonzero(counts > 1)[:KEPT_WORDS].tolist()
+        kept.update((words[i], found[i]) for i in repeated)
+        return found
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and where each text begins in it (one more for the end)."""
-        numbers, places, counts = _Numbered(), [], []
-        for text in texts:
-            text = text or b""
-            words = (text if SPECIAL in text else text.lower()).split()
-            places.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
-            counts.append(len(words))
-        cache: dict[bytes, list[int]] = {}
-        lists = [self.word_ids(w, cache) for w in numbers]
+        texts = pc.fill_null(texts, "")
+        special = pc.match_substring(texts, SPECIAL.decode())
+        words = pc.ascii_split_whitespace(pc.if_else(special, texts, pc.ascii_lower(texts)))
+        coded = words.flatten().dictionary_encode()
+        word = coded.indices.to_numpy()
+        distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+        lists = self._encode_words(distinct, np.bincount(word, minlength=len(distinct)))
         sizes = np.fromiter(map(len, lists), np.int64, len(lists))
         flat = np.fromiter(itertools.chain.from_iterable(lists), np.uint32, int(sizes.sum()))
         starts = np.cumsum(sizes) - sizes
-        word = np.concatenate(places) if places else np.zeros(0, np.int64)
         lengths = sizes[word]
-        ends = np.cumsum(lengths)
-        at = np.arange(int(ends[-1]) if len(ends) else 0)
-        ids = flat[at + np.repeat(starts[word] - (ends - lengths), lengths)]
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)]).astype(int)]
-        return ids, bounds
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        ids = flat[np.arange(ends[-1]) + np.repeat(starts[word] - ends[:-1], lengths)]
+        return ids, ends[words.offsets.to_numpy()]
+
+
+@functools.cache
+def tokenizer_at(path: str) -> WordTokenizer:
+    """One for each Python worker."""
+    return WordTokenizer(path)
 
 
-def chunks(texts: Sequence[bytes | None], size: int = 8_000_000):
+def chunks(sizes: Sequence[int], most: int = 32_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about so many bytes; a longer text is a range of its own."""
     first, held = 0, 0
-    for i, text in enumerate(texts):
-        if held and held + len(text or b"") > size:
+    for i, size in enumerate(sizes):
+        if held and held + size > most:
             yield first, i
             first, held = i, 0
-        held += len(text or b"")
-    if first < len(texts):
-        yield first, len(texts)
+        held += size
+    if first < len(sizes):
+        yield first, len(sizes)
+
+
+def encoded(batch: pa.RecordBatch, path: str) -> Iterator[tuple[int | None, np.ndarray]]:
+    """doc_id and ids of each row of a batch of doc_id and text."""
+    doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+    for first, last in chunks(sizes):
+        ids, bounds = tokenizer_at(path).encode(texts.slice(first, last - first))
+        for n, doc_id in enumerate(doc_ids[first:last]):
+            yield doc_id, ids[bounds[n] : bounds[n + 1]]
