@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triprollup.llm import feistel, host_rules, language_id, line_dedup, matrices, packing
+from triprollup.llm import decontaminate, feistel, host_rules, language_id, line_dedup, matrices, packing
 from triprollup.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = feistel.shard_documents(table(spark, sf_dir, "documents"))
     return placed.select(
@@ -63,6 +69,7 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op1_line_dedup,
+        op2_decontamination,
         op3_sharding,
         op7_best_fit_packing,
         op8_host_rules,

@@ -101,7 +101,7 @@ def tokenizer_at(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def chunks(sizes: Sequence[int], most: int = 32_000_000) -> Iterator[tuple[int, int]]:
+def chunks(sizes: Sequence[int], most: int = 16_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about so many bytes; a longer text is a range of its own."""
     first, held = 0, 0
     for i, size in enumerate(sizes):
