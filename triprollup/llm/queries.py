@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triprollup.llm import decontaminate, feistel, host_rules, language_id, line_dedup, matrices, packing
+from triprollup.llm import decontaminate, feistel, host_rules, language_id, line_dedup, lm_scoring, matrices, packing
 from triprollup.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,18 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -71,6 +83,7 @@ QUERIES: dict[str, Query] = {
         op1_line_dedup,
         op2_decontamination,
         op3_sharding,
+        op6_lm_scoring,
         op7_best_fit_packing,
         op8_host_rules,
         op9_language_id,
