@@ -17,13 +17,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-import xxhash
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from triprollup.llm import recurrent
+from triprollup.llm.batches import hashes_of, split
 from triprollup.llm.tables import crc_of_id, stored
 
 FOLDS, HELD_OUT = 7, 2
@@ -43,28 +42,6 @@ SCORES = (
 )
 
 
-def split(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
-    """Word numbers of all texts, the distinct words, and where each text begins.
-
-    Words are runs of characters other than ASCII white space, A-Z in lower case.
-    """
-    words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
-    coded = words.flatten().dictionary_encode()
-    number = coded.indices.to_numpy()
-    distinct = coded.dictionary.cast(pa.binary()).to_pylist()
-    bounds = words.offsets.to_numpy()
-    # White space at the ends gives empty words.
-    empty = distinct.index(b"") if b"" in distinct else -1
-    real = number != empty
-    bounds = np.concatenate([[0], np.cumsum(real)])[bounds]
-    return number[real], distinct, bounds
-
-
-def hashes_of(words: list[bytes]) -> np.ndarray:
-    """64-bit hashes; two of a million million words share one with a chance of 3 in 100."""
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
-
-
 def blocked(docs: DataFrame) -> DataFrame:
     """doc_id, text, held_out, learned and block; a block is a stretch of rows of one file.
 

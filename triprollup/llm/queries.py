@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triprollup.llm import decontaminate, feistel, host_rules, language_id, line_dedup, lm_scoring, matrices, packing
+from triprollup.llm import (
+    decontaminate,
+    feistel,
+    host_rules,
+    jaccard_forest,
+    language_id,
+    line_dedup,
+    lm_scoring,
+    matrices,
+    packing,
+)
 from triprollup.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +48,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_forest.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_documents(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -83,6 +97,7 @@ QUERIES: dict[str, Query] = {
         op1_line_dedup,
         op2_decontamination,
         op3_sharding,
+        op5_jaccard_join,
         op6_lm_scoring,
         op7_best_fit_packing,
         op8_host_rules,
