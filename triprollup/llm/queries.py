@@ -17,6 +17,7 @@ from triprollup.llm import (
     lm_scoring,
     matrices,
     packing,
+    suffix_dedup,
 )
 from triprollup.llm.tables import table
 
@@ -48,6 +49,17 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.dedup_strings(docs, keep_first=False).select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("data", 256).alias("kept_sha256"),
+    )
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_forest.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -97,6 +109,7 @@ QUERIES: dict[str, Query] = {
         op1_line_dedup,
         op2_decontamination,
         op3_sharding,
+        op4_suffix_dedup,
         op5_jaccard_join,
         op6_lm_scoring,
         op7_best_fit_packing,
