@@ -275,7 +275,9 @@ def _verified(
         .otherwise(F.pmod(F.xxhash64("root"), F.lit(cells)))
         .alias("cell"),
     )
-    placed = docs.select(F.col("doc_id").cast("bigint").alias("rep"), "text").join(blocks, "rep")
+    # How many members there are has no bound, so texts meet them by a shuffle at any size.
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("rep"), "text")
+    placed = texts.join(blocks.hint("merge"), "rep")
 
     def verify(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
@@ -409,6 +411,8 @@ def near_duplicates(
             F.coalesce("n_links", F.lit(0)).alias("n_links"),
         )
     )
+    # Written first, so that the join of a text that is copied very often can be split.
+    of_set = stored(of_set, "answers")
     with_id = signed.select("doc_id", "set").join(of_set, "set", "left").select(
         "doc_id",
         F.coalesce("class_id", "doc_id").alias("class_id"),
