@@ -13,9 +13,10 @@ A string of `length` bytes that starts at more than one place is found as follow
    that agree on `length` bytes form runs; a place with a smaller one before or after it in
    its run has a longest previous factor of `length` or more, that is an earlier copy.
 4. A gram in more contexts than a cell takes is split: strings that begin x to y bytes before
-   the anchor agree on the x bytes before and the length - y bytes from it. Half of the range
-   of distances at a time, contexts are regrouped by what they would have to agree on, those
-   that agree on everything are settled by counting, and groups small enough go to cells.
+   the anchor agree on the x bytes before and the length - y bytes from it. The range of
+   distances is cut in parts; for each, contexts are regrouped by what they would have to
+   agree on, those that agree on everything are settled by counting, and groups small enough
+   go to cells. Larger ones are split again.
 
 Nothing is left out at any step, and a cell's memory is bounded. Documents are ordered by id.
 """
@@ -34,8 +35,11 @@ from triprollup.llm.tables import ceil_div, stored
 
 LENGTH = 400
 GRAM = 64
-#: Contexts of a group that go to one cell, and about as many of a cell.
+#: Contexts of a group that go to one cell, at most; and of a cell of small groups, about.
 CELL = 1_500
+CELL_OF_SMALL = 80
+#: Parts that the distances of a larger group are split into at a time.
+PARTS = 4
 #: Bytes hashed at a time.
 STRETCH = 2_000_000
 
@@ -143,18 +147,34 @@ def _anchors(keyed: DataFrame, length: int, gram: int) -> DataFrame:
 def suffix_runs(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """The starts in suffix order, compared on `length` bytes, and the run that each is in.
 
-    Ranks of 8 bytes are doubled up to a power of two; two overlapping ones give `length`.
+    From the ranks of all places by 8 bytes come those by several times as many: as many ranks
+    of stretches that follow each other as 62 bits hold are compared as one number. The last
+    stretches overlap, so that they cover `length` bytes exactly.
     """
     padded = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
     n, key = len(data), np.zeros(len(data), np.uint64)
     for k in range(8):
         key = (key << np.uint64(8)) | padded[k : k + n]
-    rank, width = np.unique(key, return_inverse=True)[1], 8
-    while 2 * width <= length:
-        later = np.concatenate([rank[width:], np.zeros(width, rank.dtype)])
-        rank = np.unique(rank * (n + 1) + later, return_inverse=True)[1]
-        width *= 2
-    pair = rank[starts] * (n + 1) + rank[starts + (length - width)]
+    bits = n.bit_length()
+    together = max(2, 62 // bits)
+
+    def joined(rank: np.ndarray, at: np.ndarray, offsets: list[int]) -> np.ndarray:
+        found = np.zeros(len(at), np.int64)
+        for offset in offsets:
+            found = (found << bits) | rank[np.minimum(at + offset, n)]
+        return found
+
+    places, width = np.arange(n), 8
+    while True:
+        # The place after the end ranks last.
+        rank = np.append(np.unique(key, return_inverse=True)[1], n)
+        times = ceil_div(length, width)
+        if times <= together:
+            break
+        key = joined(rank, places, [k * width for k in range(together)])
+        width *= together
+    offsets = [min(k * width, length - width) for k in range(times)]
+    pair = joined(rank, starts, offsets)
     order = np.argsort(pair, kind="stable")
     change = np.concatenate([[0], (np.diff(pair[order]) != 0).astype(int)])
     return order, np.cumsum(change)
@@ -252,7 +272,9 @@ def repeated_spans(
     keyed = _keyed(docs)
     anchors = stored(_anchors(keyed, length, gram), "anchors")
     grams = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    anchors = stored(anchors.join(grams.select("gram"), "gram"), "shared-anchors")
+    # Written first, so that the join of a gram that is in every third document can be split.
+    grams = stored(grams.select("gram"), "shared-grams")
+    anchors = stored(anchors.join(grams, "gram"), "shared-anchors")
     key = F.struct("doc_id", "version", "pos")
     contexts = stored(
         anchors.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first")),
@@ -296,7 +318,7 @@ def repeated_spans(
     parts = small[0]
     for more in small[1:]:
         parts = parts.unionByName(more)
-    cells = max(1, ceil_div(parts.count(), cell))
+    cells = max(1, ceil_div(parts.count(), CELL_OF_SMALL))
     dealt = parts.withColumn("cell", F.pmod(F.xxhash64("group"), F.lit(cells)))
     found.append(
         dealt.groupBy("cell").applyInArrow(
@@ -321,9 +343,7 @@ def _agreed(before_bytes: Column, after_bytes: Column) -> Column:
     return F.when((first >= 0) & (held >= after_bytes), F.xxhash64(cut))
 
 
-def _split(
-    large: DataFrame, length: int, keep_first: bool
-) -> tuple[DataFrame, DataFrame]:
+def _split(large: DataFrame, length: int, keep_first: bool) -> tuple[DataFrame, DataFrame]:
     """Spans that are settled for groups too large, and their members in smaller groups."""
     all_ = _agreed(F.col("high"), length - F.col("low"))
     large = stored(large.withColumn("all", all_), "large-groups")
@@ -335,20 +355,19 @@ def _split(
     is_first = key.eqNullSafe(F.col("first"))
     repeated = marked.filter("n > 1")
     repeated = repeated.filter(~is_first) if keep_first else repeated
-    settled = _span(
-        repeated, F.col("pos") - F.col("high"), F.col("pos") - F.col("low") + length
-    )
+    settled = _span(repeated, F.col("pos") - F.col("high"), F.col("pos") - F.col("low") + length)
     # One context stands for those equal in all that counts; where one distance is left, the
     # group agreed on all of it.
     rest = marked.filter((F.col("n").isNull() | is_first) & (F.col("low") < F.col("high")))
-    middle = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
-    halves = F.array(
-        F.struct(F.col("low").alias("low"), middle.alias("high")),
-        F.struct((middle + 1).alias("low"), F.col("high").alias("high")),
-    )
+    count = F.col("high") - F.col("low") + 1
+
+    def cut(k: int) -> Column:
+        return (F.col("low") + F.floor(count * k / PARTS)).cast("int")
+
+    ranges = [F.struct(cut(k).alias("low"), (cut(k + 1) - 1).alias("high")) for k in range(PARTS)]
     names = ["doc_id", "version", "pos", "before", "bytes"]
-    parts = rest.select(*names, "group", F.explode(halves).alias("range"))
-    parts = parts.select(*names, "group", "range.*")
+    parts = rest.select(*names, "group", F.explode(F.array(*ranges)).alias("range"))
+    parts = parts.select(*names, "group", "range.*").filter("low <= high")
     agreed = _agreed(F.col("low"), length - F.col("high"))
     parts = parts.withColumn("agreed", agreed).filter("agreed is not null")
     parts = parts.withColumn("group", F.xxhash64("group", "low", "high", "agreed"))
