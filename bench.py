@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -40,6 +41,7 @@ def session() -> SparkSession:
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

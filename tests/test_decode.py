@@ -71,9 +71,9 @@ def test_values_and_types(lines_of):
         f.dataType for f in TRIP_SCHEMA
     ]
     row = trips.first()
-    single = struct.unpack("f", struct.pack("f", -73.99037))[0]
+    single = struct.unpack("f", struct.pack("f", -71.05))[0]
     assert row["passenger_count"] == 2 and row["pickup_longitude"] == single
-    assert (row["vendor_id"], row["total_amount"]) == ("2", 8.8)
+    assert (row["vendor_id"], row["total_amount"]) == ("2", 29.5)
 
 
 def test_special_numbers(lines_of):
@@ -141,7 +141,7 @@ def _jvm_split(text):
     return parts
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.text(alphabet="ab ,\n.1", max_size=12), min_size=1, max_size=30))
 def test_split_property(spark, texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
@@ -149,7 +149,7 @@ def test_split_property(spark, texts):
         assert row["f"] == _jvm_split(row["t"])
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(
         st.one_of(
@@ -172,7 +172,7 @@ JVM_DOUBLE = re.compile(
 )
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(
         st.one_of(
@@ -199,16 +199,30 @@ def test_round_trips(spark, lines_of):
 
 
 def test_literal_record_as_json(spark):
-    one = literal_trips(
-        spark,
-        [("2", "2016-01-01 00:00:00", "2016-01-01 00:00:00", 2, 1.10, -73.99037, 40.734695,
-          "1", "N", -73.98184, 40.732407, "2", 7.5, 0.5, 0.5, 0.0, 0.0, 0.3, 8.8)],
-    )
+    kinds = [f.dataType.typeName() for f in TRIP_SCHEMA.fields]
+    cast = {"string": str, "long": int, "double": float, "float": float}
+    one = literal_trips(spark, [[cast[k](v) for k, v in zip(kinds, FIELDS)]])
     text = encode_json(one).first()["value"]
-    assert text.startswith('{"vendor_id":"2","tpep_pickup_datetime":"2016-01-01 00:00:00"')
+    assert text.startswith(f'{{"vendor_id":"{FIELDS[0]}","tpep_pickup_datetime":"{FIELDS[1]}"')
     assert decode_json(encode_json(one)).collect() == one.collect()
 
 
+@pytest.mark.parametrize("tail", ["", " ", "\n", "{0} x", "{0}{0}", "{0},{0}", "{0}]", "{0}],[{0}"])
+def test_messages_that_are_not_one_document(spark, lines_of, tail):
+    document = encode_json(decode_trips(lines_of(line()))).first()["value"]
+    message = tail.replace("{0}", document)
+    (row,) = decode_documents(lines_of(message)).collect()
+    assert (row["reject_reason"], row["line"]) == ("bad document", message)
+    assert decode_json(lines_of(message)).first()["vendor_id"] is None
+    with pytest.raises(Exception, match="bad document"):
+        decode_trips(lines_of(message), form="json").collect()
+
+
+def test_brackets_in_a_text_are_no_end(lines_of):
+    document = encode_json(decode_trips(lines_of(line(vendor_id="]}][{")))).first()["value"]
+    assert decode_trips(lines_of(document), form="json").first()["vendor_id"] == "]}][{"
+
+
 def test_malformed_json_gives_nulls(lines_of):
     row = decode_json(lines_of("{not json"), "k bigint").first()
     assert row["k"] is None

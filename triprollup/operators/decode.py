@@ -93,8 +93,9 @@ def decode_documents(
 ) -> DataFrame:
     """:func:`decode_lines` for messages that hold a trip as a JSON document.
 
-    A document that is malformed or has a field of the wrong type is faulty. A number
-    that is absent is 0, as in a record of primitive fields; an absent text is null.
+    A document that is malformed or has a field of the wrong type is faulty, as is a
+    message that is blank or holds anything besides one document. A number that is absent
+    is 0, as in a record of primitive fields; an absent text is null.
     """
     line = F.col(value)
     schema = T.StructType([*TRIP_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
@@ -111,7 +112,7 @@ def decode_documents(
             for f in TRIP_SCHEMA.fields
         ),
         F.when(F.col(LINE).isNull(), "no value")
-        .when(F.col(CORRUPT).isNotNull(), "bad document")
+        .when(F.col(CORRUPT).isNotNull() | ~is_one_document(F.col(LINE)), "bad document")
         .alias(REASON),
         LINE,
     )
@@ -120,6 +121,19 @@ def decode_documents(
     )
 
 
+def is_one_document(line: Column) -> Column:
+    """Whether a message is one JSON value that is not followed or preceded by anything.
+
+    A parser stops behind the first value, so the message is read as a part of an array. One
+    that closes this array itself gives the same length whatever comes behind it.
+    """
+
+    def length(tail: str) -> Column:
+        return F.json_array_length(F.concat(F.lit("["), line, F.lit(tail)))
+
+    return length("]").eqNullSafe(1) & length(",0]").eqNullSafe(2)
+
+
 DECODERS = {CSV: decode_lines, JSON: decode_documents}
 
 
@@ -191,7 +205,11 @@ def decode_json(
     value: str = "value",
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Typed columns from JSON documents; a malformed document gives nulls."""
-    return messages.select(
-        *keep, F.from_json(F.col(value), schema).alias("_record")
-    ).select(*keep, "_record.*")
+    """Typed columns from JSON documents.
+
+    A message that is malformed, blank, or more than one document gives nulls.
+    """
+    whole = F.when(is_one_document(F.col(value)), F.col(value))
+    return messages.select(*keep, F.from_json(whole, schema).alias("_record")).select(
+        *keep, "_record.*"
+    )

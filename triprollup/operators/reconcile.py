@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,13 +13,14 @@ def reconcile(
     right: DataFrame,
     keys: Sequence[str],
     values: Sequence[str],
-    tolerance: float = 0.0,
+    tolerance: Mapping[str, float] | None = None,
 ) -> DataFrame:
     """One row per key of either report, the differences of its values, and ``match``.
 
     ``diff_<value>`` is left minus right, null where a side lacks the key. ``match`` is
-    true where each side has the key exactly once and no value differs by more than
-    ``tolerance``, relative to the larger of the two.
+    true where each side has the key exactly once and all values are equal. A value named
+    in ``tolerance`` may differ by that much, relative to the larger of the two; that is
+    meant for plain sums of doubles only.
 
     This is the full outer join on the keys, null keys being equal, written as a union
     and one grouping: it shuffles once without a sort, and a key that occurs often on
@@ -54,10 +55,11 @@ def reconcile(
     agree = (F.col("_left") == 1) & (F.col("_right") == 1)
     for v in values:
         a, b = F.col(f"left_{v}"), F.col(f"right_{v}")
-        agree &= a.eqNullSafe(b) | F.coalesce(
-            F.abs(a - b) <= F.greatest(F.abs(a), F.abs(b)) * F.lit(float(tolerance)),
-            F.lit(False),
-        )
+        equal = a.eqNullSafe(b)
+        if v in (tolerance or {}):
+            bound = F.greatest(F.abs(a), F.abs(b)) * F.lit(float(tolerance[v]))
+            equal |= F.coalesce(F.abs(a - b) <= bound, F.lit(False))
+        agree &= equal
     return sides.select(
         *keys,
         *(f"{name}_{v}" for v in values for name in ("left", "right")),

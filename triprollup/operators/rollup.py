@@ -8,18 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from triprollup.functions.numbers import exact_sum, mean
+from triprollup.functions.numbers import Decimals, decimals_of, exact_sum, mean
 from triprollup.schemas import COUNT_COLUMN, MEASURES, ROLLUP_KEYS, STATS
 
 
-def _decimals_for(df: DataFrame, measure: str, decimals: int | None) -> int | None:
+def _decimals_for(df: DataFrame, column: str, measure: str, decimals: Decimals) -> int | None:
     """Whole numbers are exact as they are."""
-    fractional = isinstance(df.schema[measure].dataType, (T.DoubleType, T.FloatType))
-    return decimals if fractional else None
+    fractional = isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType))
+    return decimals_of(decimals, measure) if fractional else None
 
 
-def _statistic(df: DataFrame, stat: str, measure: str, decimals: int | None) -> Column:
-    digits = _decimals_for(df, measure, decimals)
+def _statistic(df: DataFrame, stat: str, measure: str, decimals: Decimals) -> Column:
+    digits = _decimals_for(df, measure, measure, decimals)
     if stat == "sum":
         return exact_sum(measure, digits)
     if stat == "max":
@@ -35,7 +35,7 @@ def batch_rollup(
     measures: Sequence[str] = MEASURES,
     stats: Sequence[str] = STATS,
     count: str | None = COUNT_COLUMN,
-    decimals: int | None = None,
+    decimals: Decimals = None,
 ) -> DataFrame:
     """One row per key with ``<stat>_<measure>`` columns and the number of rows.
 
@@ -59,7 +59,7 @@ def reaggregate(
     measures: Sequence[str] = MEASURES,
     stats: Sequence[str] = STATS,
     count: str = COUNT_COLUMN,
-    decimals: int | None = None,
+    decimals: Decimals = None,
 ) -> DataFrame:
     """A coarser rollup from a finer one: sum of sums, max of maxima, weighted average.
 
@@ -74,7 +74,7 @@ def reaggregate(
         if stat not in STATS:
             raise ValueError(f"unknown statistic {stat!r}; known are {', '.join(STATS)}")
         partial = f"sum_{measure}"
-        total = exact_sum(partial, _decimals_for(rollup, partial, decimals))
+        total = exact_sum(partial, _decimals_for(rollup, partial, measure, decimals))
         if stat == "sum":
             return total
         return F.try_divide(total, F.sum(count)).cast("double")

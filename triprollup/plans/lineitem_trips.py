@@ -80,6 +80,26 @@ def damaged_lines(good: DataFrame) -> DataFrame:
     )
 
 
+def damaged_documents(good: DataFrame) -> DataFrame:
+    """One JSON message per trip, most of them damaged, depending on payment type.
+
+    1 stays whole; 2 is blank; 3 is empty; 4 has text behind the document; 5 is two joined
+    documents, 6 two with a comma; 7 closes a bracket that it did not open.
+    """
+    document = F.to_json(F.struct(*TRIP_COLUMNS))
+    kind = F.col("payment_type")
+    return good.select(
+        F.when(kind == "1", document)
+        .when(kind == "2", F.lit("  "))
+        .when(kind == "3", F.lit(""))
+        .when(kind == "4", F.concat(document, F.lit(" and more")))
+        .when(kind == "5", F.concat(document, document))
+        .when(kind == "6", F.concat(document, F.lit(","), document))
+        .otherwise(F.concat(document, F.lit("]")))
+        .alias("value")
+    )
+
+
 def write_feed(lines: DataFrame, path: str, by: str | None = None) -> int:
     """Write lines as text files, in subdirectories ``by`` a column, and tell their bytes."""
     written = Observation()

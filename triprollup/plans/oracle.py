@@ -33,10 +33,6 @@ def _max(measure: str) -> str:
     return f"max({measure}) as max_{measure}"
 
 
-def _avg(measure: str) -> str:
-    return f"round(avg({measure}), 4) as avg_{measure}"
-
-
 def _mean(measure: str) -> str:
     kind = "bigint" if measure == "passenger_count" else "decimal(18,2)"
     total = f"cast(sum(cast({measure} as {kind})) as double)"
@@ -67,6 +63,26 @@ RECONCILED = _with_trip(
                      cast(sum(cast(total_amount as decimal(18,2))) as double) as total
               from trip group by {KEYS}) r"""
 )
+# One group is missing on the right, another has all its amounts set to 1.
+ALTERED = _with_trip(
+    f"""select *, left_n_trips - right_n_trips as diff_n_trips,
+          left_sum_total_amount - right_sum_total_amount as diff_sum_total_amount
+        from (select {KEYS}, count(*) as left_n_trips,
+                case when not gone then count(*) end as right_n_trips,
+                cast(sum(cast(total_amount as decimal(18,2))) as double)
+                  as left_sum_total_amount,
+                case when gone then null when other then cast(count(*) as double)
+                     else cast(sum(cast(total_amount as decimal(18,2))) as double) end
+                  as right_sum_total_amount,
+                not gone and not other as match
+              from (select *, vendor_id = 'A' and payment_type = '1' as gone,
+                           vendor_id = 'R' and payment_type = '2' as other from trip) t
+              group by {KEYS}, gone, other) r"""
+)
+JSON_REJECTS = _with_trip(
+    """select 'bad document' as reject_reason, count(*) as n_lines
+       from trip where payment_type <> '1'"""
+)
 # Which damage each line got, by payment type and vendor, and the fault it shows first.
 REJECTS = _with_trip(
     """select reject_reason, count(*) as n_lines
@@ -125,10 +141,11 @@ ORACLE: dict[str, str] = {
     "report_rollup_stats": _with_trip(_grouped(KEYS, _each(_sum, _max, _mean), COUNT)),
     "report_sum_only": _with_trip(_grouped(KEYS, _sum("total_amount"))),
     "reconcile_raw_rollup": RECONCILED,
-    "rollup_full": _with_trip(_grouped(BATCH_KEYS, _each(_sum, _max, _avg), COUNT)),
+    "reconcile_altered": ALTERED,
+    "rollup_full": _with_trip(_grouped(BATCH_KEYS, _each(_sum, _max, _mean), COUNT)),
     "rollup_sum": _with_trip(_grouped(BATCH_KEYS, _each(_sum))),
     "rollup_max": _with_trip(_grouped(BATCH_KEYS, _each(_max))),
-    "rollup_avg": _with_trip(_grouped(BATCH_KEYS, _each(_avg))),
+    "rollup_avg": _with_trip(_grouped(BATCH_KEYS, _each(_mean))),
     "rollup_count": _with_trip(_grouped(BATCH_KEYS, COUNT)),
     "sum_by_key": _with_trip(_grouped(KEYS, _sum("passenger_count"))),
     "rollup_dated": _with_trip(
@@ -142,6 +159,7 @@ ORACLE: dict[str, str] = {
     ),
     "csv_decode": PLAIN_TRIPS,
     "csv_rejects": REJECTS,
+    "json_rejects": JSON_REJECTS,
     "csv_quarantine": _with_trip(
         f"""select {KEYS}, count(*) as n_trips,
               cast(sum(case when payment_type = '1' and vendor_id = 'A' then 1 else 0 end)

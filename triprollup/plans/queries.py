@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from triprollup.operators.decode import (
     CSV,
     JSON,
     QUARANTINE,
+    decode_documents,
     decode_json,
     decode_lines,
     decode_trips,
@@ -26,6 +28,7 @@ from triprollup.plans import reports
 from triprollup.plans.lineitem_trips import (
     BATCH,
     BATCH_KEYS,
+    damaged_documents,
     damaged_lines,
     plain_trips,
     trips,
@@ -84,11 +87,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _rounded(rollup: DataFrame) -> DataFrame:
-    """Averages to four places, to be compared with averages of doubles."""
-    return rollup.withColumns(
-        {c: F.round(c, 4) for c in rollup.columns if c.startswith("avg_")}
-    )
+def _own(name: str) -> str:
+    """A name that no other run has."""
+    return f"{name}_{uuid4().hex}"
 
 
 def _rollup(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
@@ -149,7 +150,7 @@ def timed_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def rollup_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_rollup(spark, sf_dir))
+    return _rollup(spark, sf_dir)
 
 
 @registered
@@ -164,7 +165,7 @@ def rollup_max(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def rollup_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_rollup(spark, sf_dir, stats=["avg"], count=None))
+    return _rollup(spark, sf_dir, stats=["avg"], count=None)
 
 
 @registered
@@ -205,6 +206,26 @@ def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refused.groupBy(REASON).agg(F.count(F.lit(1)).alias("n_lines"))
 
 
+@registered
+def json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    refused = rejected_lines(decode_documents(damaged_documents(trips(spark, sf_dir))))
+    return refused.groupBy(REASON).agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+@registered
+def reconcile_altered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of all trips against that of all but one group's, one group's altered."""
+    source = trips(spark, sf_dir)
+    altered = source.filter("not (vendor_id = 'A' and payment_type = '1')").withColumn(
+        "total_amount",
+        F.when(
+            (F.col("vendor_id") == "R") & (F.col("payment_type") == "2"), F.lit(1.0)
+        ).otherwise(F.col("total_amount")),
+    )
+    rollup = batch_rollup(altered, BATCH_KEYS, decimals=DECIMALS)
+    return reports.reconcile_reports(source, rollup, DECIMALS)
+
+
 @registered
 def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of the damaged lines, by vendor and payment type."""
@@ -260,7 +281,7 @@ def load_date_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "csv")
     plain_trips(spark, sf_dir).write.option("header", True).csv(path)
-    return as_trips(csv_file(spark, path, infer=True))
+    return as_trips(csv_file(spark, path))
 
 
 @registered
@@ -319,7 +340,7 @@ def upsert_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def named_rollup_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A defined table filled by partitions and read by its name."""
-    name, path = "trip_reports.batch_rollups", scratch_path(spark, "named")
+    name, path = f"trip_reports.{_own('batch_rollups')}", scratch_path(spark, "named")
     define_namespace(spark, "trip_reports", scratch_path(spark, "namespace"))
     rollup = _rollup(spark, sf_dir)
     define_table(spark, name, path, rollup.schema, partition=BATCH)
@@ -331,8 +352,7 @@ def named_rollup_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def overwritten_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A named table written twice; the second rollup is what stays."""
-    name, path = "overwritten_trips", scratch_path(spark, "overwritten")
-    spark.sql(f"drop table if exists {name}")
+    name, path = _own("overwritten_trips"), scratch_path(spark, "overwritten")
     source = trips(spark, sf_dir)
     overwrite_table(batch_rollup(source, BATCH_KEYS, decimals=DECIMALS), name, path)
     overwrite_table(batch_rollup(source, GROUP_KEYS, decimals=DECIMALS), name, path)

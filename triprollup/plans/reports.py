@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-from triprollup.functions.numbers import sum_sql
+from triprollup.functions.numbers import Decimals, decimals_of, sum_sql
 from triprollup.operators.reconcile import reconcile
 from triprollup.schemas import COUNT_COLUMN, GROUP_KEYS
 
@@ -24,34 +24,34 @@ ORDER = "order by vendor_id, payment_type"
 
 
 def raw_report_sql(
-    view: str = RAW_VIEW, decimals: int | None = None, ordered: bool = True
+    view: str = RAW_VIEW, decimals: Decimals = None, ordered: bool = True
 ) -> str:
     """Trips and takings by vendor and payment type, from single trips."""
     return f"""
         select vendor_id, payment_type, count(*) as n_trips,
-               {sum_sql("total_amount", decimals)} as sum_total_amount
+               {sum_sql("total_amount", decimals_of(decimals, "total_amount"))} as sum_total_amount
         from {view}
         group by vendor_id, payment_type
         {ORDER if ordered else ""}"""
 
 
 def rollup_report_sql(
-    view: str = ROLLUP_VIEW, decimals: int | None = None, ordered: bool = True
+    view: str = ROLLUP_VIEW, decimals: Decimals = None, ordered: bool = True
 ) -> str:
     """The same report from partial aggregates."""
     return f"""
         select vendor_id, payment_type, sum({COUNT_COLUMN}) as n_trips,
-               {sum_sql("sum_total_amount", decimals)} as sum_total_amount
+               {sum_sql("sum_total_amount", decimals_of(decimals, "total_amount"))} as sum_total_amount
         from {view}
         group by vendor_id, payment_type
         {ORDER if ordered else ""}"""
 
 
-def takings_report_sql(view: str = RAW_VIEW, decimals: int | None = None) -> str:
+def takings_report_sql(view: str = RAW_VIEW, decimals: Decimals = None) -> str:
     """The raw report without the count and without an order."""
     return f"""
         select vendor_id, payment_type,
-               {sum_sql("total_amount", decimals)} as sum_total_amount
+               {sum_sql("total_amount", decimals_of(decimals, "total_amount"))} as sum_total_amount
         from {view}
         group by vendor_id, payment_type"""
 
@@ -68,20 +68,20 @@ def refresh(spark: SparkSession, view: str) -> None:
 
 
 def report_raw(
-    trips: DataFrame, decimals: int | None = None, ordered: bool = True
+    trips: DataFrame, decimals: Decimals = None, ordered: bool = True
 ) -> DataFrame:
     view = register(trips, RAW_VIEW)
     return trips.sparkSession.sql(raw_report_sql(view, decimals, ordered))
 
 
 def report_rollup(
-    rollup: DataFrame, decimals: int | None = None, ordered: bool = True
+    rollup: DataFrame, decimals: Decimals = None, ordered: bool = True
 ) -> DataFrame:
     view = register(rollup, ROLLUP_VIEW)
     return rollup.sparkSession.sql(rollup_report_sql(view, decimals, ordered))
 
 
-def report_takings(trips: DataFrame, decimals: int | None = None) -> DataFrame:
+def report_takings(trips: DataFrame, decimals: Decimals = None) -> DataFrame:
     view = register(trips, RAW_VIEW)
     return trips.sparkSession.sql(takings_report_sql(view, decimals))
 
@@ -89,22 +89,23 @@ def report_takings(trips: DataFrame, decimals: int | None = None) -> DataFrame:
 def reconcile_reports(
     trips: DataFrame,
     rollup: DataFrame,
-    decimals: int | None = None,
+    decimals: Decimals = None,
     tolerance: float | None = None,
 ) -> DataFrame:
     """Compare the two reports.
 
-    Exact sums must agree to the last digit. Plain double sums depend on the order of
-    the rows, so they may differ by a part in 10^9 unless a ``tolerance`` is given.
+    Counts and exact sums must agree to the last digit. Plain double sums depend on the
+    order of the rows, so they may differ by a part in 10^9 unless a ``tolerance`` is given.
     """
+    plain = decimals_of(decimals, "total_amount") is None
     if tolerance is None:
-        tolerance = PLAIN_SUM_TOLERANCE if decimals is None else 0.0
+        tolerance = PLAIN_SUM_TOLERANCE if plain else 0.0
     return reconcile(
         report_raw(trips, decimals, ordered=False),
         report_rollup(rollup, decimals, ordered=False),
         GROUP_KEYS,
         REPORT_VALUES,
-        tolerance,
+        {"sum_total_amount": tolerance},
     )
 
 
@@ -124,7 +125,7 @@ def timed_reports(
     trips: DataFrame,
     rollup: DataFrame,
     rounds: int = 1,
-    decimals: int | None = None,
+    decimals: Decimals = None,
 ) -> DataFrame:
     """Run both reports ``rounds`` times and tell how long each took.
 

@@ -54,15 +54,12 @@ def with_history(live: DataFrame, history: DataFrame, since: str) -> DataFrame:
     )
 
 
-def csv_file(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
-    """A trip CSV file with a header line.
+def csv_file(spark: SparkSession, path: str) -> DataFrame:
+    """A trip CSV file with a header line, in the declared types.
 
-    The trip schema is declared by default. Inferring the types instead reads every
-    file twice.
+    A field that is not of its type, or a line with too few or too many, fails the job.
     """
-    reader = spark.read.option("header", True)
-    if infer:
-        return reader.option("inferSchema", True).csv(path)
+    reader = spark.read.option("header", True).option("mode", "FAILFAST")
     return reader.schema(TRIP_SCHEMA).csv(path)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from triprollup.functions.numbers import Decimals
 from triprollup.functions.time import partition_value, processing_time
 from triprollup.operators.decode import (
     CSV,
@@ -44,7 +45,7 @@ def stamped_messages(messages: DataFrame, mode: str = STRICT, form: str = CSV) -
 
 
 def roll_up_batch(
-    spark: SparkSession, raw: str, rollup: str, batch_ms: int, decimals: int | None
+    spark: SparkSession, raw: str, rollup: str, batch_ms: int, decimals: Decimals
 ) -> None:
     """Aggregate one stored batch into its rollup partition.
 
@@ -61,7 +62,7 @@ def _land_batch(
     raw: str,
     rollup: str,
     rejects: str | None,
-    decimals: int | None,
+    decimals: Decimals,
     preview: int,
     named: Sequence[str],
 ) -> Callable[[DataFrame, int], None]:
@@ -99,7 +100,7 @@ def start_ingest(
     mode: str = STRICT,
     rejects: str | None = None,
     trigger: dict | None = None,
-    decimals: int | None = None,
+    decimals: Decimals = None,
     preview: int = 0,
     named: Sequence[str] = (),
     name: str | None = None,
