@@ -27,7 +27,7 @@ from triprollup.llm.tables import crc_of_id, stored
 
 FOLDS, HELD_OUT = 7, 2
 #: Rows of a file that make a block.
-BLOCK_ROWS = 8192
+BLOCK_ROWS = 4096
 HEADS, MEMBERS = 32, 32
 #: Ranges of counts of the words that are no types: from 1 (and 0), 2, 3, 5, 9, ... upwards.
 RANGES = np.array([2, 3, 5, 9, 17, 33, 65, 257])
