@@ -165,7 +165,7 @@ def test_matrices_round_trip(spark, clashing, corpus, odd_rows, tokenizer):
 
 
 def test_written_matrices(spark, corpus, tmp_path):
-    docs = corpus([(1, "one two"), (2, "three")])
+    docs = corpus([(1, "one two"), (2, "three")], parts=1)
     read = matrices.write_matrices(docs, str(tmp_path / "packed"))
     assert read.count() == 1 and read.first()["n_segments"] == 2
 
@@ -248,8 +248,8 @@ def test_language_of_held_out_documents(spark):
 
 
 def test_languages_of_odd_rows(spark, clashing, corpus, odd_rows):
-    model = language_id.train([b"aaa bbb " * 20, b"xxx yyy " * 20], ["p", "q"], steps=60)
-    docs = clashing([*odd_rows, (60, "xxyy xyx"), (61, "12 !!"), (62, "aba bba")])
+    model = language_id.train([b"aaa bbb " * 20, b"xxx yyy " * 20], ["p", "q"])
+    docs = clashing([*odd_rows, (60, "xxx yyy " * 9), (61, "12 !!"), (62, "aaa bbb " * 9)])
     found = language_id.identify(docs, model)
     by_id = {r["doc_id"]: r["lang_pred"] for r in found.collect()}
     assert set(found.columns) == set(docs.columns)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -28,3 +30,14 @@ def split(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
 def hashes_of(words: list[bytes]) -> np.ndarray:
     """64-bit hashes; two of a million million words share one with a chance of 3 in 100."""
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
+
+
+def slices(batch: pa.RecordBatch, column: str, most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+    """A batch in parts whose texts are about so many bytes; a longer text is alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy())
+    first = 0
+    while first < len(ends):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield batch.slice(first, last - first)
+        first = last

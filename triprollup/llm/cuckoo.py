@@ -68,12 +68,14 @@ class CuckooFilter:
         rng = np.random.default_rng(1)
         for _ in range(MAX_ROUNDS):
             left = self._claim(prints, here, np.zeros_like(here), write=True)
-            prints, there = prints[left], self._other(here[left], prints[left])
+            prints, here = prints[left], here[left]
+            there = self._other(here, prints)
             left = self._claim(prints, there, np.zeros_like(there), write=True)
-            prints, here = prints[left], there[left]
+            prints, here = prints[left], here[left]
             if not len(prints):
                 return True
-            # In each full bucket one key takes the place of another, which moves on.
+            # In each full bucket one key takes the place of another, which moves on to the
+            # other's second bucket, and if need be pushes out a third from there.
             first = np.unique(here, return_index=True)[1]
             slot = rng.integers(SLOTS, size=len(first))
             out = self.table[here[first], slot]

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from triprollup.llm.batches import hashes_of, split
+from triprollup.llm.batches import hashes_of, slices, split
 from triprollup.llm.components import connected
 from triprollup.llm.tables import ceil_div, stored
 
@@ -121,7 +121,7 @@ def _signed_rows(docs: DataFrame, trees: int, depth: int) -> DataFrame:
     tree = np.arange(trees, dtype=np.uint64)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             ids, keys, sketches = [], [], []
             for shingles in shingle_sets(batch.column("text")):
                 ids.append(set_id(shingles) if len(shingles) else None)

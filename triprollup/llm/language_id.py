@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
+from triprollup.llm.batches import slices
 from triprollup.llm.tables import crc_of_id
 from triprollup.llm.tokens import chunks
 
@@ -101,7 +102,7 @@ class Tagger:
         scores -= np.log(np.exp(scores).sum(axis=2, keepdims=True))
         return scores
 
-    def predict(self, texts: list[bytes], part: int = 1 << 21) -> list[tuple[int, float]]:
+    def predict(self, texts: list[bytes], part: int = 1 << 20) -> list[tuple[int, float]]:
         """Language number and mean probability at a position, for texts that are not empty."""
         out: list[tuple[int, float]] = []
         for first, last in chunks([len(t) for t in texts], part):
@@ -241,7 +242,7 @@ def identify(docs: DataFrame, model: Tagger | None, keep: list[str] | None = Non
     )
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             texts = batch.column("text").to_pylist()
             at = [i for i, t in enumerate(texts) if t and model]
             languages, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)

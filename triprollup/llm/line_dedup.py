@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from triprollup.llm.batches import slices
 from triprollup.llm.cuckoo import CuckooFilter
 from triprollup.llm.tables import ceil_div, stored
 
@@ -57,7 +58,7 @@ def refs_of(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """A row for each different key of a document; rows without an id have none."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             keys: list[bytes] = []
             counts = []
             for text in batch.column(1).cast(pa.binary()).to_pylist():
@@ -215,7 +216,7 @@ def clean(docs: DataFrame, store: LineStore) -> DataFrame:
     least = store.min_chars
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             texts, n_lines, n_dropped = [], [], []
             losses = batch.column("lost").to_pylist()
             for text, gone in zip(batch.column("text").cast(pa.binary()).to_pylist(), losses):

@@ -147,14 +147,13 @@ def word_counts(words: DataFrame) -> DataFrame:
 
 def fit(rows: DataFrame, counts: DataFrame, vocabulary: Vocabulary) -> recurrent.GatedLM:
     """A model of a bounded sample of the training documents, by hash of the id."""
-    sample = (
-        rows.filter("learned and text is not null")
-        .select("text", F.xxhash64(F.lit("sample"), "doc_id").alias("_order"))
-        .orderBy("_order", "text")
-        .limit(SAMPLE_DOCUMENTS)
-        .select("text")
-        .collect()
-    )
+    order = F.xxhash64(F.lit("sample"), "doc_id")
+    taught = rows.filter("learned and text is not null").withColumn("_order", order)
+    # Hashes first: the texts of the sample alone are sent, not those that tasks consider.
+    least = taught.select("_order").orderBy("_order").limit(SAMPLE_DOCUMENTS)
+    last = least.agg(F.max("_order")).first()[0]
+    sample = taught.filter(F.col("_order") <= last).select("text").limit(SAMPLE_DOCUMENTS).collect()
+    sample.sort(key=lambda r: r["text"])
     number, distinct, bounds = split(pa.array([r["text"] for r in sample], pa.string()))
     hashes = hashes_of(distinct)
     some = rows.sparkSession.createDataFrame([(int(h),) for h in hashes], "word bigint")

@@ -24,7 +24,7 @@ PUNCTUATION = b".,|!#$%&*+-/:;=?@\\^_`~()[]{}\"<>"
 #: A text with this may hold a special token, which is matched before case is folded.
 SPECIAL = b"<|"
 #: Words that a worker keeps from batch to batch, at most.
-KEPT_WORDS = 250_000
+KEPT_WORDS = 120_000
 
 
 def tokenizer_path() -> str:
@@ -101,7 +101,7 @@ def tokenizer_at(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def chunks(sizes: Sequence[int], most: int = 16_000_000) -> Iterator[tuple[int, int]]:
+def chunks(sizes: Sequence[int], most: int = 8_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about so many bytes; a longer text is a range of its own."""
     first, held = 0, 0
     for i, size in enumerate(sizes):
