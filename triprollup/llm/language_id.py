@@ -115,9 +115,10 @@ class Tagger:
         owner = np.repeat(np.arange(len(texts)), windows)
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
         filled = np.minimum(WINDOW, sizes[owner] - nth * WINDOW)
-        data = np.zeros((len(owner), WINDOW), np.uint8)
         flat = np.frombuffer(b"".join(texts), np.uint8)
-        data[np.arange(WINDOW) < filled[:, None]] = flat
+        # A short window is filled up with its own bytes, which are read but not counted.
+        first = (np.cumsum(filled) - filled)[:, None]
+        data = flat[first + np.arange(WINDOW) % filled[:, None]]
         classes = len(self.languages)
         logs, shares = np.zeros((2, len(texts), classes))
         # A long text is many windows; so many are read side by side at a time.
