@@ -12,11 +12,10 @@ A string of `length` bytes that starts at more than one place is found as follow
    suffixes are ordered by prefix doubling up to `length` bytes. In suffix order, neighbours
    that agree on `length` bytes form runs; a place with a smaller one before or after it in
    its run has a longest previous factor of `length` or more, that is an earlier copy.
-4. A gram in more contexts than a cell takes is split: strings that begin x to y bytes before
-   the anchor agree on the x bytes before and the length - y bytes from it. The range of
-   distances is cut in parts; for each, contexts are regrouped by what they would have to
-   agree on, those that agree on everything are settled by counting, and groups small enough
-   go to cells. Larger ones are split again.
+4. A gram in more contexts than a cell takes is split: each context is compared with one of
+   the group. Strings that both hold are settled; the others must agree beyond what the two
+   share before the anchor, or after it, and are regrouped by that. Groups small enough go to
+   cells, larger ones are split again.
 
 Nothing is left out at any step, and a cell's memory is bounded. Documents are ordered by id.
 """
@@ -38,8 +37,6 @@ GRAM = 64
 #: Contexts of a group that go to one cell, at most; and of a cell of small groups, about.
 CELL = 1_500
 CELL_OF_SMALL = 80
-#: Parts that the distances of a larger group are split into at a time.
-PARTS = 4
 #: Bytes hashed at a time.
 STRETCH = 2_000_000
 
@@ -301,8 +298,11 @@ def repeated_spans(
             before.cast("int").alias("before"),
             data.alias("bytes"),
             F.col("gram").alias("group"),
-            F.lit(0).alias("low"),
-            F.lit(reach).alias("high"),
+        ).select(
+            "*",
+            # Distances at which a string fits into the context.
+            F.greatest(F.lit(0), length - F.octet_length("bytes") + F.col("before")).alias("low"),
+            F.col("before").alias("high"),
         ),
         "context-bytes",
     )
@@ -335,43 +335,102 @@ def _span(rows: DataFrame, start: Column, end: Column) -> DataFrame:
     return rows.select("doc_id", "version", start.alias("start"), end.alias("end"))
 
 
-def _agreed(before_bytes: Column, after_bytes: Column) -> Column:
-    """Hash of so many bytes before and after the anchor; null if the context has fewer."""
-    held = F.octet_length("bytes") - F.col("before")
-    first = F.col("before") - before_bytes
-    cut = F.substring(F.col("bytes"), first + 1, before_bytes + after_bytes)
-    return F.when((first >= 0) & (held >= after_bytes), F.xxhash64(cut))
+MEMBERS = (
+    "doc_id bigint, version int, pos bigint, before int, bytes binary, group bigint, "
+    "low int, high int"
+)
+
+
+def _common(a: bytes, b: bytes) -> int:
+    """Number of leading bytes that are the same."""
+    n = min(len(a), len(b))
+    if a[:n] == b[:n]:
+        return n
+    differ = np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)
+    return int(differ.argmax())
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """`left` and `right`: bytes before and from the anchor that a member shares with its
+    group's representative; and the byte beyond them, -1 if the context has none."""
+    for batch in batches:
+        lefts, rights, left_next, right_next = [], [], [], []
+        columns = (batch.column(c).to_pylist() for c in ("bytes", "before", "r_bytes", "r_before"))
+        for data, before, r_data, r_before in zip(*columns):
+            left = _common(data[:before][::-1], r_data[:r_before][::-1])
+            right = _common(data[before:], r_data[r_before:])
+            lefts.append(left)
+            rights.append(right)
+            left_next.append(data[before - left - 1] if left < before else -1)
+            right_next.append(data[before + right] if before + right < len(data) else -1)
+        counted = (pa.array(x, pa.int32()) for x in (lefts, rights, left_next, right_next))
+        names = [f.name for f in batch.schema if f.name not in ("r_bytes", "r_before")]
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(n) for n in names), *counted],
+            names=[*names, "left", "right", "left_next", "right_next"],
+        )
 
 
 def _split(large: DataFrame, length: int, keep_first: bool) -> tuple[DataFrame, DataFrame]:
-    """Spans that are settled for groups too large, and their members in smaller groups."""
-    all_ = _agreed(F.col("high"), length - F.col("low"))
-    large = stored(large.withColumn("all", all_), "large-groups")
+    """Spans that are settled for groups too large, and their members in smaller groups.
+
+    Members are compared with one of their group, the representative: a random one, or with
+    keep_first the first. A member's distances low to high, that is the strings that begin so
+    many bytes before the anchor, fall into three ranges. Those in which the two agree are
+    settled. Farther ones need more bytes before the anchor than the two share, and nearer
+    ones more bytes after it; either is regrouped by how many are shared and the next byte, on
+    which equal strings agree. So a member gives two rows at most, whose distances are apart,
+    and a new group is the branch of a tree of contexts off the path to a random leaf, which
+    has half of the group's members or less at every second round, on average.
+    """
     key = F.struct("doc_id", "version", "pos")
-    equal = large.filter("all is not null").groupBy("group", "all").agg(
-        F.count(F.lit(1)).alias("n"), F.min(key).alias("first")
+    large = stored(large, "large-groups")
+    order = key if keep_first else F.struct(F.xxhash64("doc_id", "version", "pos"), key)
+    chosen = large.groupBy("group").agg(
+        F.min_by(F.struct(key.alias("r_key"), "before", "bytes"), order).alias("r")
     )
-    marked = large.join(equal, ["group", "all"], "left")
-    is_first = key.eqNullSafe(F.col("first"))
-    repeated = marked.filter("n > 1")
-    repeated = repeated.filter(~is_first) if keep_first else repeated
-    settled = _span(repeated, F.col("pos") - F.col("high"), F.col("pos") - F.col("low") + length)
-    # One context stands for those equal in all that counts; where one distance is left, the
-    # group agreed on all of it.
-    rest = marked.filter((F.col("n").isNull() | is_first) & (F.col("low") < F.col("high")))
-    count = F.col("high") - F.col("low") + 1
-
-    def cut(k: int) -> Column:
-        return (F.col("low") + F.floor(count * k / PARTS)).cast("int")
-
-    ranges = [F.struct(cut(k).alias("low"), (cut(k + 1) - 1).alias("high")) for k in range(PARTS)]
-    names = ["doc_id", "version", "pos", "before", "bytes"]
-    parts = rest.select(*names, "group", F.explode(F.array(*ranges)).alias("range"))
-    parts = parts.select(*names, "group", "range.*").filter("low <= high")
-    agreed = _agreed(F.col("low"), length - F.col("high"))
-    parts = parts.withColumn("agreed", agreed).filter("agreed is not null")
-    parts = parts.withColumn("group", F.xxhash64("group", "low", "high", "agreed"))
-    return settled, stored(parts.select(*names, "group", "low", "high"), "split-groups")
+    chosen = stored(
+        chosen.select(
+            "group",
+            F.col("r.r_key").alias("r_key"),
+            F.col("r.before").alias("r_before"),
+            F.col("r.bytes").alias("r_bytes"),
+        ),
+        "representatives",
+    )
+    pairs = large.join(chosen, "group").filter(~key.eqNullSafe(F.col("r_key")))
+    names = ["doc_id", "version", "pos", "before", "bytes", "group", "low", "high"]
+    r_key = pairs.schema["r_key"].dataType.simpleString()
+    compared = pairs.select(*names, "r_key", "r_before", "r_bytes").mapInArrow(
+        _compared,
+        f"{MEMBERS}, r_key {r_key}, left int, right int, left_next int, right_next int",
+    )
+    compared = stored(compared, "compared")
+    near = F.greatest("low", length - F.col("right")).alias("near")
+    far = F.least("high", "left").alias("far")
+    agreed = compared.select("group", "r_key", "doc_id", "version", "pos", near, far)
+    agreed = agreed.filter("near <= far")
+
+    def spans_of(rows: DataFrame) -> DataFrame:
+        return _span(rows, F.col("pos") - F.col("far"), F.col("pos") - F.col("near") + length)
+
+    settled = spans_of(agreed)
+    if not keep_first:
+        own = agreed.select("group", "r_key", "near", "far").distinct()
+        settled = settled.unionByName(spans_of(own.select("r_key.*", "near", "far")))
+    below = F.least("high", "left", length - 1 - F.col("right"))
+    above = F.greatest("low", F.col("left") + 1)
+    ranges = F.array(
+        _branch("left", above, F.col("high")), _branch("right", F.col("low"), below)
+    )
+    ranges = F.filter(ranges, lambda x: x["low"] <= x["high"])
+    parts = compared.select(*names[:5], F.explode(ranges).alias("range"))
+    return settled, stored(parts.select(*names[:5], "range.*"), "split-groups")
+
+
+def _branch(side: str, low: Column, high: Column) -> Column:
+    group = F.xxhash64("group", F.lit(side), side, f"{side}_next")
+    return F.struct(group.alias("group"), low.alias("low"), high.alias("high"))
 
 
 def without_repeats(docs: DataFrame, spans: DataFrame) -> DataFrame:
