@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from triprollup.functions.numbers import exact_sum, sum_sql
 from triprollup.operators.latest import latest_by_key, merge_latest
-from triprollup.operators.preview import preview, schema_listing
+from triprollup.operators.preview import column_counts, preview, schema_listing
 from triprollup.operators.reconcile import reconcile
 from triprollup.operators.rollup import batch_rollup, reaggregate
 from triprollup.plans.reports import reconcile_reports
@@ -199,6 +199,7 @@ def test_preview_and_schema_listing(spark):
     assert [r["id"] for r in preview(df, ["id"], 3).collect()] == [0, 1, 2]
     assert preview(df).count() == 20
     assert [tuple(r) for r in schema_listing(df).collect()] == [
-        (0, "id", "bigint", 100),
-        (1, "odd one", "string", 50),
+        (0, "id", "bigint"),
+        (1, "odd one", "string"),
     ]
+    assert [tuple(r) for r in column_counts(df).collect()] == [("id", 100), ("odd one", 50)]

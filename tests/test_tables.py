@@ -141,23 +141,67 @@ def test_failing_load_leaves_the_table(spark, trips, lines_of, tmp_path):
     assert _contents(source.rollup_table(spark, path)) == before
 
 
-def test_compaction_keeps_the_reports(spark, trips, tmp_path):
+STAMPS = ("01 00:00:00", "01 00:01:00", "02 23:59:00", "03 00:01:00", "04 00:00:00")
+
+
+def _live_and_history(spark, trips, tmp_path):
     path, history = str(tmp_path / "rollup"), str(tmp_path / "history")
-    for stamp in ("01 00:00:00", "01 00:01:00", "02 23:59:00", "03 00:01:00", "04 00:00:00"):
+    for stamp in STAMPS:
         sink.write_partitions(_rollup(trips, f"2016-01-{stamp}"), path)
-    live = source.rollup_table(spark, path)
+    return source.rollup_table(spark, path), path, history
+
+
+def test_compaction_keeps_the_reports(spark, trips, tmp_path):
+    live, _, history = _live_and_history(spark, trips, tmp_path)
+    assert _contents(source.with_history(live, history)) == _contents(live)
+    whole = reports.report_rollup(live).collect()
     for day, joined in (("01", False), ("01", True), ("02", False), ("03", True)):
         sink.compact(live, history, f"2016-01-{day}", join_files=joined)
-    old = source.rollup_table(spark, history)
-    days = [1451606400000 + n * 86400000 for n in range(3)]
-    assert sorted(r[0] for r in old.select(PARTITION).distinct().collect()) == days
-    for since in ("2016-01-01", "2016-01-02", "2016-01-04"):
-        both = source.with_history(live, old, since)
-        assert _contents(both.drop(PARTITION)) == _contents(live.drop(PARTITION))
-        assert reports.report_rollup(both).collect() == reports.report_rollup(live).collect()
-    assert len(glob.glob(f"{history}/{PARTITION}={days[0]}/*.parquet")) == 1
-    plan = source.with_history(live, old, "2016-01-04")._jdf.queryExecution().executedPlan()
-    assert plan.toString().count("PartitionFilters: [isnotnull(batch_ms") == 2
+        both = source.with_history(live, history)
+        assert both.columns == live.columns
+        assert _contents(both) == _contents(live)
+        assert reports.report_rollup(both).collect() == whole
+    assert source.history_batches(spark, history).count() == 4
+
+
+def test_compaction_again_after_pruning_loses_nothing(spark, trips, tmp_path):
+    live, _, history = _live_and_history(spark, trips, tmp_path)
+    before = _contents(live)
+    sink.compact(live, history, "2016-01-01")
+    pruned = live.filter(F.col(STAMP) >= "2016-01-02 00:00:00")
+    for _ in range(2):
+        sink.compact(pruned, history, "2016-01-01")
+        assert _contents(source.with_history(pruned, history)) == before
+
+
+def test_a_batch_that_comes_after_compaction_counts_once(spark, trips, tmp_path):
+    live, path, history = _live_and_history(spark, trips, tmp_path)
+    sink.compact(live, history, "2016-01-01")
+    for stamp in ("01 00:00:00", "01 12:00:00"):  # replayed, and late
+        sink.write_partitions(_rollup(trips, f"2016-01-{stamp}"), path)
+    live = source.rollup_table(spark, path)
+    assert _contents(source.with_history(live, history)) == _contents(live)
+    sink.compact(live, history, "2016-01-01")
+    assert source.history_batches(spark, history).count() == 3
+    assert _contents(source.with_history(live, history)) == _contents(live)
+
+
+def test_compaction_cuts_days_in_utc(spark, trips, tmp_path):
+    live, _, history = _live_and_history(spark, trips, tmp_path)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        sink.compact(live, history, "2016-01-01")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert source.history_batches(spark, history).count() == 2
+    assert _contents(source.with_history(live, history)) == _contents(live)
+
+
+def test_rows_of_a_compaction_that_was_cut_off_do_not_count(spark, trips, tmp_path):
+    live, _, history = _live_and_history(spark, trips, tmp_path)
+    sink.compact(live, history, "2016-01-01")
+    live.write.parquet(f"{source.history_rows(history)}/{source.RUN}=cut-off")
+    assert _contents(source.with_history(live, history)) == _contents(live)
 
 
 def test_named_table(spark, trips, tmp_path):

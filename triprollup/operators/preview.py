@@ -21,15 +21,23 @@ def show(df: DataFrame, rows: int = PREVIEW_ROWS) -> None:
 
 
 def schema_listing(df: DataFrame) -> DataFrame:
-    """One row per column: position, name, type, and how many rows hold a value in it."""
-    counted = df.agg(*(F.count(F.col(f"`{name}`")).alias(name) for name in df.columns))
+    """One row per column: position, name and type. No row of the table is read."""
     entries = [
         F.struct(
             F.lit(position).alias("position"),
             F.lit(field.name).alias("column_name"),
             F.lit(field.dataType.simpleString()).alias("column_type"),
-            F.col(f"`{field.name}`").alias("n_values"),
         )
         for position, field in enumerate(df.schema.fields)
     ]
+    return df.sparkSession.range(1).select(F.inline(F.array(*entries)))
+
+
+def column_counts(df: DataFrame) -> DataFrame:
+    """One row per column: name, and how many rows hold a value in it. Reads all columns."""
+    counted = df.agg(*(F.count(F.col(f"`{name}`")).alias(name) for name in df.columns))
+    entries = [
+        F.struct(F.lit(name).alias("column_name"), F.col(f"`{name}`").alias("n_values"))
+        for name in df.columns
+    ]
     return counted.select(F.inline(F.array(*entries)))

@@ -1,9 +1,7 @@
 """What every registered query must give, as SQL over the driver's tables.
 
 Money is summed through decimals, so sums do not depend on the order of the rows.
-Averages are those sums over the count, to the last digit; only in ``rollup_full`` and
-``rollup_avg`` they are averages of doubles, rounded to four places. An average right
-between two fourth places then goes either way in the SQL; sf0.01 has none, sf0.1 one.
+Averages are those sums over the count, to the last digit.
 """
 
 from __future__ import annotations
@@ -97,10 +95,10 @@ REJECTS = _with_trip(
              from trip) r
        where reject_reason is not null group by reject_reason"""
 )
-SCHEMA_LISTING = _with_trip(
+SCHEMA_LISTING = (
     " union all ".join(
         f"""select cast({position} as int) as position, '{name}' as column_name,
-            '{kind}' as column_type, count({name}) as n_values from trip"""
+            '{kind}' as column_type"""
         for position, (name, kind) in enumerate(
             # The types of the trip columns.
             [
@@ -127,6 +125,18 @@ SCHEMA_LISTING = _with_trip(
         )
     )
 )
+COLUMN_COUNTS = _with_trip(
+    " union all ".join(
+        f"select '{name}' as column_name, count({name}) as n_values from trip"
+        for name in TRIP_COLUMNS
+    )
+)
+TIMED = _with_trip(
+    f"""select r as round, report, n_rows, true as ended
+        from (select count(*) as n_rows from (select distinct {KEYS} from trip) g) c,
+             (select unnest([1, 2])::int as r) rounds,
+             (select unnest(['raw', 'rollup']) as report) reports"""
+)
 PLAIN_TRIPS = _with_trip(f"select {PLAIN} from trip")
 
 ORACLE: dict[str, str] = {
@@ -141,6 +151,7 @@ ORACLE: dict[str, str] = {
     "report_rollup_stats": _with_trip(_grouped(KEYS, _each(_sum, _max, _mean), COUNT)),
     "report_sum_only": _with_trip(_grouped(KEYS, _sum("total_amount"))),
     "reconcile_raw_rollup": RECONCILED,
+    "timed_reports": TIMED,
     "reconcile_altered": ALTERED,
     "rollup_full": _with_trip(_grouped(BATCH_KEYS, _each(_sum, _max, _mean), COUNT)),
     "rollup_sum": _with_trip(_grouped(BATCH_KEYS, _each(_sum))),
@@ -204,6 +215,7 @@ ORACLE: dict[str, str] = {
     "preview": _with_trip(f"select {PLAIN} from trip order by {PLAIN} limit 20"),
     "preview_rollup": _with_trip(f"{FULL} order by {BATCH_KEYS} limit 10"),
     "schema_listing": SCHEMA_LISTING,
+    "column_counts": COLUMN_COUNTS,
     "stream_ingest_raw": REPORT,
     "stream_ingest_rollup": REPORT,
     "stream_ingest_json": REPORT,

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from triprollup.functions.numbers import Decimals, decimals_of, sum_sql
 from triprollup.operators.reconcile import reconcile
@@ -16,7 +18,7 @@ REPORT_VALUES = ("n_trips", "sum_total_amount")
 PLAIN_SUM_TOLERANCE = 1e-9
 TIMING_SCHEMA = (
     "round int, report string, started_at timestamp, ended_at timestamp, "
-    "seconds double, seconds_saved double"
+    "seconds double, seconds_saved double, n_rows bigint"
 )
 
 
@@ -115,34 +117,42 @@ def print_report(report: DataFrame) -> None:
         print(*row, sep="\t")
 
 
-def _run(report: DataFrame) -> tuple[datetime, datetime, float]:
+def _run(report: Callable[[], DataFrame]) -> tuple[datetime, datetime, float, int]:
     started, clock = datetime.now(timezone.utc), time.perf_counter()
-    report.write.format("noop").mode("overwrite").save()
-    return started, datetime.now(timezone.utc), time.perf_counter() - clock
+    seen = Observation()
+    watched = report().observe(seen, F.count(F.lit(1)).alias("n_rows"))
+    watched.write.format("noop").mode("overwrite").save()
+    seconds = time.perf_counter() - clock
+    return started, datetime.now(timezone.utc), seconds, seen.get["n_rows"]
 
 
 def timed_reports(
-    trips: DataFrame,
-    rollup: DataFrame,
+    trips: DataFrame | Callable[[], DataFrame],
+    rollup: DataFrame | Callable[[], DataFrame],
     rounds: int = 1,
     decimals: Decimals = None,
 ) -> DataFrame:
-    """Run both reports ``rounds`` times and tell how long each took.
+    """Run both reports ``rounds`` times and tell how long each took, and its rows.
 
-    The views are refreshed before a round. ``seconds_saved`` is the time of the raw
-    report in that round less that of the row's report. The rows of the reports are
-    computed in full but not fetched.
+    A table given as a function is opened by it in each round, within the time taken, as are
+    the refresh of its view and the planning. The report that goes first changes from round to
+    round. ``seconds_saved`` is the time of the raw report in that round less that of the
+    row's report. The rows of the reports are computed in full but not fetched.
     """
-    spark = trips.sparkSession
-    reports = {"raw": report_raw, "rollup": report_rollup}
-    inputs = {"raw": (trips, RAW_VIEW), "rollup": (rollup, ROLLUP_VIEW)}
+    opened = {"raw": (trips, RAW_VIEW, report_raw), "rollup": (rollup, ROLLUP_VIEW, report_rollup)}
+
+    def build(label: str) -> DataFrame:
+        given, view, report = opened[label]
+        df = given() if callable(given) else given
+        refresh(df.sparkSession, register(df, view))
+        return report(df, decimals)
+
     rows = []
     for number in range(1, rounds + 1):
-        raw_seconds = None
-        for label, build in reports.items():
-            df, view = inputs[label]
-            refresh(spark, register(df, view))
-            started, ended, seconds = _run(build(df, decimals))
-            raw_seconds = seconds if raw_seconds is None else raw_seconds
-            rows.append((number, label, started, ended, seconds, raw_seconds - seconds))
-    return spark.createDataFrame(rows, TIMING_SCHEMA)
+        order = list(opened) if number % 2 else list(reversed(opened))
+        times = {label: _run(lambda label=label: build(label)) for label in order}
+        for label in opened:
+            started, ended, seconds, n_rows = times[label]
+            saved = times["raw"][2] - seconds
+            rows.append((number, label, started, ended, seconds, saved, n_rows))
+    return SparkSession.active().createDataFrame(rows, TIMING_SCHEMA)

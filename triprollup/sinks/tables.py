@@ -7,6 +7,8 @@ writing it again replaces it, so a replayed batch lands once.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta, timezone
+from uuid import uuid4
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,7 @@ from triprollup.functions.time import partition_value
 from triprollup.operators.latest import merge_latest
 from triprollup.schemas import PARTITION, ROLLUP_KEYS, ROLLUP_TABLE_SCHEMA, STAMP
 from triprollup.sources.scratch import scratch_path
+from triprollup.sources.tables import RUN, history_batches, history_list, history_rows
 
 
 def batch_path(path: str, batch_ms: int) -> str:
@@ -141,20 +144,29 @@ def add_batch(spark: SparkSession, name: str, batch_ms: int) -> None:
 
 
 def compact(live: DataFrame, history: str, day: str, join_files: bool = False) -> None:
-    """Copy the batches of a day to a history table, as one partition.
+    """Copy those batches of a day that a history lacks to it.
 
-    ``live`` is a raw or rollup table and ``day`` a date such as ``2026-01-31``. Only that
-    day is read, and its partition of ``history`` is replaced, so a run may be repeated.
-    The stamps stay as they are. :func:`triprollup.sources.tables.with_history` reads both
-    tables as one; the copied batches may then be removed from the live table at any time.
+    ``live`` is a raw or rollup table and ``day`` a date in UTC such as ``2026-01-31``. Only
+    that day is read. A batch is never taken out of a history, nor copied again, so a run may
+    be repeated, also once batches were removed from the live table or after a late replay.
+    :func:`triprollup.sources.tables.with_history` reads both tables as one.
+
+    Rows are written first and count only once their batches are listed, which a single file
+    does; a run that was cut off before that leaves files that nothing reads.
 
     Nothing is shuffled: a scan task packs many small files and writes one. For tiny files,
     as a rollup has, ``join_files`` joins what the tasks give as well, by a shuffle.
     """
-    start = F.to_date(F.lit(day))
-    first, last = (partition_value(d.cast("timestamp")) for d in (start, F.date_add(start, 1)))
+    spark = live.sparkSession
+    start = datetime.fromisoformat(day).replace(tzinfo=timezone.utc)
+    first, last = (int(t.timestamp() * 1000) for t in (start, start + timedelta(days=1)))
+    known = history_batches(spark, history)
     rows = live.filter((F.col(PARTITION) >= first) & (F.col(PARTITION) < last))
+    rows = rows.join(known.filter(F.col(PARTITION).between(first, last - 1)), PARTITION, "left_anti")
     if join_files:
         rows = rows.hint("rebalance")
-    day_ms = live.sparkSession.sql("select 1").select(first.alias("ms")).first()["ms"]
-    write_batch(rows.drop(PARTITION), history, day_ms)
+    run = uuid4().hex
+    path = f"{history_rows(history)}/{RUN}={run}"
+    rows.select(*live.columns).write.parquet(path)
+    copied = spark.read.schema(live.schema).parquet(path).select(PARTITION).distinct()
+    copied.withColumn(RUN, F.lit(run)).coalesce(1).write.mode("append").parquet(history_list(history))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from triprollup.functions.time import partition_value
 from triprollup.schemas import (
     PARTITION,
     RAW_TABLE_SCHEMA,
@@ -16,6 +17,10 @@ from triprollup.schemas import (
     TRIP_SCHEMA,
 )
 
+#: The column that tells which run copied a batch to a history.
+RUN = "run"
+HISTORY_LIST = f"{PARTITION} bigint, {RUN} string"
+
 
 def parquet_table(spark: SparkSession, path: str) -> DataFrame:
     """Any Parquet directory, with the schema of its footers."""
@@ -42,16 +47,45 @@ def reject_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(REJECT_TABLE_SCHEMA).parquet(path)
 
 
-def with_history(live: DataFrame, history: DataFrame, since: str) -> DataFrame:
-    """A table whose batches before a day come from its compacted history.
+def history_rows(history: str) -> str:
+    """Where the rows of compacted batches are, a directory for each run."""
+    return f"{history.rstrip('/')}/rows"
+
+
+def history_list(history: str) -> str:
+    """Where it is listed which run copied which batch."""
+    return f"{history.rstrip('/')}/batches"
+
+
+def history_batches(spark: SparkSession, history: str) -> DataFrame:
+    """The batches that a history holds, and the run that counts for each.
 
-    Both sides prune their partitions by that day, so batches still in the live table
-    after they were copied do not count twice.
+    Should two runs at the same time have copied a batch, one of them counts.
     """
-    cut = partition_value(F.to_date(F.lit(since)).cast("timestamp"))
-    return history.filter(F.col(PARTITION) < cut).unionByName(
-        live.filter(F.col(PARTITION) >= cut)
-    )
+    try:
+        listed = spark.read.schema(HISTORY_LIST).parquet(history_list(history))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        listed = spark.createDataFrame([], HISTORY_LIST)
+    return listed.groupBy(PARTITION).agg(F.min(RUN).alias(RUN))
+
+
+def with_history(live: DataFrame, history: str) -> DataFrame:
+    """A table and its compacted history as one: each batch from one of the two.
+
+    Batches that the history lists are read there, whether or not the live table still has
+    them; all others are read from the live table.
+    """
+    spark = live.sparkSession
+    batches = history_batches(spark, history)
+    rest = live.join(batches, PARTITION, "left_anti").select(*live.columns)
+    if batches.isEmpty():
+        return rest
+    schema = T.StructType([*live.schema.fields, T.StructField(RUN, T.StringType())])
+    rows = spark.read.schema(schema).parquet(history_rows(history))
+    old = rows.join(batches, [RUN, PARTITION], "left_semi")
+    return old.select(*live.columns).unionByName(rest)
 
 
 def csv_file(spark: SparkSession, path: str) -> DataFrame:
