@@ -9,8 +9,8 @@ Words that repeat are kept for the batches that the same Python worker gets next
 from __future__ import annotations
 
 import functools
-import itertools
 import unicodedata
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -20,11 +20,11 @@ from tokenizers import Tokenizer, pre_tokenizers
 
 TOKENIZER = "word_bpe_49k.json"
 #: ASCII punctuation that the tokenizer always splits from letters before it; no apostrophe.
-PUNCTUATION = b".,|!#$%&*+-/:;=?@\\^_`~()[]{}\"<>"
+PUNCTUATION = ".,|!#$%&*+-/:;=?@\\^_`~()[]{}\"<>"
 #: A text with this may hold a special token, which is matched before case is folded.
-SPECIAL = b"<|"
+SPECIAL = "<|"
 #: Words that a worker keeps from batch to batch, at most.
-KEPT_WORDS = 120_000
+KEPT_WORDS = 200_000
 
 
 def tokenizer_path() -> str:
@@ -40,35 +40,35 @@ class WordTokenizer:
         self.whole = Tokenizer.from_file(path)
         self.merges = self.whole.model
         self.bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.kept: dict[bytes, list[int]] = {}
+        self.kept: dict[str, bytes] = {}
 
-    def _letters(self, word: str) -> list[int]:
+    def _letters(self, word: str) -> bytes:
         if not word.isascii():
             word = self.bytewise.pre_tokenize_str(word)[0][0]
-        return [t.id for t in self.merges.tokenize(word)]
+        return array("I", [t.id for t in self.merges.tokenize(word)]).tobytes()
 
-    def word_ids(self, word: bytes, cache: dict[bytes, list[int]]) -> list[int]:
-        """Ids of one word. cache: of its parts, letters and trailing punctuation."""
+    def _whole(self, word: str) -> bytes:
+        return array("I", self.whole.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def word_ids(self, word: str, cache: dict[str, bytes]) -> bytes:
+        """Ids of one word, 32 bits each. cache: of its parts, letters and trailing punctuation."""
         if SPECIAL in word:
-            return self.whole.encode(word.decode(), add_special_tokens=False).ids
+            return self._whole(word)
+        if word.isascii() and word.isalpha() and word.islower():
+            return self._letters(word)
         core = word.rstrip(PUNCTUATION)
-        found: list[int] = []
+        found = b""
         for part in (core, word[len(core) :]):
             if part:
                 if (ids := cache.get(part)) is None:
-                    text = part.decode()
-                    plain = text.isalpha() and text == text.lower()
-                    plain = plain and unicodedata.is_normalized("NFC", text)
-                    ids = cache[part] = (
-                        self._letters(text)
-                        if plain
-                        else self.whole.encode(text, add_special_tokens=False).ids
-                    )
-                found = found + ids if found else ids
+                    plain = part.isalpha() and part == part.lower()
+                    plain = plain and unicodedata.is_normalized("NFC", part)
+                    ids = cache[part] = self._letters(part) if plain else self._whole(part)
+                found += ids
         return found
 
-    def _encode_words(self, words: list[bytes], counts: np.ndarray) -> list[list[int]]:
-        parts: dict[bytes, list[int]] = {}
+    def _encode_words(self, words: list[str], counts: np.ndarray) -> list[bytes]:
+        parts: dict[str, bytes] = {}
         kept = self.kept
         found = [kept.get(w) or self.word_ids(w, parts) for w in words]
         if len(kept) + int((counts > 1).sum()) > KEPT_WORDS:
@@ -80,14 +80,14 @@ class WordTokenizer:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and where each text begins in it (one more for the end)."""
         texts = pc.fill_null(texts, "")
-        special = pc.match_substring(texts, SPECIAL.decode())
+        special = pc.match_substring(texts, SPECIAL)
         words = pc.ascii_split_whitespace(pc.if_else(special, texts, pc.ascii_lower(texts)))
         coded = words.flatten().dictionary_encode()
         word = coded.indices.to_numpy()
-        distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+        distinct = coded.dictionary.to_pylist()
         lists = self._encode_words(distinct, np.bincount(word, minlength=len(distinct)))
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter(itertools.chain.from_iterable(lists), np.uint32, int(sizes.sum()))
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
+        flat = np.frombuffer(b"".join(lists), np.uint32)
         starts = np.cumsum(sizes) - sizes
         lengths = sizes[word]
         ends = np.concatenate([[0], np.cumsum(lengths)])
