@@ -77,6 +77,7 @@ def tokenizer():
 TEXTS = [
     "", " ", "it's WE'LL 12 3x!?", "a<|endoftext|>b C", "İstanbul ΑΣ Σ é ́a", "a b c d\x1ce",
     "Ünïcode, words... (and) punctuation!!", "’s ' '' 'tis", "​ ZW​x", "word,", "word", "KK ǅ", "x<|B|>",
+    "dogs'. 'yes', foo”. «ok». «x». so…) hey🙂! é, x́. ที่) है, 50€. soft\u00ad. Kİ. क़. ½. ²) Ⅷ, x'\".",
 ]
 
 

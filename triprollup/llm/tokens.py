@@ -33,6 +33,16 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def ends_in_letter(core: str) -> bool:
+    """Whether what follows begins a run of symbols, and does not go on with one.
+
+    The tokenizer takes symbols and marks of any script in one run. It composes and lower-cases
+    first, and some letters (क़, İ) then end in a mark.
+    """
+    last = unicodedata.normalize("NFC", core[-1]).lower()[-1]
+    return unicodedata.category(last)[0] in "LN"
+
+
 class WordTokenizer:
     """Of a tokenizer that lower-cases, splits at white space and knows no word before."""
 
@@ -57,6 +67,8 @@ class WordTokenizer:
         if word.isascii() and word.isalpha() and word.islower():
             return self._letters(word)
         core = word.rstrip(PUNCTUATION)
+        if core and not ends_in_letter(core):
+            core = word
         found = b""
         for part in (core, word[len(core) :]):
             if part:
