@@ -318,6 +318,35 @@ def test_the_model_beats_the_base(spark):
     assert held["score"] > held["base"]
 
 
+def test_the_model_learns_whole_documents(corpus, prose):
+    late = [(i, f"{prose(1_600, i)} {'left right ' * 400}") for i in range(20)]
+    found = lm_scoring.score_documents(corpus([*late, (None, "left right " * 200)]))
+    told = found.filter("doc_id is null").first()
+    assert told["score"] / told["n_tokens"] > -0.5
+
+
+def test_every_document_is_in_one_round_and_every_token_a_target(monkeypatch, corpus):
+    for tokens in (0, 10, 10**6, 10**8, 10**10):
+        rounds = lm_scoring.rounds_of(tokens)
+        assert [0.0, *(last for _, last in rounds)] == [*(first for first, _ in rounds), 1.0]
+    parts = [np.append(np.full(n, n + 1), recurrent.END) for n in range(700)]
+    fed, aims = (x.T.ravel().tolist() for x in recurrent.in_streams(parts, 24))
+    tokens = np.concatenate(parts).tolist()
+    assert aims[: len(tokens)] == tokens and fed[: len(tokens)] == [recurrent.END, *tokens[:-1]]
+    taught = []  # by tasks, in several rounds
+    monkeypatch.setattr(lm_scoring, "FIRST_TOKENS", 100)
+    monkeypatch.setattr(lm_scoring, "TASK_TOKENS", 20)
+    real = lm_scoring.learned_in
+
+    def learned_in(documents, *more):
+        taught.extend(len(r["types"]) // 2 for r in documents.collect())
+        return real(documents, *more)
+
+    monkeypatch.setattr(lm_scoring, "learned_in", learned_in)
+    rows = lm_scoring.score_documents(corpus([(i, "word " * (i % 9)) for i in range(200)])).collect()
+    assert sorted(taught) == sorted(r["n_tokens"] for r in rows if not r["held_out"])
+
+
 def test_scores_without_training_documents(corpus):
     assert lm_scoring.score_documents(corpus([])).count() == 0
     alone = lm_scoring.score_documents(corpus([(None, "some words")])).first()

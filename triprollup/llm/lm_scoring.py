@@ -4,15 +4,21 @@ Counts of all words are gathered from all training documents. The most frequent
 types of the model, in classes of equal size by frequency; the others are told by how often
 they occur: each range of counts is one type, and a word's share of its range is its share
 of the range's occurrences. A word seen once is as likely as all unknown words together to
-be the next new one (Good and Turing), so those two share the range of new words evenly. The
-model itself is fitted to a bounded sample of training documents.
+be the next new one (Good and Turing), so those two share the range of new words evenly.
 
-Nothing is sent from a document but each different word of its block, once. The counts come
-back by block, so that a task holds the counts of its own words only.
+The model learns from all training documents, each whole, in rounds of twice as many documents
+as the one before. Tasks learn from their share of a round's documents, and the mean of their
+weights, by tokens, is what the next round begins with. How many rounds and tasks there are,
+how many words are types and how many ranges there are follows the input.
+
+Of a document each different word of its block is sent once, and the types of its words once
+more in its round. The counts come back by block, so that a task holds the counts of its own
+words only.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,20 +28,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from triprollup.llm import recurrent
-from triprollup.llm.batches import hashes_of, split
-from triprollup.llm.tables import crc_of_id, stored
+from triprollup.llm.batches import hashes_of, slices, split
+from triprollup.llm.tables import ceil_div, crc_of_id, stored
 
 FOLDS, HELD_OUT = 7, 2
 #: Rows of a file that make a block.
 BLOCK_ROWS = 4096
-HEADS, MEMBERS = 32, 32
-#: Ranges of counts of the words that are no types: from 1 (and 0), 2, 3, 5, 9, ... upwards.
-RANGES = np.array([2, 3, 5, 9, 17, 33, 65, 257])
-#: The sample that the model is fitted to: documents, and tokens of each.
-SAMPLE_DOCUMENTS = 600
-SAMPLE_TOKENS = 1_500
+#: Classes of frequent words, and words of each, at least and at most (types have 16 bits).
+LEAST_HEADS, MOST_HEADS = 32, 250
+#: The first round has about so many tokens, and one task that reads them so many times.
+FIRST_TOKENS, FIRST_PASSES = 1_000_000, 4
+#: Tokens of a task in later rounds.
+TASK_TOKENS = 2_000_000
+#: Weights that are added together by one task.
+PIECE = 16_384
+#: Rates of learning: at first, at the end of the first round, and in the last round.
+RATES = (0.01, 0.003, 0.0005)
 
 COUNTS = "block bigint, word bigint, n bigint"
+CODED = (
+    "doc_id bigint, held_out boolean, learned boolean, n_tokens bigint, n_known bigint, "
+    "base_score double, share double, types binary"
+)
+WEIGHTS = "piece int, tokens double, weights binary"
+FIELDS = [("piece", pa.int32()), ("tokens", pa.float64()), ("weights", pa.binary())]
 SCORES = (
     "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
     "base_score double, score double"
@@ -94,7 +110,9 @@ class Vocabulary:
     """What tasks need to know of all counts: bounded, whatever the number of words.
 
     tokens, types: N and V of the training documents, ends included. ends: how many ends.
-    heads: hashes of the most frequent words. mass: occurrences of the other words by range.
+    side: classes, and words of each: the fourth root of V, so that words with a type of their
+    own are as many as its square root. heads: hashes of these words. ranges: of counts of the
+    others, from 1 (and 0), 2, 3, 5, 9, ... upwards. mass: occurrences of those by range.
     """
 
     def __init__(self, words: DataFrame, ends: int):
@@ -102,23 +120,32 @@ class Vocabulary:
         self.ends = ends
         self.tokens = summed[0] + ends
         self.types = summed[1] + (ends > 0)
-        top = words.orderBy(F.desc("n"), "word").limit(HEADS * MEMBERS - 1)
+        self.side = min(max(math.ceil(self.types**0.25), LEAST_HEADS), MOST_HEADS)
+        top = words.orderBy(F.desc("n"), "word").limit(self.side**2 - 1)
         frequent = [(r["word"], r["n"]) for r in top.collect()]
+        self.frequent = np.array([n for _, n in frequent], np.int64)
+        most = frequent[-1][1] if len(frequent) == self.side**2 - 1 else 1
+        self.ranges = np.array([2, *(2**k + 1 for k in range(1, max(int(most - 1).bit_length(), 1)))])
         self.heads = np.array([w for w, _ in frequent], np.int64)
         self.order = np.argsort(self.heads)
         bin_ = F.lit(0)
-        for k, least in enumerate(RANGES.tolist(), 1):
+        for k, least in enumerate(self.ranges.tolist(), 1):
             bin_ = F.when(F.col("n") >= least, k).otherwise(bin_)
         sums = words.groupBy(bin_.alias("k")).agg(F.sum("n").alias("n")).collect()
-        self.mass = np.zeros(len(RANGES) + 1)
+        self.mass = np.zeros(len(self.ranges) + 1)
         for row in sums:
             self.mass[row["k"]] = row["n"]
         for _, n in frequent:
             self.mass[self.range_of(np.array([n]))[0]] -= n
 
-    @staticmethod
-    def range_of(counts: np.ndarray) -> np.ndarray:
-        return np.searchsorted(RANGES, counts, side="right")
+    def range_of(self, counts: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.ranges, counts, side="right")
+
+    def frequencies(self) -> np.ndarray:
+        """How often the training documents have each type."""
+        heads = np.zeros(self.side**2)
+        heads[0], heads[1 : len(self.frequent) + 1] = self.ends, self.frequent
+        return np.concatenate([heads, self.mass])
 
     def types_of(self, words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Type of each word, and the log of its share of the type."""
@@ -133,7 +160,7 @@ class Vocabulary:
         share = counts / np.maximum(self.mass[in_range], 1)
         new = np.where(counts > 0, 0.5 / max(self.mass[0], 1), 0.5 if self.mass[0] else 1.0)
         share = np.where(head, 1.0, np.where(in_range == 0, new, share))
-        types = np.where(head, found + 1, HEADS * MEMBERS + in_range)
+        types = np.where(head, found + 1, self.side**2 + in_range)
         return types, np.log(share)
 
     def base_log10(self, counts: np.ndarray) -> np.ndarray:
@@ -145,28 +172,80 @@ def word_counts(words: DataFrame) -> DataFrame:
     return words.groupBy("word").agg(F.sum("n").alias("n")).filter("n > 0")
 
 
-def fit(rows: DataFrame, counts: DataFrame, vocabulary: Vocabulary) -> recurrent.GatedLM:
-    """A model of a bounded sample of the training documents, by hash of the id."""
-    order = F.xxhash64(F.lit("sample"), "doc_id")
-    taught = rows.filter("learned and text is not null").withColumn("_order", order)
-    # Hashes first: the texts of the sample alone are sent, not those that tasks consider.
-    least = taught.select("_order").orderBy("_order").limit(SAMPLE_DOCUMENTS)
-    last = least.agg(F.max("_order")).first()[0]
-    sample = taught.filter(F.col("_order") <= last).select("text").limit(SAMPLE_DOCUMENTS).collect()
-    sample.sort(key=lambda r: r["text"])
-    number, distinct, bounds = split(pa.array([r["text"] for r in sample], pa.string()))
-    hashes = hashes_of(distinct)
-    some = rows.sparkSession.createDataFrame([(int(h),) for h in hashes], "word bigint")
-    # At most SAMPLE_DOCUMENTS texts' words.
-    found = counts.join(F.broadcast(some), "word").collect()
-    known = {r["word"]: r["n"] for r in found}
-    n = np.array([known.get(int(h), 0) for h in hashes], np.int64)
-    types, _ = vocabulary.types_of(hashes, n)
-    documents = []
-    for first, last in zip(bounds[:-1], bounds[1:]):
-        tokens = types[number[first : min(last, first + SAMPLE_TOKENS)]]
-        documents.append(np.append(tokens, recurrent.END))
-    return recurrent.train(documents, HEADS, MEMBERS, len(RANGES) + 1)
+def sequences(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(t, "<u2") for t in batch.column("types").to_pylist()]
+
+
+def rounds_of(tokens: int) -> list[tuple[float, float]]:
+    """Shares of the documents, from and to; each round has as many as all before it."""
+    last = min(1.0, FIRST_TOKENS / max(tokens, 1))
+    found = [(0.0, last)]
+    while last < 1:
+        found.append((last, min(1.0, 2 * last)))
+        last = found[-1][1]
+    return found
+
+
+def learned_in(documents: DataFrame, model: recurrent.GatedLM, tasks: int, rates, passes: int):
+    """The mean of the weights that tasks have after learning from all these documents.
+
+    Pieces of the weights are added in tasks of their own: the driver gets one sum of each,
+    however many tasks have learned.
+    """
+    flat = model.flat()
+
+    def summed(piece: int, n: float, weights: np.ndarray) -> pa.RecordBatch:
+        row = {"piece": piece, "tokens": float(n), "weights": weights.astype(float).tobytes()}
+        return pa.RecordBatch.from_pylist([row], pa.schema(FIELDS))
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = [t for batch in batches for t in sequences(batch)]
+        if texts:
+            own = model.filled(flat.copy())
+            recurrent.teach(own, texts, rates, passes)
+            n, after = sum(map(len, texts)), own.flat().astype(float)
+            for piece, at in enumerate(range(0, len(after), PIECE)):
+                yield summed(piece, n, after[at : at + PIECE] * n)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, tuple[float, np.ndarray]] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                n, total = sums.get(row["piece"], (0.0, 0.0))
+                sums[row["piece"]] = n + row["tokens"], total + np.frombuffer(row["weights"])
+        for piece, (n, total) in sums.items():
+            yield summed(piece, n, total)
+
+    # In the same tasks and order at every run, as far as ids differ.
+    order = F.xxhash64(F.lit("order"), "doc_id")
+    dealt = documents.select("types", order.alias("o"))
+    # As many shares as tasks, however many partitions there are: each share sends its weights.
+    dealt = dealt.repartition(2 * tasks, F.pmod("o", F.lit(tasks)))
+    taught = dealt.sortWithinPartitions("o", "types").select("types").mapInArrow(learn, WEIGHTS)
+    pieces = taught.repartition(ceil_div(len(flat), PIECE), "piece").mapInArrow(add, WEIGHTS)
+    found = sorted(pieces.collect(), key=lambda r: r["piece"])
+    if not found:
+        return model
+    return model.filled(np.concatenate([np.frombuffer(r["weights"]) / r["tokens"] for r in found]))
+
+
+def fit(coded: DataFrame, vocabulary: Vocabulary) -> recurrent.GatedLM:
+    """A model of all training documents: each is learned from in one round, whole."""
+    model = recurrent.started(vocabulary.frequencies(), vocabulary.side, vocabulary.side)
+    place = F.shiftrightunsigned(F.xxhash64(F.lit("round"), "doc_id"), 11) / 2.0**53
+    taught = coded.filter("learned").withColumn("place", place)
+    rounds = rounds_of(vocabulary.tokens)
+    for k, (first, last) in enumerate(rounds):
+        some = taught.filter((F.col("place") >= first) & (F.col("place") < last))
+        if k == 0:
+            rates = (RATES[0], RATES[1] if len(rounds) > 1 else 0.0)
+            model = learned_in(some, model, 1, rates, FIRST_PASSES)
+        else:
+            down = (RATES[1] - RATES[2]) / (len(rounds) - 1)
+            rates = (RATES[1] - down * (k - 1), RATES[1] - down * k)
+            tasks = math.ceil((last - first) * vocabulary.tokens / TASK_TOKENS)
+            model = learned_in(some, model, tasks, rates, 1)
+    return model
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -181,12 +260,11 @@ def score_documents(docs: DataFrame) -> DataFrame:
     words = stored(block_words(rows), "block-words")
     counts = stored(word_counts(words), "word-counts")
     vocabulary = Vocabulary(counts, rows.filter("learned").count())
-    model = fit(rows, counts, vocabulary)
     # A word that is in all blocks has a row for each; adaptive execution may split them.
     known = words.select("block", "word").join(counts, "word")
     ends = np.log10((vocabulary.ends + 1) / (vocabulary.tokens + vocabulary.types + 1))
 
-    def score(texts: pa.Table, known: pa.Table) -> pa.Table:
+    def code(texts: pa.Table, known: pa.Table) -> pa.Table:
         texts = texts.combine_chunks()
         column = texts.column("text")
         number, distinct, bounds = split(
@@ -204,26 +282,37 @@ def score_documents(docs: DataFrame) -> DataFrame:
         def summed(values: np.ndarray) -> np.ndarray:
             return np.bincount(owner, values[number], minlength=texts.num_rows)
 
-        sequence = types[number]
-        documents = [
-            np.append(sequence[a:b], recurrent.END) for a, b in zip(bounds[:-1], bounds[1:])
-        ]
-        logs = model.score(documents) + summed(share)
+        sequence, end = types.astype("<u2")[number], np.array([recurrent.END], "<u2").tobytes()
+        coded = [sequence[a:b].tobytes() + end for a, b in zip(bounds[:-1], bounds[1:])]
         return pa.table(
             {
                 "doc_id": texts.column("doc_id"),
                 "held_out": texts.column("held_out"),
+                "learned": texts.column("learned"),
                 "n_tokens": np.diff(bounds) + 1,
                 "n_known": summed((c > 0).astype(float)).astype(np.int64) + (vocabulary.ends > 0),
                 "base_score": summed(vocabulary.base_log10(c)) + ends,
-                "score": logs / np.log(10),
+                "share": summed(share),
+                "types": pa.array(coded, pa.binary()),
             }
         )
 
-    scored = (
-        rows.select("block", "doc_id", "held_out", "text")
+    coded = (
+        rows.select("block", "doc_id", "held_out", "learned", "text")
         .groupBy("block")
         .cogroup(known.groupBy("block"))
-        .applyInArrow(score, SCORES)
+        .applyInArrow(code, CODED)
     )
+    coded = stored(coded, "coded-documents")
+    model = fit(coded, vocabulary)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score"]
+        for batch in batches:
+            for some in slices(batch, "types"):
+                logs = model.score(sequences(some)) + some.column("share").to_numpy()
+                columns = [*(some.column(c) for c in names), pa.array(logs / np.log(10))]
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, "score"])
+
+    scored = coded.drop("learned").mapInArrow(score, SCORES)
     return scored.withColumn("train_tokens", F.lit(vocabulary.tokens).cast("bigint"))

@@ -170,20 +170,27 @@ class GatedLM:
             g_within[k] = flat[at].T @ inside
             g_within_bias[k] = inside.sum(axis=0)
             d_flat[at] += inside @ self.within[k].T
-        g_rows, g_gates = np.zeros_like(self.rows), np.zeros_like(self.gates)
-        g_candidate = np.zeros_like(self.candidate)
+        before, z, r, c = (np.stack(x) for x in zip(*trace))
+        into_c, into_z, into_r = z * (1 - c * c), (c - before) * z * (1 - z), before * r * (1 - r)
+        stays, goes_on = 1 - z, (fed != END)[:, :, None].astype(F32)
+        d_rows = np.empty((steps, width, 3 * size), self.rows.dtype)
+        d_gates, d_candidate = d_rows[:, :, : 2 * size], d_rows[:, :, 2 * size :]
         d_states, dh = d_flat.reshape(steps, width, size), np.zeros((width, size), F32)
         for t in range(steps - 1, -1, -1):
-            before, z, r, c = trace[t]
             dh = dh + d_states[t]
-            dc = dh * z * (1 - c * c)
+            d_candidate[t] = dc = dh * into_c[t]
             into = dc @ self.candidate.T
-            dzr = np.concatenate([dh * (c - before) * z * (1 - z), into * before * r * (1 - r)], 1)
-            g_candidate += (r * before).T @ dc
-            g_gates += before.T @ dzr
-            np.add.at(g_rows, fed[t], np.concatenate([dzr, dc], axis=1))
-            dh = dh * (1 - z) + into * r + dzr @ self.gates.T
-            dh *= (fed[t] != END)[:, None]
+            d_gates[t, :, :size] = dh * into_z[t]
+            d_gates[t, :, size:] = into * into_r[t]
+            dh = dh * stays[t] + into * r[t] + d_gates[t] @ self.gates.T
+            dh *= goes_on[t]
+        d_rows = d_rows.reshape(count, 3 * size)
+        g_gates = before.reshape(count, size).T @ d_rows[:, : 2 * size]
+        g_candidate = (r * before).reshape(count, size).T @ d_rows[:, 2 * size :]
+        g_rows, order = np.zeros_like(self.rows), np.argsort(fed, axis=None, kind="stable")
+        sorted_fed = fed.reshape(count)[order]
+        first = np.flatnonzero(np.diff(sorted_fed, prepend=-1))
+        g_rows[sorted_fed[first]] = np.add.reduceat(d_rows[order], first, axis=0)
         gradients = [
             g_rows,
             g_gates,
@@ -195,6 +202,17 @@ class GatedLM:
         ]
         return gradients, loss / count, h
 
+    def flat(self) -> np.ndarray:
+        """All weights in one row."""
+        return np.concatenate([w.ravel() for w in self.weights()])
+
+    def filled(self, flat: np.ndarray) -> GatedLM:
+        """A model of this shape with other weights."""
+        ends = np.cumsum([w.size for w in self.weights()])
+        parts = np.split(flat.astype(F32), ends[:-1])
+        shaped = [p.reshape(w.shape) for p, w in zip(parts, self.weights())]
+        return GatedLM(self.heads, self.members, *shaped)
+
     def weights(self) -> list[np.ndarray]:
         return [
             self.rows,
@@ -207,48 +225,57 @@ class GatedLM:
         ]
 
 
-def train(
-    documents: list[np.ndarray],
-    heads: int,
-    members: int,
-    singles: int,
-    hidden: int = 32,
-    epochs: int = 4,
-    streams: int = 64,
-    window: int = 24,
-    seed: int = 11,
-) -> GatedLM:
-    """Adam over the documents laid end to end in parallel streams."""
-    rng = np.random.default_rng(seed)
-    model = GatedLM.new(heads, members, singles, hidden, rng)
-    tokens = np.concatenate([np.array([END]), *documents]) if documents else np.zeros(0, int)
-    # The start: class and type frequencies of the sample, each seen once more than it is.
-    kinds = model.class_of(tokens[1:])
-    shares = np.bincount(kinds, minlength=heads + singles) + 1.0
+def started(frequencies: np.ndarray, heads: int, members: int, hidden=32, seed=11) -> GatedLM:
+    """Untrained but for its biases: the frequencies of types, each seen once more than it is."""
+    singles = len(frequencies) - heads * members
+    model = GatedLM.new(heads, members, singles, hidden, np.random.default_rng(seed))
+    kinds = model.class_of(np.arange(len(frequencies)))
+    shares = np.bincount(kinds, frequencies, heads + singles) + 1.0
     model.class_bias += np.log(shares / shares.sum()).astype(F32)
-    inside = np.bincount(tokens[1:], minlength=heads * members + singles)[: heads * members] + 1.0
+    inside = frequencies[: heads * members] + 1.0
     model.within_bias += np.log(inside.reshape(heads, members)).astype(F32)
-    streams = max(1, min(streams, (len(tokens) - 1) // window))
-    length = (len(tokens) - 1) // streams
-    if length < 1:
-        return model
-    fed = tokens[: streams * length].reshape(streams, length).T
-    aims = tokens[1 : streams * length + 1].reshape(streams, length).T
+    return model
+
+
+def in_streams(documents: list[np.ndarray], window: int) -> tuple[np.ndarray, np.ndarray]:
+    """What is fed in and its targets, (T, B): documents end to end, cut into parallel streams.
+
+    Every token is a target; the last stream is filled up with the first tokens again.
+    """
+    tokens = np.concatenate([np.array([END]), *documents]).astype(np.int64)
+    count = len(tokens) - 1
+    # Many streams are fast, but make few steps.
+    streams = int(np.clip(count // (200 * window), 16, 256))
+    length = -(-count // streams)
+    fed, aims = (np.resize(x, (streams, length)).T for x in (tokens[:-1], tokens[1:]))
+    return np.ascontiguousarray(fed), np.ascontiguousarray(aims)
+
+
+def teach(
+    model: GatedLM,
+    documents: list[np.ndarray],
+    rates: tuple[float, float],
+    passes: int = 1,
+    window: int = 24,
+) -> None:
+    """Adam over whole documents, each ended by END; the rate goes from one to the other."""
+    if not documents:
+        return
+    fed, aims = in_streams(documents, window)
     weights = model.weights()
     moments = [(np.zeros_like(w), np.zeros_like(w)) for w in weights]
-    steps, step = epochs * -(-length // window), 0
-    for _ in range(epochs):
-        h = np.zeros((streams, hidden), F32)
-        for first in range(0, length, window):
+    steps, step = passes * -(-len(fed) // window), 0
+    for _ in range(passes):
+        h = np.zeros((fed.shape[1], model.hidden), F32)
+        for first in range(0, len(fed), window):
             step += 1
             part = slice(first, first + window)
             gradients, _, h = model.learn(fed[part], aims[part], h)
             norm = np.sqrt(sum(float((g * g).sum()) for g in gradients))
             scale = F32(min(1.0, 1.0 / max(norm, 1e-9)))
-            rate = F32(0.01 * (1 - step / (steps + 1)))
+            rate = F32(rates[0] + (rates[1] - rates[0]) * step / (steps + 1))
             for w, g, (m, v) in zip(weights, gradients, moments):
                 g = g * scale
                 m += F32(0.1) * (g - m)
                 v += F32(0.005) * (g * g - v)
                 w -= rate * (m / F32(1 - 0.9**step)) / (np.sqrt(v / F32(1 - 0.995**step)) + F32(1e-8))
-    return model
