@@ -403,6 +403,11 @@ def test_pipeline_stages(spark, clashing, odd_rows, prose):
     assert {r["doc_id"] for r in last.collect()} == kept[-1]
 
 
+def test_language_stage_without_labels(spark, corpus):
+    docs = corpus([(1, "some words", None), (2, "漢字", None), (3, "12 !", None), (4, None, None)])
+    assert {r["doc_id"] for r in corpus_pipeline.known_language(spark, docs, SF_DIR).collect()} == {1, 2}
+
+
 def test_pipeline(spark):
     whole = corpus_pipeline.run(spark, SF_DIR).collect()
     docs = documents(spark)
