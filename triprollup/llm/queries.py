@@ -17,6 +17,9 @@ from triprollup.llm import (
     lm_scoring,
     matrices,
     packing,
+    periodic,
+    pieces,
+    spelling,
     suffix_dedup,
 )
 from triprollup.llm.tables import table
@@ -103,6 +106,36 @@ def op10_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matrices.pack_matrices(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.tokenized(table(spark, sf_dir, "documents"))
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(table(spark, sf_dir, "documents"), plant=True)
+    best = found.withColumn("best", periodic.strongest(F.col("runs")))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(periodic.listed(F.col("runs")).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -116,5 +149,8 @@ QUERIES: dict[str, Query] = {
         op8_host_rules,
         op9_language_id,
         op10_token_matrices,
+        op11_spelling_variants,
+        op12_sentence_pieces,
+        op13_periodic_runs,
     )
 }
