@@ -139,6 +139,34 @@ TIMED = _with_trip(
 )
 PLAIN_TRIPS = _with_trip(f"select {PLAIN} from trip")
 
+UPSERTED = f"""with trip as ({TRIP}),
+        late as (select * from trip where rate_code_id = 'F'),
+        loads as (select 1 as load, a.* from ({FULL}) a
+                  union all
+                  select 2 as load, b.* from ({FULL.replace("from trip", "from late")}) b),
+        ranked as (select *, row_number() over
+                     (partition by {BATCH_KEYS} order by load desc) as newest from loads)
+        select {ROLLUP_COLUMNS} from ranked where newest = 1"""
+# Writes of one key by their number: 1 comes after 2 and is older, 3 and 4 come together.
+TAKINGS = _grouped(BATCH_KEYS, _sum("total_amount"), COUNT)
+WRITES = " union all ".join(
+    f"select cast({number} as bigint) as write_number, w{number}.* "
+    f"from ({TAKINGS.replace('from trip', f'from trip where {condition}')}) w{number}"
+    for number, condition in (
+        (1, "rate_code_id = 'F'"),
+        (2, "true"),
+        (3, "rate_code_id = 'O'"),
+        (4, "store_and_fwd_flag = 'Y'"),
+    )
+)
+ORDERED = _with_trip(
+    f"""select {BATCH_KEYS}, sum_total_amount, {COUNT_COLUMN}, write_number
+        from (select *, row_number() over
+                (partition by {BATCH_KEYS} order by write_number desc) as newest
+              from ({WRITES}) w) r
+        where newest = 1"""
+)
+
 ORACLE: dict[str, str] = {
     "report_raw": REPORT,
     "report_rollup": _with_trip(
@@ -199,14 +227,10 @@ ORACLE: dict[str, str] = {
              max(substr(tpep_pickup_datetime, 1, 10)) as last_stamp
            from trip group by vendor_id"""
     ),
-    "upsert_last_wins": f"""with trip as ({TRIP}),
-        late as (select * from trip where rate_code_id = 'F'),
-        loads as (select 1 as load, a.* from ({FULL}) a
-                  union all
-                  select 2 as load, b.* from ({FULL.replace("from trip", "from late")}) b),
-        ranked as (select *, row_number() over
-                     (partition by {BATCH_KEYS} order by load desc) as newest from loads)
-        select {ROLLUP_COLUMNS} from ranked where newest = 1""",
+    "upsert_last_wins": UPSERTED,
+    "upsert_versions": UPSERTED,
+    "upsert_ordered": ORDERED,
+    "report_incremental": REPORT,
     "named_rollup_table": _with_trip(FULL),
     "overwritten_table": _with_trip(_grouped(KEYS, _each(_sum, _max, _mean), COUNT)),
     "decoded_upsert": _with_trip(FULL),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +24,7 @@ from triprollup.operators.decode import (
 )
 from triprollup.operators.preview import column_counts, preview, schema_listing
 from triprollup.operators.rollup import batch_rollup, reaggregate
-from triprollup.plans import reports
+from triprollup.plans import incremental, reports
 from triprollup.plans.lineitem_trips import (
     BATCH,
     BATCH_KEYS,
@@ -41,6 +41,7 @@ from triprollup.schemas import (
     STAMP,
     TRIP_COLUMNS,
 )
+from triprollup.sinks.keyed import KeyedTable, define_keyed
 from triprollup.sinks.tables import (
     append_stamped,
     append_trips,
@@ -346,6 +347,74 @@ def upsert_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _keyed_table(spark, path)
 
 
+def _keyed_rollup(
+    spark: SparkSession, source: DataFrame, order: Sequence[str] = ()
+) -> KeyedTable:
+    """A keyed table for rollups of this source."""
+    return define_keyed(spark, scratch_path(spark, "keyed"), source.schema, BATCH_KEYS, BATCH, order)
+
+
+@registered
+def upsert_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loads of `upsert_last_wins`, into a keyed table that changes at once."""
+    source = trips(spark, sf_dir)
+    loads = [
+        batch_rollup(load, BATCH_KEYS, decimals=DECIMALS)
+        for load in (source, source.filter(F.col("rate_code_id") == "F"))
+    ]
+    table = _keyed_rollup(spark, loads[0])
+    for load in loads:
+        table.upsert(load)
+    table.remove_stale(0)
+    return table.rows()
+
+
+@registered
+def upsert_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rollups whose writes are numbered; a key is given up to three times in a load.
+
+    First that of all trips, as write 2. Then those of one rate code each as writes 1, 3 and 4
+    in one load, of which the first is older than what is stored.
+    """
+    source = trips(spark, sf_dir)
+
+    def written(number: int, load: DataFrame) -> DataFrame:
+        rollup = batch_rollup(load, BATCH_KEYS, ["total_amount"], ["sum"], decimals=DECIMALS)
+        return rollup.withColumn("write_number", F.lit(number).cast("bigint"))
+
+    first = written(2, source)
+    rate, flag = F.col("rate_code_id"), F.col("store_and_fwd_flag")
+    second = written(1, source.filter(rate == "F"))
+    second = second.unionByName(written(3, source.filter(rate == "O")))
+    second = second.unionByName(written(4, source.filter(flag == "Y")))
+    table = _keyed_rollup(spark, first, ["write_number"])
+    table.upsert(first)
+    table.upsert(second)
+    return table.rows()
+
+
+@registered
+def report_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rounds of a stored report over a batch a year, which come in three loads.
+
+    First the even years, of each the trips at rate code F only; then the odd years; then the
+    even years again, whole.
+    """
+    path, state = scratch_path(spark, "raw"), scratch_path(spark, "report")
+    year = F.make_timestamp(F.col(BATCH).cast("int"), *map(F.lit, (1, 1, 0, 0, 0)), F.lit("UTC"))
+    stamped = trips(spark, sf_dir).withColumn(STAMP, year).drop(BATCH)
+    even = F.year(STAMP) % 2 == 0
+    loads = (
+        stamped.filter(even & (F.col("rate_code_id") == "F")),
+        stamped.filter(~even),
+        stamped.filter(even),
+    )
+    for load in loads:
+        append_stamped(load, path)
+        report = incremental.report_incremental(spark, path, state, DECIMALS)
+    return report
+
+
 @registered
 def named_rollup_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A defined table filled by partitions and read by its name."""
