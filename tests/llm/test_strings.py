@@ -173,6 +173,7 @@ def test_pieces_of_odd_texts(corpus, library, odd_rows, monkeypatch, kept):
     ids = [np.frombuffer(f, "<i4") for f in found]
     assert [i.tolist() for i in ids] == [e[1] for e in expected]
     assert table.decode(ids) == [e[2] for e in expected]
+    assert table.encode_and_decode([t or "" for _, t in rows]) == (found, [e[2] for e in expected])
     by_spark = map(tuple, pieces.tokenized(corpus(rows)).collect())
     assert sorted(by_spark, key=repr) == sorted(expected, key=repr)
 
@@ -184,6 +185,7 @@ def test_pieces_of_any_text(library, text):
     ids = np.frombuffer(table.encode([text])[0], "<i4")
     assert ids.tolist() == library.encode(text)
     assert table.decode([ids]) == [library.decode(ids.tolist())]
+    assert table.encode_and_decode([text])[1] == [library.decode(ids.tolist())]
 
 
 @settings(max_examples=200, deadline=None)

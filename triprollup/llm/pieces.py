@@ -5,7 +5,9 @@ behind any other character, pieces never cross from a chunk, markers and what fo
 the next. The ids of a text are then those of its chunks one after the other. Each distinct
 chunk of a block of texts is segmented once by the library itself; ids are joined back by
 position. Chunks stay in the worker's table for the blocks that come next. Ids are decoded the
-same way: a chunk of ids begins with each piece that begins with a marker.
+same way: a chunk of ids begins with each piece that begins with a marker. Where both are asked
+for, the ids of each distinct chunk are decoded once, and only chunks that come back as other
+text than they were are joined anew.
 
 The tables are those of tasks. One table for all documents would need every block's distinct
 chunks in a shuffle and their ids in another, which is more than twice the text; segmenting a
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import functools
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,15 +61,16 @@ class ChunkTable:
             raise ValueError("pieces cross white space, or white space is not kept as it is")
         self.marks = marks
         self.ids: dict[str, bytes] = {}
+        self.changed: dict[str, str] = {}
         self.texts: dict[bytes, str] = {}
 
     def _segment(self, chunks: list[str]) -> dict[str, bytes]:
-        """The library puts the first marker itself, but before nothing."""
+        """The library puts the first marker itself, but before nothing; and takes it away."""
         lists = self.model.encode([c[1:] for c in chunks], num_threads=1)
-        return {
-            c: np.array(ids if len(c) > 1 else [self.marker], "<i4").tobytes()
-            for c, ids in zip(chunks, lists)
-        }
+        lists = [i or [self.marker] for i in lists]
+        texts = self.model.decode(lists, num_threads=1)
+        self.changed.update((c, " " + t) for c, t in zip(chunks, texts) if t != c[1:])
+        return {c: array("i", ids).tobytes() for c, ids in zip(chunks, lists)}
 
     def _spell(self, chunks: list[bytes]) -> dict[bytes, str]:
         """The library takes the first marker away."""
@@ -89,12 +93,30 @@ class ChunkTable:
         table.update((c, v) for c, v in made.items() if c not in long)
         return table | long if long else table
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, 32 bits each."""
+    def _encoded(self, texts: list[str]) -> tuple[list[list[str]], list[bytes]]:
         # No marker stands before an empty text.
         split = [CHUNK.findall(" " + t.replace(MARKER, " ")) if t else [] for t in texts]
         known = self._known(self.ids, set().union(*split), self._segment)
-        return [b"".join([known[c] for c in chunks]) for chunks in split]
+        return split, [b"".join([known[c] for c in chunks]) for chunks in split]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, 32 bits each."""
+        return self._encoded(texts)[1]
+
+    def encode_and_decode(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
+        """Ids of each text, and the text that these ids give."""
+        split, ids = self._encoded(texts)
+        changed = self.changed
+        again = [
+            t.replace(MARKER, " ")
+            if not changed or changed.keys().isdisjoint(chunks)
+            else "".join([changed.get(c, c) for c in chunks])[1:]
+            for t, chunks in zip(texts, split)
+        ]
+        if len(changed) > KEPT_CHUNKS:
+            changed.clear()
+            self.ids.clear()
+        return ids, again
 
     def decode(self, lists: list[np.ndarray]) -> list[str]:
         """The text of each list of ids."""
@@ -115,14 +137,19 @@ def table_at(path: str) -> ChunkTable:
     return ChunkTable(path)
 
 
+def _lists(ids: list[bytes]) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])])
+    flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+
+
 def _mapped(rows: DataFrame, column: str, made: str, kind: str, make) -> DataFrame:
     """`rows` with the column `made` in place of `column`, some texts at a time."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.names.index(column)
-            for some in make(batch):
-                part, values = some
+            for part, values in make(batch):
                 yield part.set_column(at, made, values)
 
     kinds = [
@@ -143,10 +170,7 @@ def encode_texts(rows: DataFrame, path: str, column: str = "text") -> DataFrame:
     def make(batch: pa.RecordBatch):
         for some in slices(batch, column, BLOCK):
             texts = pc.fill_null(some.column(column), "").to_pylist()
-            ids = table_at(path).encode(texts)
-            ends = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])])
-            flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
-            yield some, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+            yield some, _lists(table_at(path).encode(texts))
 
     return _mapped(rows, column, "ids", "array<int>", make)
 
@@ -175,7 +199,16 @@ def decode_ids(rows: DataFrame, path: str, column: str = "ids") -> DataFrame:
 
 
 def tokenized(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, ids, and the text that the ids give again, of each row."""
+    """doc_id, ids, and the text that the ids give again, of each row; as `encode_texts`."""
     path = path or model_path()
-    encoded = encode_texts(docs.select(F.col("doc_id").cast("bigint"), "text"), path)
-    return decode_ids(encoded.withColumn("given", F.col("ids")), path, "given")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in slices(batch, "text", BLOCK):
+                texts = pc.fill_null(some.column("text"), "").to_pylist()
+                ids, again = table_at(path).encode_and_decode(texts)
+                columns = [some.column("doc_id"), _lists(ids), pa.array(again, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "text"])
+
+    rows = docs.select(F.col("doc_id").cast("bigint"), "text")
+    return rows.mapInArrow(work, "doc_id bigint, ids array<int>, text string")
