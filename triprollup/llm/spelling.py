@@ -39,7 +39,7 @@ LEAST_LENGTH, LEAST_COUNT = 5, 3
 FORM_RATIO = 2
 GROUPS = 12
 #: Rows of a cell, living there or visiting, at most; and different words kept while counting.
-CELL = 100_000
+CELL = 40_000
 KEPT = 200_000
 #: Rows of leaves compared at a time, and an odd number that spreads their keys.
 COMPARED = 1_000_000
@@ -354,7 +354,7 @@ def near_words(words: DataFrame) -> DataFrame:
     group = letter_groups(words)
     count = words.count()
     # A word is in 1 + d (d + 1) / 2 cells at level d; a level makes some three of one.
-    level = next((d for d in range(GROUPS) if count * (1 + d * (d + 1) // 2) <= CELL * 3**d), GROUPS)
+    level = next((d for d in range(GROUPS) if count * (1 + d * (d + 1) // 2) <= 2 * CELL * 3**d), GROUPS)
     whole = words.select(F.lit(b"").alias("cell"), F.lit(LIVES).cast("tinyint").alias("state"), "word", "n")
     rows, found = placed(whole, group, 0, level), []
     while True:
