@@ -1,0 +1,138 @@
+"""Several ingests into one pair of tables, replays, and batches that have not landed."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import line
+from triprollup.operators.decode import decode_trips
+from triprollup.plans import reports
+from triprollup.schemas import PARTITION, RAW_TABLE_SCHEMA, REJECT_TABLE_SCHEMA, ROLLUP_TABLE_SCHEMA
+from triprollup.sinks import ledger as ledgers
+from triprollup.sources.messages import line_stream
+from triprollup.streaming import ingest
+
+LINES = [
+    line(vendor_id=str(i % 3), payment_type=str(i % 4), total_amount=f"{i / 100:.2f}")
+    for i in range(1, 61)
+]
+
+
+class Tables:
+    def __init__(self, spark, root):
+        self.spark, self.root = spark, root
+        self.raw, self.rollup, self.ledger = (str(root / n) for n in ("raw", "rollup", "ledger"))
+
+    def feed(self, name, part, lines):
+        (self.root / name).mkdir(exist_ok=True)
+        (self.root / name / f"{part}.txt").write_text("".join(f"{x}\n" for x in lines))
+
+    def ingest(self, name, **options):
+        ingest.run_ingest(
+            line_stream(self.spark, str(self.root / name), maxFilesPerTrigger=1),
+            self.raw, self.rollup, str(self.root / f"checkpoint-{name}"),
+            decimals=2, ledger=self.ledger, **options,
+        )
+
+    def read(self, path, schema):
+        return ledgers.landed_table(self.spark, path, self.ledger, schema)
+
+    def entries(self):
+        return ledgers.landed_batches(self.spark, self.ledger)
+
+    def check(self, lines_of, lines):
+        direct = reports.report_raw(decode_trips(lines_of(*lines)), 2).collect()
+        raw = self.read(self.raw, RAW_TABLE_SCHEMA)
+        rollup = self.read(self.rollup, ROLLUP_TABLE_SCHEMA)
+        assert reports.report_raw(raw, 2).collect() == direct
+        assert reports.report_rollup(rollup, 2).collect() == direct
+        assert (self.entries().agg(F.sum("n_rows")).first()[0] or 0) == len(lines)
+        per_batch = raw.groupBy("ingest", "batch_id", PARTITION).agg(F.count("*").alias("n"))
+        told = self.entries().select("ingest", "batch_id", PARTITION, F.col("n_rows").alias("n"))
+        assert sorted(per_batch.collect()) == sorted(told.filter("n > 0").collect())
+
+
+@pytest.fixture
+def tables(spark, tmp_path):
+    return Tables(spark, tmp_path)
+
+
+def test_equal_stamps_lose_nothing(spark, tables, lines_of, monkeypatch):
+    """All batches of two ingests have one stamp."""
+    stamp = F.lit("2016-01-01 00:00:00").cast("timestamp")
+    monkeypatch.setattr(ingest, "processing_time", lambda: stamp)
+    for name in ("a", "b"):
+        for part in range(2):
+            tables.feed(name, part, LINES[("ab".index(name) * 2 + part) :: 4])
+        tables.ingest(name)
+    tables.check(lines_of, LINES)
+    assert tables.entries().select(PARTITION).distinct().count() == 1
+    assert tables.entries().select("ingest").distinct().count() == 2
+    tables.feed("a", "more", LINES[:5])
+    tables.ingest("a")
+    tables.check(lines_of, [*LINES, *LINES[:5]])
+
+
+MOMENTS = ("before the rollup", "before the entry", "after the entry")
+
+
+@pytest.mark.parametrize("moment", MOMENTS)
+def test_a_replay_lands_once(spark, tables, lines_of, monkeypatch, moment):
+    for part in range(2):
+        tables.feed("a", part, LINES[part::2])
+    target = "roll_up_batch" if moment == MOMENTS[0] else "record_batch"
+    real, seen = getattr(ingest, target), []
+
+    def die(*args):
+        seen.append(args)
+        if len(seen) == 2:
+            if moment == MOMENTS[2]:
+                real(*args)
+            raise RuntimeError("killed")
+        real(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, target, die)
+        with pytest.raises(Exception, match="killed"):
+            tables.ingest("a")
+    landed = 2 if moment == MOMENTS[2] else 1
+    assert tables.entries().count() == landed
+    assert tables.read(tables.raw, RAW_TABLE_SCHEMA).count() == 30 * landed
+    rollup = tables.read(tables.rollup, ROLLUP_TABLE_SCHEMA)
+    assert rollup.agg(F.sum("count_trips")).first()[0] == 30 * landed
+    writes = []
+    whole = ingest.write_batch
+    monkeypatch.setattr(ingest, "write_batch", lambda *a: writes.append(a) or whole(*a))
+    tables.ingest("a")
+    tables.check(lines_of, LINES)
+    assert tables.entries().count() == 2
+    assert bool(writes) == (moment != MOMENTS[2]), "a batch that has landed is not written again"
+
+
+def test_refused_lines_are_counted(spark, tables, lines_of):
+    rejects = str(tables.root / "rejects")
+    tables.feed("a", 0, [*LINES[:20], "x", "y"])
+    tables.feed("a", 1, ["z"])
+    tables.feed("a", 2, LINES[20:])
+    tables.ingest("a", mode="quarantine", rejects=rejects)
+    tables.check(lines_of, LINES)
+    assert sorted(r["n_refused"] for r in tables.entries().collect()) == [0, 1, 2]
+    refused = tables.read(rejects, REJECT_TABLE_SCHEMA)
+    assert sorted(r["line"] for r in refused.collect()) == ["x", "y", "z"]
+
+
+def test_batches_without_an_entry_are_not_read(spark, tables, lines_of):
+    assert tables.entries().count() == 0
+    assert tables.read(tables.raw, RAW_TABLE_SCHEMA).count() == 0
+    tables.feed("a", 0, LINES)
+    tables.ingest("a")
+    entry = tables.entries().first()
+    stray = f"{tables.raw}/ingest={entry['ingest']}/batch_id=7/{PARTITION}=1"
+    spark.read.parquet(tables.raw).drop("ingest", "batch_id", PARTITION).write.parquet(stray)
+    tables.check(lines_of, LINES)
+    assert tables.read(tables.raw, RAW_TABLE_SCHEMA).columns[-2:] == ["ingest", "batch_id"]
+
+
+def test_named_tables_and_a_ledger(spark, tables):
+    (tables.root / "a").mkdir()
+    with pytest.raises(ValueError, match="catalog"):
+        tables.ingest("a", named=["x"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,11 +37,15 @@ from triprollup.plans.lineitem_trips import (
 from triprollup.schemas import (
     DECIMALS,
     GROUP_KEYS,
+    RAW_TABLE_SCHEMA,
     REASON,
+    REJECT_TABLE_SCHEMA,
+    ROLLUP_TABLE_SCHEMA,
     STAMP,
     TRIP_COLUMNS,
 )
 from triprollup.sinks.keyed import KeyedTable, define_keyed
+from triprollup.sinks.ledger import landed_batches, landed_table
 from triprollup.sinks.tables import (
     append_stamped,
     append_trips,
@@ -53,6 +57,7 @@ from triprollup.sinks.tables import (
     upsert_rollup,
     write_partitions,
 )
+from triprollup.sources.inferred import csv_inferred
 from triprollup.sources.messages import (
     count_messages,
     line_messages,
@@ -301,6 +306,25 @@ def csv_typed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_file(spark, path)
 
 
+def _inferred_trips(spark: SparkSession, sf_dir: str, header: bool) -> DataFrame:
+    path = scratch_path(spark, "csv")
+    plain_trips(spark, sf_dir).write.option("header", header).csv(path)
+    return csv_inferred(spark, path, header, None if header else TRIP_COLUMNS)
+
+
+@registered
+def csv_inferred_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips in the types that their values show; stamps as text, which all engines print alike."""
+    found = _inferred_trips(spark, sf_dir, header=True)
+    stamps = [f.name for f in found.schema.fields if isinstance(f.dataType, T.TimestampType)]
+    return found.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in stamps})
+
+
+@registered
+def csv_inferred_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return schema_listing(_inferred_trips(spark, sf_dir, header=False))
+
+
 @registered
 def append_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts seen through a view before and after a second append."""
@@ -535,6 +559,60 @@ def stream_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _two_ingests(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Two streams into one pair of tables, each started three times; tells the paths.
+
+    One takes the lines of odd batches, damaged, and keeps the refused ones aside; the other
+    those of even batches, whole.
+    """
+    names = ("raw", "rollup", "rejects", "ledger")
+    paths = {name: scratch_path(spark, name) for name in names}
+    source = trips(spark, sf_dir)
+    odd = F.col(BATCH) % 2 == 1
+    feeds = (
+        (damaged_lines(source.filter(odd)), {"mode": QUARANTINE, "rejects": paths["rejects"]}),
+        (encode_lines(source.filter(~odd)), {}),
+    )
+    for lines, options in feeds:
+        feed, checkpoint = scratch_path(spark, "feed"), scratch_path(spark, "checkpoint")
+        size = write_feed(lines, feed)
+        stream = line_stream(spark, feed, maxBytesPerTrigger=max(1, size // MICRO_BATCHES))
+        for _ in range(3):
+            run_ingest(
+                stream, paths["raw"], paths["rollup"], checkpoint,
+                decimals={"fare_amount": DECIMALS}, ledger=paths["ledger"], **options,
+            )
+    return paths
+
+
+@registered
+def stream_two_ingests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips and fares of the rollup of both ingests, from batches that have landed."""
+    paths = _two_ingests(spark, sf_dir)
+    rollup = landed_table(spark, paths["rollup"], paths["ledger"], ROLLUP_TABLE_SCHEMA)
+    return reaggregate(
+        rollup, GROUP_KEYS, ["fare_amount"], ["sum", "max"], decimals=DECIMALS
+    )
+
+
+@registered
+def ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ledger of two ingests tells, and what their tables hold."""
+    paths = _two_ingests(spark, sf_dir)
+
+    def rows(name: str, schema: T.StructType) -> Column:
+        table = landed_table(spark, paths[name], paths["ledger"], schema)
+        return F.lit(table.count()).alias(f"n_{name}")
+
+    return landed_batches(spark, paths["ledger"]).agg(
+        F.count_distinct("ingest").alias("n_ingests"),
+        F.sum("n_rows").alias("n_rows"),
+        F.sum("n_refused").alias("n_refused"),
+        rows("raw", RAW_TABLE_SCHEMA),
+        rows("rejects", REJECT_TABLE_SCHEMA),
+    )
+
+
 @registered
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reasons of the lines a quarantining ingest refused."""

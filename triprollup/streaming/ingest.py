@@ -22,6 +22,7 @@ from triprollup.operators.decode import (
 from triprollup.operators.preview import show
 from triprollup.operators.rollup import batch_rollup
 from triprollup.schemas import PARTITION, REASON, STAMP, STAMPED_TRIP_SCHEMA
+from triprollup.sinks.ledger import ingest_path, is_landed, record_batch
 from triprollup.sinks.tables import add_batch, batch_path, write_batch
 from triprollup.sources.messages import project_value
 
@@ -57,6 +58,11 @@ def roll_up_batch(
     write_batch(batch_rollup(landed, decimals=decimals), rollup, batch_ms)
 
 
+def query_id(spark: SparkSession) -> str:
+    """The id of the running stream, which its checkpoint keeps from start to start."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def _land_batch(
     spark: SparkSession,
     raw: str,
@@ -65,27 +71,40 @@ def _land_batch(
     decimals: Decimals,
     preview: int,
     named: Sequence[str],
+    ledger: str | None,
 ) -> Callable[[DataFrame, int], None]:
-    def land(batch: DataFrame, _batch_id: int) -> None:
+    def land(batch: DataFrame, batch_id: int) -> None:
         head = batch.select(partition_value(STAMP).alias(PARTITION)).first()
         if head is None:
             return
-        batch_ms = head[PARTITION]
-        if rejects is None:
-            write_batch(batch, raw, batch_ms)
+        batch_ms, places, counted = head[PARTITION], (raw, rollup, rejects), Observation()
+        if ledger is not None:
+            ingest = query_id(spark)
+            if is_landed(spark, ledger, ingest, batch_id):
+                return
+            places = tuple(p and ingest_path(p, ingest, batch_id) for p in places)
+        to_raw, to_rollup, to_rejects = places
+        if to_rejects is None:
+            if ledger is not None:
+                batch = batch.observe(counted, F.count(F.lit(1)).alias("n"))
+            write_batch(batch, to_raw, batch_ms)
+            n_refused = 0
         else:
-            refused = Observation()
-            counted = batch.observe(refused, F.count(REASON).alias("n"))
-            write_batch(accepted_trips(counted), raw, batch_ms)
+            counts = F.count(F.lit(1)).alias("n"), F.count(REASON).alias("n_refused")
+            write_batch(accepted_trips(batch.observe(counted, *counts)), to_raw, batch_ms)
+            n_refused = counted.get["n_refused"]
             # The source is read a second time only by batches with faulty lines.
-            if refused.get["n"]:
-                write_batch(rejected_lines(batch), rejects, batch_ms)
-        roll_up_batch(spark, raw, rollup, batch_ms, decimals)
+            if n_refused:
+                write_batch(rejected_lines(batch), to_rejects, batch_ms)
+        roll_up_batch(spark, to_raw, to_rollup, batch_ms, decimals)
+        if ledger is not None:
+            n_rows = counted.get["n"] - n_refused
+            record_batch(spark, ledger, ingest, batch_id, batch_ms, n_rows, n_refused)
         for table in named:
             add_batch(spark, table, batch_ms)
         if preview:
-            show(spark.read.parquet(batch_path(raw, batch_ms)), preview)
-            show(spark.read.parquet(batch_path(rollup, batch_ms)), preview)
+            show(spark.read.parquet(batch_path(to_raw, batch_ms)), preview)
+            show(spark.read.parquet(batch_path(to_rollup, batch_ms)), preview)
 
     return land
 
@@ -103,6 +122,7 @@ def start_ingest(
     decimals: Decimals = None,
     preview: int = 0,
     named: Sequence[str] = (),
+    ledger: str | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
     """Start the ingest; ``awaitTermination`` of the result waits for its end.
@@ -114,14 +134,20 @@ def start_ingest(
     tables defined over ``raw`` or ``rollup`` that each batch is made known to; read by
     name, they list the partitions a query needs instead of the whole directory. A pair
     of tables takes one ingest at a time, since two could share a stamp.
+
+    With a ``ledger``, a path, tables take any number of ingests at once. Each batch has a
+    directory of its own, by ingest and batch number, and counts once the ledger has an entry
+    for it, which is written last; see :mod:`triprollup.sinks.ledger`.
     """
+    if ledger is not None and named:
+        raise ValueError("tables of several ingests are not known to the catalog by batch")
     if (mode == QUARANTINE) != (rejects is not None):
         raise ValueError("a rejects path goes with quarantine mode, and only with it")
     writer = (
         stamped_messages(messages, mode, form)
         .writeStream.foreachBatch(
             _land_batch(
-                messages.sparkSession, raw, rollup, rejects, decimals, preview, named
+                messages.sparkSession, raw, rollup, rejects, decimals, preview, named, ledger
             )
         )
         .option("checkpointLocation", checkpoint)
