@@ -16,6 +16,7 @@ from triprollup.schemas import (
     STAMP,
     TRIP_COLUMNS,
 )
+from triprollup.sinks import retention
 from triprollup.sinks import tables as sink
 from triprollup.sources import tables as source
 from triprollup.sources.messages import (
@@ -204,6 +205,73 @@ def test_rows_of_a_compaction_that_was_cut_off_do_not_count(spark, trips, tmp_pa
     assert _contents(source.with_history(live, history)) == _contents(live)
 
 
+def test_removal_of_compacted_batches(spark, trips, tmp_path):
+    live, path, history = _live_and_history(spark, trips, tmp_path)
+    before = _contents(live)
+    assert retention.remove_compacted(spark, path, history, 0) == []
+    sink.compact(live, history, "2016-01-01")
+    assert retention.remove_compacted(spark, path, history) == []  # too young
+    # Copied rows that were never listed do not count.
+    live.filter(F.col(STAMP) > "2016-01-02").write.parquet(
+        f"{source.history_rows(history)}/{source.RUN}=cut-off"
+    )
+    assert len(retention.remove_compacted(spark, path, history, 0)) == 2
+    opened = source.rollup_table(spark, path)
+    assert opened.select(PARTITION).distinct().count() == 3
+    assert _contents(source.with_history(opened, history)) == before
+    # Compacted again after the removal, and a late replay: nothing is lost or doubled.
+    sink.compact(opened, history, "2016-01-01")
+    sink.write_partitions(_rollup(trips, "2016-01-01 00:00:00"), path)
+    opened = source.rollup_table(spark, path)
+    assert _contents(source.with_history(opened, history)) == before
+    assert len(retention.remove_compacted(spark, path, history, 0)) == 1
+    assert _contents(source.with_history(source.rollup_table(spark, path), history)) == before
+
+
+def test_a_removal_that_is_cut_off(spark, trips, tmp_path, monkeypatch):
+    live, path, history = _live_and_history(spark, trips, tmp_path)
+    before = _contents(live)
+    sink.compact(live, history, "2016-01-01")
+    real, seen = retention.remove, []
+
+    def die(session, where):
+        if "marks" not in where:
+            seen.append(where)
+        if len(seen) == 2:
+            raise KeyboardInterrupt
+        return real(session, where)
+
+    monkeypatch.setattr(retention, "remove", die)
+    with pytest.raises(KeyboardInterrupt):
+        retention.remove_compacted(spark, path, history, 0)
+    monkeypatch.undo()
+    both = source.with_history(source.rollup_table(spark, path), history)
+    assert _contents(both) == before
+    monkeypatch.setattr(retention, "REMOVE_SECONDS", 0.0)
+    assert _contents(both) == before
+
+
+def test_batches_stay_while_a_report_reads(spark, trips, tmp_path, monkeypatch):
+    live, path, history = _live_and_history(spark, trips, tmp_path)
+    sink.compact(live, history, "2016-01-01")
+    with retention.reading(spark, history):
+        opened = source.with_history(source.rollup_table(spark, path), history)
+        before = _contents(opened)
+        assert retention.remove_compacted(spark, path, history, 0) == []
+        assert _contents(opened) == before
+    # A reader that died is passed over once its mark has run out.
+    mark = retention._mark(spark, history, retention.READING, -1)
+    mark.__enter__()
+    # A removal under way makes readers wait.
+    with retention._mark(spark, history, retention.REMOVING, 60):
+        with pytest.raises(TimeoutError):
+            with retention.reading(spark, history, wait=0.2):
+                pass
+    assert len(retention.remove_compacted(spark, path, history, 0)) == 2
+    with retention.reading(spark, history):
+        assert _contents(source.with_history(source.rollup_table(spark, path), history)) == before
+
+
 def test_named_table(spark, trips, tmp_path):
     path = str(tmp_path / "named")
     for _ in range(2):

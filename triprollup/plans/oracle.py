@@ -193,6 +193,37 @@ ORDERED = _with_trip(
         where newest = 1"""
 )
 
+ALL = ", ".join([*TRIP_COLUMNS, "batch_id"])
+CHANGED = "batch_id = 1995 and payment_type = '2'"
+CASH = "batch_id = 1996 and payment_type = '1' and vendor_id"
+DRILLDOWN = _with_trip(
+    " union all ".join(
+        f"""select {columns}, '{side}' as side, count(*) as n_copies
+            from trip where {condition} group by all"""
+        for side, columns, condition in (
+            ("left", ALL, f"{CHANGED} or {CASH} = 'A'"),
+            ("right", ALL.replace("total_amount", "1.0::double as total_amount"), CHANGED),
+            ("right", ALL, f"{CASH} = 'N'"),
+        )
+    )
+)
+MESSAGES = """select cast(event_id % 4 as int) as "partition", event_id // 4 as "offset",
+    cast(user_id as varchar) as "key", props as "value", event_id from events"""
+FAULTS = f"""with messages as ({MESSAGES}),
+    wanted as (select cast(p as int) as "partition", o as "offset"
+               from range(3) a(p), range(2000) b(o)),
+    delivered as (select m."partition", m."offset", event_id % 89 = 0 as thrice
+                  from messages m where event_id % 97 >= 2),
+    missing as (select w."partition", w."offset",
+                  w."offset" - row_number() over (partition by w."partition" order by w."offset") as run
+                from wanted w anti join delivered d using ("partition", "offset"))
+    select "partition", 'gap' as fault, min("offset") as first_offset, max("offset") as last_offset,
+      count(*) as n_messages
+    from missing group by "partition", run
+    union all
+    select "partition", 'repeat', "offset", "offset", cast(2 as bigint)
+    from delivered where thrice and "partition" < 3 and "offset" < 2000"""
+
 ORACLE: dict[str, str] = {
     "report_raw": REPORT,
     "report_rollup": _with_trip(
@@ -225,6 +256,7 @@ ORACLE: dict[str, str] = {
     "csv_decode": PLAIN_TRIPS,
     "csv_rejects": REJECTS,
     "json_rejects": JSON_REJECTS,
+    "reconcile_drilldown": DRILLDOWN,
     "csv_quarantine": _with_trip(
         f"""select {KEYS}, count(*) as n_trips,
               cast(sum(case when payment_type = '1' and vendor_id = 'A' then 1 else 0 end)
@@ -266,6 +298,18 @@ ORACLE: dict[str, str] = {
     "decoded_upsert": _with_trip(FULL),
     "bounded_read": 'select props as "value" from events',
     "bounded_read_count": "select count(*) as n_messages from events",
+    "offset_range_read": f"""select "partition", "offset", "key", "value" from ({MESSAGES}) m
+        where "partition" = 1 or ("partition" = 0 and "offset" >= 10 and "offset" < 150)""",
+    "offset_faults": FAULTS,
+    "evolved_schema_scan": _with_trip(
+        """select vendor_id, 3 * count(*) as n_trips,
+             cast(sum(2 * passenger_count + 1099511627776) as bigint) as sum_passenger_count,
+             2 * count(*) as n_distances,
+             greatest(max(trip_distance), cast(max(cast(trip_distance as float)) as double))
+               as max_trip_distance,
+             count(*) as n_payments
+           from trip group by vendor_id"""
+    ),
     "preview": _with_trip(f"select {PLAIN} from trip order by {PLAIN} limit 20"),
     "preview_rollup": _with_trip(f"{FULL} order by {BATCH_KEYS} limit 10"),
     "schema_listing": SCHEMA_LISTING,
@@ -284,6 +328,14 @@ ORACLE: dict[str, str] = {
               count(*) filter (where not {LEFT}) as n_rejects
             from trip"""
     ),
+    "batch_progress": _with_trip(
+        f"""select count(*) filter (where {LEFT}) as n_rows,
+              count(*) filter (where not {LEFT}) as n_refused,
+              cast(0 as bigint) as n_unrecorded, cast(0 as bigint) as n_out_of_order,
+              cast(0 as bigint) as n_late
+            from trip"""
+    ),
     "stream_rejects": REJECTS,
     "compacted_rollup": REPORT,
+    "compacted_removed": REPORT,
 }

@@ -22,6 +22,7 @@ from triprollup.operators.decode import (
     encode_lines,
     rejected_lines,
 )
+from triprollup.operators.drilldown import drill_down
 from triprollup.operators.preview import column_counts, preview, schema_listing
 from triprollup.operators.rollup import batch_rollup, reaggregate
 from triprollup.plans import incremental, reports
@@ -46,6 +47,7 @@ from triprollup.schemas import (
 )
 from triprollup.sinks.keyed import KeyedTable, define_keyed
 from triprollup.sinks.ledger import landed_batches, landed_table
+from triprollup.sinks.retention import reading, remove_compacted
 from triprollup.sinks.tables import (
     append_stamped,
     append_trips,
@@ -57,6 +59,7 @@ from triprollup.sinks.tables import (
     upsert_rollup,
     write_partitions,
 )
+from triprollup.sources.evolved import evolved_table
 from triprollup.sources.inferred import csv_inferred
 from triprollup.sources.messages import (
     count_messages,
@@ -64,6 +67,7 @@ from triprollup.sources.messages import (
     line_stream,
     project_key_value,
 )
+from triprollup.sources.offsets import TOPIC_PARTITION, offset_faults, offset_range_read
 from triprollup.sources.scratch import scratch_path
 from triprollup.sources.tables import (
     as_trips,
@@ -76,6 +80,7 @@ from triprollup.sources.tables import (
     with_history,
 )
 from triprollup.streaming.ingest import run_ingest
+from triprollup.streaming.progress import batch_progress, recorded
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -241,6 +246,33 @@ def reconcile_altered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.reconcile_reports(source, rollup, DECIMALS)
 
 
+def _partitioned(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
+    """Rows stored by batch, read back with the schema they have."""
+    path = scratch_path(spark, label)
+    write_partitions(rows, path, BATCH)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+@registered
+def reconcile_drilldown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that differ between all trips and a copy with two batches altered.
+
+    In 1995 a fifth of the totals are other ones, of 1996 the cash trips of one vendor are gone
+    and those of another are there twice.
+    """
+    source = trips(spark, sf_dir)
+    vendor, kind = F.col("vendor_id"), F.col("payment_type")
+    changed = (F.col(BATCH) == 1995) & (kind == "2")
+    altered = source.withColumn(
+        "total_amount", F.when(changed, 1.0).otherwise(F.col("total_amount"))
+    )
+    cash = (F.col(BATCH) == 1996) & (kind == "1")
+    copies = F.when(cash & (vendor == "A"), 0).when(cash & (vendor == "N"), 2).otherwise(1)
+    altered = altered.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies))).drop("_copy")
+    sides = _partitioned(spark, source, "left"), _partitioned(spark, altered, "right")
+    return drill_down(*sides, BATCH, GROUP_KEYS)
+
+
 @registered
 def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of the damaged lines, by vendor and payment type."""
@@ -485,6 +517,64 @@ def bounded_read_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_messages(line_messages(spark, path))
 
 
+def _offset_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as messages of four partitions, stored by partition."""
+    path = scratch_path(spark, "messages")
+    messages = _table(spark, sf_dir, "events").selectExpr(
+        "cast(event_id % 4 as int) as partition",
+        "cast(floor(event_id / 4) as bigint) as offset",
+        "cast(user_id as string) as key",
+        "props as value",
+    )
+    write_partitions(messages, path, TOPIC_PARTITION)
+    return spark.read.schema("offset bigint, key string, value string, partition int").parquet(path)
+
+
+#: Partitions of the registered offset queries: part of one, all of another, none of a third.
+OFFSET_RANGES = {0: (10, 150), 1: (0, 1 << 40), 3: (7, 7)}
+
+
+@registered
+def offset_range_read_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return offset_range_read(_offset_messages(spark, sf_dir), OFFSET_RANGES)
+
+
+@registered
+def offset_faults_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of which some are lost and some are delivered twice."""
+    messages = _offset_messages(spark, sf_dir)
+    number = F.col("offset") * 4 + F.col("partition")
+    copies = F.when(number % 97 < 2, 0).when(number % 89 == 0, 3).otherwise(1)
+    delivered = messages.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies)))
+    return offset_faults(delivered.drop("_copy"), {p: (0, 2_000) for p in range(3)})
+
+
+@registered
+def evolved_schema_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips written three times, as counts and amounts grew and a column came."""
+    path = scratch_path(spark, "evolved")
+    source = plain_trips(spark, sf_dir)
+    narrow = source.select(
+        "vendor_id",
+        F.col("passenger_count").cast("int").alias("passenger_count"),
+        F.col("trip_distance").cast("float").alias("trip_distance"),
+    )
+    wide = source.select("vendor_id", (F.col("passenger_count") + (1 << 40)).alias("passenger_count"))
+    for generation in (narrow, wide, source.select("payment_type", "trip_distance", "vendor_id")):
+        append_trips(generation, path)
+    return (
+        evolved_table(spark, path)
+        .groupBy("vendor_id")
+        .agg(
+            F.count(F.lit(1)).alias("n_trips"),
+            F.sum("passenger_count").alias("sum_passenger_count"),
+            F.count("trip_distance").alias("n_distances"),
+            F.max("trip_distance").alias("max_trip_distance"),
+            F.count("payment_type").alias("n_payments"),
+        )
+    )
+
+
 @registered
 def preview_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview(plain_trips(spark, sf_dir), order=TRIP_COLUMNS)
@@ -613,6 +703,22 @@ def ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def batch_progress_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of two ingests: how many were recorded, and their rows."""
+    path = scratch_path(spark, "progress")
+    with recorded(spark, path):
+        paths = _two_ingests(spark, sf_dir)
+    told = batch_progress(spark, path, paths["ledger"], interval_seconds=3600)
+    return told.agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.sum("n_refused").alias("n_refused"),
+        F.count_if(F.col("duration_ms").isNull()).alias("n_unrecorded"),
+        F.count_if(F.col("started_at") > F.col("landed_at")).alias("n_out_of_order"),
+        F.count_if("is_late").alias("n_late"),
+    )
+
+
 @registered
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reasons of the lines a quarantining ingest refused."""
@@ -640,3 +746,31 @@ def compacted_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pruned = live.filter(F.col(STAMP) != F.lit(f"{days[0]} 00:00:00+00:00").cast("timestamp"))
     compact(pruned, history, days[0])
     return reports.report_rollup(with_history(pruned, history), DECIMALS)
+
+
+@registered
+def compacted_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollup report of a batch a year, of which those in the history are removed.
+
+    One of them is replayed afterwards, and what is left is compacted and removed once more.
+    """
+    path, history = scratch_path(spark, "rollup"), scratch_path(spark, "history")
+    year = F.make_timestamp(F.col(BATCH).cast("int"), *map(F.lit, (1, 1, 0, 0, 0)), F.lit("UTC"))
+    stamped = trips(spark, sf_dir).withColumn(STAMP, year)
+    append_stamped(batch_rollup(stamped, decimals=DECIMALS), path)
+    for first in ("1992", "1993"):
+        live = rollup_table(spark, path)
+        for later in range(2):
+            compact(live, history, f"{int(first) + later}-01-01", join_files=True)
+        remove_compacted(spark, path, history, retention_seconds=0)
+        replayed = batch_rollup(stamped.filter(F.year(STAMP) == 1992), decimals=DECIMALS)
+        append_stamped(replayed, path)
+    with reading(spark, history):
+        whole = with_history(rollup_table(spark, path), history)
+        report = reports.report_rollup(whole, DECIMALS)
+        return parquet_table(spark, _written(report, scratch_path(spark, "report")))
+
+
+def _written(df: DataFrame, path: str) -> str:
+    df.write.parquet(path)
+    return path

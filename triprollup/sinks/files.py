@@ -24,3 +24,9 @@ def remove(spark: SparkSession, path: str) -> bool:
     """Remove a directory with all it holds; whether there was one."""
     system, where = _hadoop(spark, path)
     return system.delete(where, True)
+
+
+def make_directory(spark: SparkSession, path: str) -> None:
+    """Make an empty directory, which others see at once."""
+    system, where = _hadoop(spark, path)
+    system.mkdirs(where)
