@@ -41,3 +41,20 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 8_000_000) -> Iterato
         last = max(first + 1, int(np.searchsorted(ends, before + most, side="right")))
         yield batch.slice(first, last - first)
         first = last
+
+
+def gathered(
+    batches: Iterator[pa.RecordBatch], column: str, most: int
+) -> Iterator[pa.RecordBatch]:
+    """All rows, in batches whose texts are about so many bytes; a longer text is alone."""
+    held, size = [], 0
+    for batch in batches:
+        for some in slices(batch, column, most):
+            more = pc.sum(pc.binary_length(some.column(column))).as_py() or 0
+            if held and size + more > most:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+            held.append(some)
+            size += more
+    if held:
+        yield pa.concat_batches(held)

@@ -6,10 +6,12 @@ they occur: each range of counts is one type, and a word's share of its range is
 of the range's occurrences. A word seen once is as likely as all unknown words together to
 be the next new one (Good and Turing), so those two share the range of new words evenly.
 
-The model learns from all training documents, each whole, in rounds of twice as many documents
-as the one before. Tasks learn from their share of a round's documents, and the mean of their
-weights, by tokens, is what the next round begins with. How many rounds and tasks there are,
-how many words are types and how many ranges there are follows the input.
+The model learns from all training documents, each whole, in rounds. Each round has as many
+documents as all before it, up to an eighth of all, so that most are learned in rounds of equal
+size. A round's documents are dealt to shares; a task learns from one share at a time, and the
+mean of the weights of all shares, by tokens, is what the next round begins with. How many
+rounds and shares there are, how many words are types and how many ranges there are follows the
+input.
 
 Of a document each different word of its block is sent once, and the types of its words once
 more in its round. The counts come back by block, so that a task holds the counts of its own
@@ -24,12 +26,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triprollup.llm import recurrent
-from triprollup.llm.batches import hashes_of, slices, split
+from triprollup.llm.batches import gathered, hashes_of, split
 from triprollup.llm.tables import ceil_div, crc_of_id, stored
+from triprollup.sources.scratch import scratch_path
 
 FOLDS, HELD_OUT = 7, 2
 #: Rows of a file that make a block.
@@ -38,10 +41,16 @@ BLOCK_ROWS = 4096
 LEAST_HEADS, MOST_HEADS = 32, 250
 #: The first round has about so many tokens, and one task that reads them so many times.
 FIRST_TOKENS, FIRST_PASSES = 1_000_000, 4
-#: Tokens of a task in later rounds.
+#: Tokens of a share in later rounds.
 TASK_TOKENS = 2_000_000
+#: Tokens scored side by side, and by one task, about.
+SCORE_TOKENS = 4_000_000
 #: Weights that are added together by one task.
 PIECE = 16_384
+#: Rounds after the first ones are this part of all documents.
+ROUND_PART = 1 / 8
+#: Shares up to so many are given a partition each.
+DEALT_SHARES = 4096
 #: Rates of learning: at first, at the end of the first round, and in the last round.
 RATES = (0.01, 0.003, 0.0005)
 
@@ -177,20 +186,37 @@ def sequences(batch: pa.RecordBatch) -> list[np.ndarray]:
 
 
 def rounds_of(tokens: int) -> list[tuple[float, float]]:
-    """Shares of the documents, from and to; each round has as many as all before it."""
+    """Shares of the documents, from and to.
+
+    Each round has as many as all before it, but no more than ROUND_PART of all.
+    """
     last = min(1.0, FIRST_TOKENS / max(tokens, 1))
     found = [(0.0, last)]
     while last < 1:
-        found.append((last, min(1.0, 2 * last)))
+        size = min(last, max(ROUND_PART, FIRST_TOKENS / tokens))
+        # What would be left over for a round of less than half the size goes to this one.
+        found.append((last, 1.0 if last + 1.5 * size > 1 else last + size))
         last = found[-1][1]
     return found
 
 
-def learned_in(documents: DataFrame, model: recurrent.GatedLM, tasks: int, rates, passes: int):
-    """The mean of the weights that tasks have after learning from all these documents.
+def dealt_keys(spark: SparkSession, count: int) -> list[int]:
+    """A key for each share, no two of which fall into one of `count` partitions."""
+    found: dict[int, int] = {}
+    first, step = 0, 8 * count + 64
+    while len(found) < count:
+        keys = spark.range(first, first + step).select("id", F.pmod(F.hash("id"), F.lit(count)).alias("p"))
+        for row in keys.groupBy("p").agg(F.min("id").alias("id")).collect():
+            found.setdefault(row["p"], row["id"])
+        first += step
+    return [found[p] for p in range(count)]
+
+
+def learned_in(documents: DataFrame, model: recurrent.GatedLM, shares: int, rates, passes: int):
+    """The mean of the weights after learning from each share of these documents.
 
     Pieces of the weights are added in tasks of their own: the driver gets one sum of each,
-    however many tasks have learned.
+    however many shares there are.
     """
     flat = model.flat()
 
@@ -198,14 +224,25 @@ def learned_in(documents: DataFrame, model: recurrent.GatedLM, tasks: int, rates
         row = {"piece": piece, "tokens": float(n), "weights": weights.astype(float).tobytes()}
         return pa.RecordBatch.from_pylist([row], pa.schema(FIELDS))
 
+    def learned(texts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        own = model.filled(flat.copy())
+        recurrent.teach(own, texts, rates, passes)
+        n, after = sum(map(len, texts)), own.flat().astype(float)
+        for piece, at in enumerate(range(0, len(after), PIECE)):
+            yield summed(piece, n, after[at : at + PIECE] * n)
+
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = [t for batch in batches for t in sequences(batch)]
+        share, texts = None, []
+        for batch in batches:
+            shares = batch.column("share").to_pylist()
+            for key, text in zip(shares, sequences(batch)):
+                if texts and key != share:
+                    yield from learned(texts)
+                    texts = []
+                share = key
+                texts.append(text)
         if texts:
-            own = model.filled(flat.copy())
-            recurrent.teach(own, texts, rates, passes)
-            n, after = sum(map(len, texts)), own.flat().astype(float)
-            for piece, at in enumerate(range(0, len(after), PIECE)):
-                yield summed(piece, n, after[at : at + PIECE] * n)
+            yield from learned(texts)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, tuple[float, np.ndarray]] = {}
@@ -216,12 +253,16 @@ def learned_in(documents: DataFrame, model: recurrent.GatedLM, tasks: int, rates
         for piece, (n, total) in sums.items():
             yield summed(piece, n, total)
 
-    # In the same tasks and order at every run, as far as ids differ.
+    # In the same shares and order at every run, as far as ids differ.
     order = F.xxhash64(F.lit("order"), "doc_id")
-    dealt = documents.select("types", order.alias("o"))
-    # As many shares as tasks, however many partitions there are: each share sends its weights.
-    dealt = dealt.repartition(2 * tasks, F.pmod("o", F.lit(tasks)))
-    taught = dealt.sortWithinPartitions("o", "types").select("types").mapInArrow(learn, WEIGHTS)
+    share = F.pmod("o", F.lit(shares))
+    if shares <= DEALT_SHARES:
+        keys = dealt_keys(documents.sparkSession, shares)
+        share = F.element_at(F.array(*map(F.lit, keys)), share.cast("int") + 1)
+    dealt = documents.select("types", order.alias("o")).withColumn("share", share.cast("bigint"))
+    # A task may get several shares, but learns from each apart.
+    dealt = dealt.repartition(shares, "share").sortWithinPartitions("share", "o", "types")
+    taught = dealt.select("share", "types").mapInArrow(learn, WEIGHTS)
     pieces = taught.repartition(ceil_div(len(flat), PIECE), "piece").mapInArrow(add, WEIGHTS)
     found = sorted(pieces.collect(), key=lambda r: r["piece"])
     if not found:
@@ -229,22 +270,28 @@ def learned_in(documents: DataFrame, model: recurrent.GatedLM, tasks: int, rates
     return model.filled(np.concatenate([np.frombuffer(r["weights"]) / r["tokens"] for r in found]))
 
 
-def fit(coded: DataFrame, vocabulary: Vocabulary) -> recurrent.GatedLM:
-    """A model of all training documents: each is learned from in one round, whole."""
-    model = recurrent.started(vocabulary.frequencies(), vocabulary.side, vocabulary.side)
+def round_number(rounds: list[tuple[float, float]]) -> Column:
+    """The round that a document is learned in, by a hash of its id; null if it isn't."""
     place = F.shiftrightunsigned(F.xxhash64(F.lit("round"), "doc_id"), 11) / 2.0**53
-    taught = coded.filter("learned").withColumn("place", place)
-    rounds = rounds_of(vocabulary.tokens)
+    number = F.lit(len(rounds) - 1)
+    for k in range(len(rounds) - 2, -1, -1):
+        number = F.when(place < rounds[k][1], k).otherwise(number)
+    return F.when(F.col("learned"), number)
+
+
+def fit(coded: DataFrame, vocabulary: Vocabulary, rounds: list[tuple[float, float]]) -> recurrent.GatedLM:
+    """A model of all training documents: each is learned from in its round, whole."""
+    model = recurrent.started(vocabulary.frequencies(), vocabulary.side, vocabulary.side)
     for k, (first, last) in enumerate(rounds):
-        some = taught.filter((F.col("place") >= first) & (F.col("place") < last))
+        some = coded.filter(F.col("round") == k)
         if k == 0:
             rates = (RATES[0], RATES[1] if len(rounds) > 1 else 0.0)
             model = learned_in(some, model, 1, rates, FIRST_PASSES)
         else:
             down = (RATES[1] - RATES[2]) / (len(rounds) - 1)
             rates = (RATES[1] - down * (k - 1), RATES[1] - down * k)
-            tasks = math.ceil((last - first) * vocabulary.tokens / TASK_TOKENS)
-            model = learned_in(some, model, tasks, rates, 1)
+            shares = math.ceil((last - first) * vocabulary.tokens / TASK_TOKENS)
+            model = learned_in(some, model, shares, rates, 1)
     return model
 
 
@@ -303,16 +350,22 @@ def score_documents(docs: DataFrame) -> DataFrame:
         .cogroup(known.groupBy("block"))
         .applyInArrow(code, CODED)
     )
-    coded = stored(coded, "coded-documents")
-    model = fit(coded, vocabulary)
+    rounds = rounds_of(vocabulary.tokens)
+    # By round, so that each reads only its own documents.
+    coded = coded.withColumn("round", round_number(rounds)).drop("learned")
+    path = scratch_path(docs.sparkSession, "coded-documents")
+    coded.write.partitionBy("round").parquet(path)
+    coded = docs.sparkSession.read.schema(coded.schema).parquet(path)
+    model = fit(coded, vocabulary, rounds)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score"]
-        for batch in batches:
-            for some in slices(batch, "types"):
-                logs = model.score(sequences(some)) + some.column("share").to_numpy()
-                columns = [*(some.column(c) for c in names), pa.array(logs / np.log(10))]
-                yield pa.RecordBatch.from_arrays(columns, names=[*names, "score"])
-
-    scored = coded.drop("learned").mapInArrow(score, SCORES)
+        for some in gathered(batches, "types", 2 * SCORE_TOKENS):
+            logs = model.score(sequences(some)) + some.column("share").to_numpy()
+            columns = [*(some.column(c) for c in names), pa.array(logs / np.log(10))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "score"])
+
+    # Files of rounds are small; documents are read side by side, so tasks should have many.
+    tasks = max(math.ceil(vocabulary.tokens / SCORE_TOKENS), docs.sparkSession.sparkContext.defaultParallelism)
+    scored = coded.drop("round").coalesce(tasks).mapInArrow(score, SCORES)
     return scored.withColumn("train_tokens", F.lit(vocabulary.tokens).cast("bigint"))

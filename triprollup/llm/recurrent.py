@@ -17,6 +17,8 @@ import numpy as np
 END = 0
 
 F32 = np.float32
+#: Tokens whose softmax is computed at a time, so that it stays in the processor's cache.
+BLOCK = 4096
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -28,11 +30,14 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    """In place, over the last axis."""
-    x -= x.max(axis=-1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=-1, keepdims=True))
-    return x
+def _chosen(logits: np.ndarray, aims: np.ndarray) -> np.ndarray:
+    """Log-probability of one of the rows for each column; logits become probabilities in place."""
+    logits -= logits.max(axis=0)
+    found = logits[aims, np.arange(len(aims))]
+    np.exp(logits, out=logits)
+    total = logits.sum(axis=0)
+    logits *= F32(1) / total
+    return found - np.log(total)
 
 
 @dataclass
@@ -46,7 +51,7 @@ class GatedLM:
     candidate: np.ndarray  # H x H
     classes: np.ndarray  # H x C
     class_bias: np.ndarray  # C
-    within: np.ndarray  # heads x H x members
+    within: np.ndarray  # heads x members x H
     within_bias: np.ndarray  # heads x members
 
     @classmethod
@@ -63,7 +68,7 @@ class GatedLM:
             normal(hidden, hidden, scale=0.15),
             normal(hidden, count, scale=0.1),
             np.zeros(count, F32),
-            normal(heads, hidden, members, scale=0.1),
+            normal(heads, members, hidden, scale=0.1),
             np.zeros((heads, members), F32),
         )
 
@@ -75,32 +80,55 @@ class GatedLM:
         head = self.heads * self.members
         return np.where(types < head, types // self.members, self.heads + types - head)
 
-    def step(self, fed: np.ndarray, h: np.ndarray):
-        """The next state, and what backpropagation needs."""
+    def step(self, fed: np.ndarray, h: np.ndarray, zr: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """The next state; gates go to zr and the candidate to c, for backpropagation."""
         size = self.hidden
-        a = self.rows[fed]
-        a[:, : 2 * size] += h @ self.gates
-        zr = _sigmoid(np.ascontiguousarray(a[:, : 2 * size]))
-        z, r = zr[:, :size], zr[:, size:]
-        c = a[:, 2 * size :] + (r * h) @ self.candidate
+        a = self.rows.take(fed, axis=0)
+        np.matmul(h, self.gates, out=zr)
+        zr += a[:, : 2 * size]
+        _sigmoid(zr)
+        np.matmul(zr[:, size:] * h, self.candidate, out=c)
+        c += a[:, 2 * size :]
         np.tanh(c, out=c)
-        return h + z * (c - h), (z, r, c)
+        after = c - h
+        after *= zr[:, :size]
+        after += h
+        return after
+
+    def _heads_in(self, kinds: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """Places by class, and for each head class that occurs its stretch of them."""
+        order = np.argsort(kinds, kind="stable")
+        bounds = np.searchsorted(kinds[order], np.arange(self.heads + 1)).tolist()
+        return order, [(k, a, b) for k, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b]
+
+    def _inside(self, some: np.ndarray, owner: np.ndarray, stretches) -> np.ndarray:
+        """Logits of the members of each token's class, a column for each token."""
+        found = np.empty((self.members, len(some)), F32)
+        for k, first, last in stretches:
+            np.matmul(self.within[k], some[first:last].T, out=found[:, first:last])
+        found += self.within_bias.take(owner, axis=0).T
+        return found
 
     def log_probs(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log-probability of each target type given the state before it."""
         kinds = self.class_of(targets)
-        logits = _log_softmax(states @ self.classes + self.class_bias)
-        found = logits[np.arange(len(targets)), kinds]
-        order = np.argsort(kinds, kind="stable")
-        bounds = np.searchsorted(kinds[order], np.arange(self.heads + 1))
-        for k in range(self.heads):
-            at = order[bounds[k] : bounds[k + 1]]
-            if len(at):
-                inside = _log_softmax(states[at] @ self.within[k] + self.within_bias[k])
-                found[at] += inside[np.arange(len(at)), targets[at] - k * self.members]
+        found = np.empty(len(targets))
+        for first in range(0, len(targets), BLOCK):
+            part = slice(first, first + BLOCK)
+            logits = self.classes.T @ states[part].T
+            logits += self.class_bias[:, None]
+            found[part] = _chosen(logits, kinds[part])
+        order, _ = self._heads_in(kinds)
+        order = order[: int((kinds < self.heads).sum())]
+        for first in range(0, len(order), BLOCK):
+            some = order[first : first + BLOCK]
+            own = kinds[some]
+            _, stretches = self._heads_in(own)
+            inside = self._inside(states.take(some, axis=0), own, stretches)
+            found[some] += _chosen(inside, targets[some] - own * self.members)
         return found
 
-    def score(self, documents: list[np.ndarray], window: int = 64, width: int = 2048) -> np.ndarray:
+    def score(self, documents: list[np.ndarray], window: int = 64, width: int = 1024) -> np.ndarray:
         """Natural log-probability of each document, a sequence of types that ends with END.
 
         Documents are read side by side, longest first; those that have ended drop out. The
@@ -112,95 +140,109 @@ class GatedLM:
             some = order[at : at + width]
             sizes = np.array([len(documents[i]) for i in some])
             h = np.zeros((len(some), self.hidden), F32)
+            zr, c = np.empty((len(some), 2 * self.hidden), F32), np.empty_like(h)
             sums = np.zeros(len(some))
             fed = np.full(len(some), END)
             for first in range(0, int(sizes[0]), window):
                 live = int(np.searchsorted(-sizes, -first, side="left"))
                 steps = min(window, int(sizes[0]) - first)
-                block = np.zeros((live, steps), np.int64)
+                block = np.zeros((steps, live), np.int64)
                 for j, i in enumerate(some[:live]):
                     part = documents[i][first : first + steps]
-                    block[j, : len(part)] = part
-                states, targets, owners = [], [], []
-                for t in range(steps):
-                    n = int(np.searchsorted(-sizes[:live], -(first + t), side="left"))
-                    h = h[:n]
-                    h, _ = self.step(fed[:n], h)
-                    fed = block[:n, t]
-                    states.append(h)
-                    targets.append(fed)
-                    owners.append(np.arange(n))
-                found = self.log_probs(np.concatenate(states), np.concatenate(targets))
-                sums += np.bincount(np.concatenate(owners), found, minlength=len(some))
+                    block[: len(part), j] = part
+                # How many documents are left at each step of the window.
+                left = np.searchsorted(-sizes[:live], -(first + np.arange(steps)), side="left")
+                begins = np.cumsum(left) - left
+                states = np.empty((int(left.sum()), self.hidden), F32)
+                targets = np.empty(len(states), np.int64)
+                for t, (n, begin) in enumerate(zip(left.tolist(), begins.tolist())):
+                    h = self.step(fed[:n], h[:n], zr[:n], c[:n])
+                    fed = block[t, :n]
+                    states[begin : begin + n], targets[begin : begin + n] = h, fed
+                owners = np.arange(len(states)) - np.repeat(begins, left)
+                found = self.log_probs(states, targets)
+                sums += np.bincount(owners, found, minlength=len(some))
             total[some] = sums
         return total
 
     def learn(self, fed: np.ndarray, targets: np.ndarray, h: np.ndarray):
-        """Gradients over one window (T, B), the mean loss, and the state after it.
+        """Gradients of the mean loss over one window (T, B), and the state after it.
 
-        A stream's state starts anew where END is fed in.
+        A stream's state starts anew where END is fed in. Gradients of rows come as a pair, the
+        types that were fed in and what to add for each; the others as `weights` lists them.
         """
         steps, width = fed.shape
         size, count = self.hidden, steps * width
-        trace, states = [], np.empty((steps, width, size), F32)
+        goes_on = (fed != END).astype(F32)[:, :, None]
+        before, states, c = (np.empty((steps, width, size), F32) for _ in range(3))
+        zr = np.empty((steps, width, 2 * size), F32)
         for t in range(steps):
-            h = h * (fed[t] != END)[:, None].astype(F32)
-            after, gates = self.step(fed[t], h)
-            trace.append((h, *gates))
-            states[t] = h = after
+            np.multiply(h, goes_on[t], out=before[t])
+            states[t] = h = self.step(fed[t], before[t], zr[t], c[t])
         flat, aim = states.reshape(count, size), targets.reshape(count)
         kinds = self.class_of(aim)
-        probs = _log_softmax(flat @ self.classes + self.class_bias)
-        loss = -probs[np.arange(count), kinds].sum()
-        np.exp(probs, out=probs)
-        probs[np.arange(count), kinds] -= 1
-        probs /= count
+        scale = F32(1 / count)
+        probs = self.classes.T @ flat.T
+        probs += self.class_bias[:, None]
+        _chosen(probs, kinds)
+        probs[kinds, np.arange(count)] -= 1
+        probs *= scale
+        g_classes, g_bias = (probs @ flat).T, probs.sum(axis=1)
+        d_flat = probs.T @ self.classes.T
         g_within, g_within_bias = np.zeros_like(self.within), np.zeros_like(self.within_bias)
-        d_flat = probs @ self.classes.T
-        for k in range(self.heads):
-            at = np.flatnonzero(kinds == k)
-            if not len(at):
-                continue
-            inside = _log_softmax(flat[at] @ self.within[k] + self.within_bias[k])
-            which = (np.arange(len(at)), aim[at] - k * self.members)
-            loss -= inside[which].sum()
-            np.exp(inside, out=inside)
-            inside[which] -= 1
-            inside /= count
-            g_within[k] = flat[at].T @ inside
-            g_within_bias[k] = inside.sum(axis=0)
-            d_flat[at] += inside @ self.within[k].T
-        before, z, r, c = (np.stack(x) for x in zip(*trace))
-        into_c, into_z, into_r = z * (1 - c * c), (c - before) * z * (1 - z), before * r * (1 - r)
-        stays, goes_on = 1 - z, (fed != END)[:, :, None].astype(F32)
-        d_rows = np.empty((steps, width, 3 * size), self.rows.dtype)
-        d_gates, d_candidate = d_rows[:, :, : 2 * size], d_rows[:, :, 2 * size :]
+        order, stretches = self._heads_in(kinds)
+        if stretches:
+            # One softmax for all head classes: a column for each token, in order of classes.
+            order = order[: stretches[-1][2]]
+            some, owner = flat.take(order, axis=0), kinds[order]
+            inside = self._inside(some, owner, stretches)
+            which = aim[order] - owner * self.members
+            _chosen(inside, which)
+            inside[which, np.arange(len(order))] -= 1
+            inside *= scale
+            d_some = np.empty_like(some)
+            for k, first, last in stretches:
+                part = inside[:, first:last]
+                np.matmul(part, some[first:last], out=g_within[k])
+                np.matmul(part.T, self.within[k], out=d_some[first:last])
+            heads, firsts, _ = map(list, zip(*stretches))
+            g_within_bias[heads] = np.add.reduceat(inside, firsts, axis=1).T
+            d_flat[order] += d_some
+        # In place: gates become the factors that carry a gradient to them.
+        z, r = zr[:, :, :size], zr[:, :, size:]
+        reset = r * before
+        stays = 1 - z
+        into_c = z * (1 - c * c)
+        into_z = c
+        into_z -= before
+        into_z *= z
+        into_z *= stays
+        into_r = reset * (1 - r)
+        d_rows = np.empty((steps, width, 3 * size), F32)
         d_states, dh = d_flat.reshape(steps, width, size), np.zeros((width, size), F32)
+        back_candidate, back_gates = self.candidate.T.copy(), self.gates.T.copy()
         for t in range(steps - 1, -1, -1):
-            dh = dh + d_states[t]
-            d_candidate[t] = dc = dh * into_c[t]
-            into = dc @ self.candidate.T
-            d_gates[t, :, :size] = dh * into_z[t]
-            d_gates[t, :, size:] = into * into_r[t]
-            dh = dh * stays[t] + into * r[t] + d_gates[t] @ self.gates.T
+            dh += d_states[t]
+            now = d_rows[t]
+            dc = dh * into_c[t]
+            now[:, 2 * size :] = dc
+            into = dc @ back_candidate
+            np.multiply(dh, into_z[t], out=now[:, :size])
+            np.multiply(into, into_r[t], out=now[:, size : 2 * size])
+            dh *= stays[t]
+            into *= r[t]
+            dh += into
+            dh += now[:, : 2 * size] @ back_gates
             dh *= goes_on[t]
         d_rows = d_rows.reshape(count, 3 * size)
         g_gates = before.reshape(count, size).T @ d_rows[:, : 2 * size]
-        g_candidate = (r * before).reshape(count, size).T @ d_rows[:, 2 * size :]
-        g_rows, order = np.zeros_like(self.rows), np.argsort(fed, axis=None, kind="stable")
-        sorted_fed = fed.reshape(count)[order]
+        g_candidate = reset.reshape(count, size).T @ d_rows[:, 2 * size :]
+        place = np.argsort(fed, axis=None, kind="stable")
+        sorted_fed = fed.reshape(count)[place]
         first = np.flatnonzero(np.diff(sorted_fed, prepend=-1))
-        g_rows[sorted_fed[first]] = np.add.reduceat(d_rows[order], first, axis=0)
-        gradients = [
-            g_rows,
-            g_gates,
-            g_candidate,
-            flat.T @ probs,
-            probs.sum(axis=0),
-            g_within,
-            g_within_bias,
-        ]
-        return gradients, loss / count, h
+        g_rows = sorted_fed[first], np.add.reduceat(d_rows.take(place, axis=0), first, axis=0)
+        gradients = [g_gates, g_candidate, g_classes, g_bias, g_within, g_within_bias]
+        return g_rows, gradients, h
 
     def flat(self) -> np.ndarray:
         """All weights in one row."""
@@ -263,19 +305,34 @@ def teach(
         return
     fed, aims = in_streams(documents, window)
     weights = model.weights()
-    moments = [(np.zeros_like(w), np.zeros_like(w)) for w in weights]
+    first_moments, second_moments, room = ([np.zeros_like(w) for w in weights] for _ in range(3))
     steps, step = passes * -(-len(fed) // window), 0
     for _ in range(passes):
         h = np.zeros((fed.shape[1], model.hidden), F32)
         for first in range(0, len(fed), window):
             step += 1
             part = slice(first, first + window)
-            gradients, _, h = model.learn(fed[part], aims[part], h)
-            norm = np.sqrt(sum(float((g * g).sum()) for g in gradients))
+            (rows, g_rows), gradients, h = model.learn(fed[part], aims[part], h)
+            norm = np.sqrt(sum(float(np.vdot(g, g)) for g in (g_rows, *gradients)))
             scale = F32(min(1.0, 1.0 / max(norm, 1e-9)))
-            rate = F32(rates[0] + (rates[1] - rates[0]) * step / (steps + 1))
-            for w, g, (m, v) in zip(weights, gradients, moments):
-                g = g * scale
-                m += F32(0.1) * (g - m)
-                v += F32(0.005) * (g * g - v)
-                w -= rate * (m / F32(1 - 0.9**step)) / (np.sqrt(v / F32(1 - 0.995**step)) + F32(1e-8))
+            rate = rates[0] + (rates[1] - rates[0]) * step / (steps + 1)
+            rate = F32(rate * np.sqrt(1 - 0.995**step) / (1 - 0.9**step))
+            for k, (w, m, v, x) in enumerate(zip(weights, first_moments, second_moments, room)):
+                m *= F32(0.9)
+                v *= F32(0.995)
+                if k == 0:
+                    # Only rows that were fed in have gradients; moments of the others fade.
+                    g_rows *= scale
+                    m[rows] += F32(0.1) * g_rows
+                    v[rows] += F32(0.005) * g_rows * g_rows
+                else:
+                    g = gradients[k - 1]
+                    m += np.multiply(g, F32(0.1) * scale, out=x)
+                    np.multiply(g, g, out=x)
+                    x *= F32(0.005) * scale * scale
+                    v += x
+                np.sqrt(v, out=x)
+                x += F32(1e-8)
+                np.divide(m, x, out=x)
+                x *= rate
+                w -= x
