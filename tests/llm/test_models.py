@@ -20,6 +20,7 @@ from triprollup.llm import (
     packing,
     recurrent,
 )
+from triprollup.llm.batches import hashes_of
 from triprollup.llm.queries import QUERIES
 from triprollup.llm.tokens import WordTokenizer, tokenizer_path
 
@@ -261,6 +262,75 @@ def test_languages_of_odd_rows(spark, clashing, corpus, odd_rows):
     assert language_id.identify(corpus([]), model).count() == 0
 
 
+def test_every_label_is_learned(corpus):
+    """Two hundred labels; some have a single text."""
+    rng = np.random.default_rng(4)
+    names, rows = [f"l{i:03d}" for i in range(200)], []
+    for i, name in enumerate(names):
+        a, b = divmod(i, 14)
+        word = chr(97 + a) * 3 + chr(110 + b if b < 13 else 65) * 3 + " "
+        ids = [d for d in range(1_000 * i, 1_000 * i + 40) if zlib.crc32(str(d).encode()) % 4 != 2]
+        rows += [(d, word * int(rng.integers(20, 40)), name) for d in ids[: 1 if i % 50 == 7 else 12]]
+    sample = language_id.labelled_sample(corpus(rows)).groupBy("lang").count().collect()
+    assert {r["lang"]: r["count"] for r in sample} == Counter(r[2] for r in rows)
+    few = language_id.labelled_sample(corpus(rows), 3).groupBy("lang").count().collect()
+    assert len(few) == 200 and {r["count"] for r in few} == {1, 3}
+    model = language_id.fit(corpus(rows), hidden=16, steps=700)
+    assert model.languages == names
+    found = language_id.identify(corpus(rows), model).select("lang", "lang_pred").collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in found]) > 0.9
+    assert len({r["lang_pred"] for r in found}) > 180
+
+
+@pytest.mark.parametrize("languages", [1, 2, 10])
+def test_doubt_does_not_depend_on_the_number_of_languages(spark, corpus, languages):
+    """Clean documents stay whatever the number of languages; noise and letterless texts go."""
+    rng = np.random.default_rng(languages)
+    alphabets = ["abcdef", "ghijkl", "mnopqr", "stuvwx", "ABCDEF", "GHIJKL", "MNOPQR", "STUVWX", "αβγδεζ", "абвгде"]
+
+    def text(letters):
+        return " ".join("".join(rng.choice(list(letters), 5)) for _ in range(60))
+
+    rows = [(100 * i + k, text(alphabets[i]), f"l{i}") for i in range(languages) for k in range(40)]
+    junk = [(5_000, "12 !! 34", "l0"), (5_001, None, "l0"), (5_002, "", None)]
+    kept = corpus_pipeline.known_language(spark, corpus([*rows, *junk]), "")
+    assert {r["doc_id"] for r in kept.collect()} == {r[0] for r in rows}
+    assert 1 / languages <= language_id.least_score(languages) <= 1
+    assert language_id.least_score(4) == pytest.approx(0.35)
+
+
+def test_languages_by_a_plain_loop(corpus, prose):
+    """Every byte of whole texts, one at a time, against the pooled prediction."""
+    model = language_id.train([b"abc abd " * 30, b"xyz xxy " * 30, "éàü éü ".encode() * 30], ["p", "q", "r"])
+    rows = [(1, "abc xyz"), (2, prose(90, 3)), (3, "é" * 200), (4, "xyz " * 99), (5, "a")]
+    found = {r["doc_id"]: r for r in language_id.identify(corpus(rows), model).collect()}
+
+    def states(direction, window):
+        size = direction.turn.shape[0]
+        h, out = np.zeros(size), []
+        for byte in window:
+            a = np.tanh(direction.rows[byte].astype(float) + h @ direction.turn)
+            z = (a[:size] + 1) / 2
+            h = h + z * (a[size:] - h)
+            out.append(h @ direction.out)
+        return np.array(out)
+
+    width = language_id.WINDOW
+    for doc_id, text in rows:
+        data, logs, probs = text.encode(), np.zeros(3), np.zeros(3)
+        for first in range(0, len(data), width):
+            own = data[first : first + width]
+            window = [own[i % len(own)] for i in range(width)]
+            back = states(model.back, window[::-1])[::-1]
+            scores = states(model.ahead, window) + back + model.bias
+            each = scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
+            logs += each[: len(own)].sum(axis=0)
+            probs += np.exp(each[: len(own)]).sum(axis=0)
+        best = int(logs.argmax())
+        assert found[doc_id]["lang_pred"] == model.languages[best]
+        assert found[doc_id]["score"] == pytest.approx(probs[best] / len(data), abs=1e-4)
+
+
 def test_tagger_gradients():
     rng = np.random.default_rng(0)
     d = language_id.Direction(
@@ -310,12 +380,85 @@ def test_scores(spark, clashing, odd_rows):
         assert all(r["score"] < 0 for r in found.collect())
 
 
-def test_the_model_beats_the_base(spark):
+def test_the_model_beats_the_base_and_an_untrained_one(spark, monkeypatch):
+    """Most of the gain on the base is the allowance for unknown words: learning must add to it."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    held = lm_scoring.score_documents(docs).filter("held_out").agg(
-        F.sum("score").alias("score"), F.sum("base_score").alias("base")
-    ).first()
-    assert held["score"] > held["base"]
+
+    def held_out():
+        found = lm_scoring.score_documents(docs).filter("held_out")
+        return found.agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+
+    trained, base, n = held_out()
+    fit = lm_scoring.fit
+
+    def without_state(*args):
+        """The update gate is open and nothing is carried over: a state tells the last word only."""
+        model = fit(*args)
+        model.rows[:, : model.hidden], model.gates[:], model.candidate[:] = 20, 0, 0
+        return model
+
+    with monkeypatch.context() as patch:
+        patch.setattr(lm_scoring, "fit", without_state)
+        stateless = held_out()[0]
+    monkeypatch.setattr(
+        lm_scoring, "fit", lambda _, v, __: recurrent.started(v.frequencies(), v.side, v.side)
+    )
+    untrained = held_out()[0]
+    assert trained > base + 0.1 * n and trained > untrained + 0.1 * n
+    assert trained > stateless + 0.02 * n
+
+
+def test_scores_by_a_plain_loop(corpus, prose, monkeypatch):
+    """The model's arithmetic, one word at a time, against the scores of whole documents."""
+    kept = []
+    fit = lm_scoring.fit
+
+    def watched(coded, vocabulary, rounds):
+        kept[:] = [vocabulary, fit(coded, vocabulary, rounds)]
+        return kept[1]
+
+    monkeypatch.setattr(lm_scoring, "fit", watched)
+    rows = [(i, prose(60, i % 7, "abcd")) for i in range(40)] + [(99, None), (100, "unknown éé")]
+    found = {r["doc_id"]: r["score"] for r in lm_scoring.score_documents(corpus(rows)).collect()}
+    vocabulary, model = kept
+    fold = {i: zlib.crc32(str(i).encode()) % 7 for i, _ in rows}
+    counts = Counter(w for i, t in rows if fold[i] != 2 for w in (t or "").split())
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    size = model.hidden
+    for doc_id, text in rows:
+        words = (text or "").split()
+        hashes = hashes_of([w.encode() for w in words])
+        types, share = vocabulary.types_of(hashes, np.array([counts[w] for w in words], int))
+        total, h, fed = float(np.sum(share)), np.zeros(size), recurrent.END
+        for aim in [*types.tolist(), recurrent.END]:
+            into = model.rows[fed].astype(float)
+            z, r = np.split(sigmoid(into[: 2 * size] + h @ model.gates), 2)
+            c = np.tanh(into[2 * size :] + (r * h) @ model.candidate)
+            h = (1 - z) * h + z * c
+            logits = h @ model.classes + model.class_bias
+            k = int(model.class_of(np.array([aim]))[0])
+            total += logits[k] - np.log(np.exp(logits).sum())
+            if k < model.heads:
+                inside = model.within[k] @ h + model.within_bias[k]
+                total += inside[aim - k * model.members] - np.log(np.exp(inside).sum())
+            fed = aim
+        assert found[doc_id] == pytest.approx(total / np.log(10), rel=1e-4)
+
+
+def test_shares_do_not_depend_on_partitions(spark, corpus, prose, monkeypatch):
+    """Each share is learned apart, however many of them one task gets."""
+    monkeypatch.setattr(lm_scoring, "FIRST_TOKENS", 500)
+    monkeypatch.setattr(lm_scoring, "TASK_TOKENS", 200)
+    keys = lm_scoring.dealt_keys(spark, 13)
+    at = [r[0] for r in spark.createDataFrame([(k,) for k in keys], "k bigint").selectExpr("pmod(hash(k), 13)").collect()]
+    assert at == list(range(13))
+    docs = corpus([(i, prose(30, i, "abc")) for i in range(120)])
+    scores = []
+    for most in (lm_scoring.DEALT_SHARES, 0):
+        monkeypatch.setattr(lm_scoring, "DEALT_SHARES", most)
+        found = lm_scoring.score_documents(docs).select("doc_id", "score").collect()
+        scores.append([s for _, s in sorted(map(tuple, found))])
+    assert scores[0] == pytest.approx(scores[1], rel=1e-4)
 
 
 def test_the_model_learns_whole_documents(corpus, prose):
@@ -370,13 +513,24 @@ def test_model_gradients():
     for name in ("rows", "gates", "candidate", "classes", "class_bias", "within", "within_bias"):
         setattr(model, name, getattr(model, name).astype(float))
     fed, aim = rng.integers(8, size=(2, 6, 5))
-    gradients, _, _ = model.learn(fed, aim, np.zeros((5, 4)))
-    for weight, gradient in zip(model.weights(), gradients):
+
+    def loss():
+        h, total = np.zeros((5, 4)), 0.0
+        for t in range(6):
+            h = h * (fed[t] != recurrent.END)[:, None]
+            h = model.step(fed[t], h, np.empty((5, 8)), np.empty((5, 4)))
+            total -= model.log_probs(h, aim[t]).sum()
+        return total / 30
+
+    (rows, g_rows), others, _ = model.learn(fed, aim, np.zeros((5, 4)))
+    whole = np.zeros_like(model.rows)
+    whole[rows] = g_rows
+    for weight, gradient in zip(model.weights(), [whole, *others]):
         at = np.unravel_index(np.abs(gradient).argmax(), gradient.shape)
         weight[at] += 1e-3
-        up = model.learn(fed, aim, np.zeros((5, 4)))[1]
+        up = loss()
         weight[at] -= 2e-3
-        down = model.learn(fed, aim, np.zeros((5, 4)))[1]
+        down = loss()
         weight[at] += 1e-3
         assert gradient[at] == pytest.approx((up - down) / 2e-3, rel=0.02, abs=1e-4)
 
@@ -385,7 +539,7 @@ def test_model_gradients():
 
 
 def test_every_operator_has_a_query():
-    assert {int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES} == set(range(1, 14))
 
 
 def test_pipeline_stages(spark, clashing, odd_rows, prose):

@@ -12,12 +12,13 @@ sample of labelled texts. Prediction runs on Spark over all bytes of all texts.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
@@ -27,18 +28,17 @@ from triprollup.llm.tokens import chunks
 
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 4, 2
-HIDDEN = 8
 WINDOW = 128
-#: The sample: at most so many texts of a language, and so many characters of each, cut out
-#: at a place that the id decides; at most so many languages, the most frequent.
-TEXTS_PER_LANGUAGE = 250
+#: The sample: so many texts of a language at most, and of all together, but of each language
+#: so many at least; and so many characters of each, cut out at a place that the id decides.
+TEXTS_PER_LANGUAGE, SAMPLE_TEXTS, LEAST_TEXTS = 250, 32_000, 8
 SAMPLE_CHARS = 1_000
-MAX_LANGUAGES = 128
-STEPS = 400
+#: Units of a direction at least, and steps of learning; more with many languages.
+HIDDEN, STEPS = 8, 400
 BATCH = 256
 LEARN_WINDOW = 48
-#: Below this share of a text's positions its language is in doubt: the pipeline's bound.
-MIN_SCORE = 0.35
+#: How far from a draw among all languages to a certain one a text's score must be.
+DOUBT = 2 / 15
 
 
 @dataclass
@@ -135,14 +135,23 @@ class Tagger:
 
 
 def train(
-    texts: list[bytes], labels: list[str], hidden: int = HIDDEN, steps: int = STEPS, seed: int = 7
+    texts: list[bytes],
+    labels: list[str],
+    hidden: int | None = None,
+    steps: int | None = None,
+    seed: int = 7,
 ) -> Tagger | None:
-    """Adam on windows drawn evenly over languages; None without a text to learn from."""
+    """Adam on windows drawn evenly over languages; None without a text to learn from.
+
+    Units and steps follow the number of languages unless they are given.
+    """
     pairs = [(t, x) for t, x in zip(texts, labels) if t]
     if not pairs:
         return None
     languages = sorted({x for _, x in pairs})
     rng, classes = np.random.default_rng(seed), len(languages)
+    hidden = hidden or max(HIDDEN, 2 * math.isqrt(classes))
+    steps = steps or STEPS * math.ceil(max(1.0, classes / 16) ** 0.5)
     by_language = [[t for t, x in pairs if x == name] for name in languages]
 
     def normal(*shape: int, scale: float) -> np.ndarray:
@@ -191,35 +200,46 @@ def train(
     return model
 
 
-def labelled_sample(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) -> DataFrame:
-    """lang and a cut of text; about `per_language` texts of each language, by hash of the id."""
+def least_score(languages: int) -> float:
+    """The score below which a text's language is in doubt, whatever the number of languages.
+
+    A text about which nothing is known scores 1 / languages, one that is certain 1.
+    """
+    return 1 / languages + DOUBT * (1 - 1 / languages)
+
+
+def labelled_sample(docs: DataFrame, per_language: int | None = None) -> DataFrame:
+    """lang and a cut of text of each language's `per_language` first texts by a hash of the id.
+
+    Every label is in it. Left to itself, `per_language` follows the number of labels, so that
+    the sample has SAMPLE_TEXTS rows at most, or LEAST_TEXTS of each label.
+    """
     labelled = docs.filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
     ).filter(crc_of_id() % FOLDS != HELD_OUT)
     counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    frequent = counts.orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    if not frequent:
-        return labelled.select("lang", "text").limit(0)
-    share = F.lit(0.0)
-    for row in frequent:
-        share = F.when(F.col("lang") == row["lang"], per_language / row["n"]).otherwise(share)
-    draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    if per_language is None:
+        spread_over = SAMPLE_TEXTS // max(counts.count(), 1)
+        per_language = max(LEAST_TEXTS, min(TEXTS_PER_LANGUAGE, spread_over))
+    unit = float(1 << 30)
+    draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / unit
     spread = F.pmod(F.xxhash64(F.lit("place"), "doc_id"), F.lit(1 << 30))
     room = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1
     cut = F.substring(F.col("text"), (spread % room + 1).cast("int"), F.lit(SAMPLE_CHARS))
-    # Few rows by now. The limit only stops a table whose rows share one id.
-    most = 4 * per_language * len(frequent)
-    return (
-        labelled.filter(draw < share)
-        .select("lang", cut.alias("text"), F.xxhash64("doc_id", "text").alias("_order"))
-        .orderBy("_order", "lang", "text")
-        .limit(most)
-        .drop("_order")
-    )
+    # Four times as many are drawn, so that a language lacks texts once in e^32 times.
+    near = labelled.join(counts, "lang").filter(draw * F.col("n") < 4.0 * max(per_language, LEAST_TEXTS))
+    near = near.select("lang", cut.alias("text"), draw.alias("_draw"), F.xxhash64("doc_id", "text").alias("_order"))
+    first = Window.partitionBy("lang").orderBy("_draw", "_order", "text")
+    ranked = near.withColumn("_rank", F.row_number().over(first))
+    chosen = ranked.filter(F.col("_rank") <= per_language)
+    return chosen.orderBy("_order", "lang", "text").select("lang", "text")
 
 
 def fit(docs: DataFrame, **options) -> Tagger | None:
-    """A tagger learned from the texts and languages of the training folds."""
+    """A tagger learned from the texts and languages of the training folds, of every label there.
+
+    None without a label. Of languages that fit a text equally well the first by name is taken.
+    """
     rows = labelled_sample(docs).collect()
     return train([r["text"].encode() for r in rows], [r["lang"] for r in rows], **options)
 
