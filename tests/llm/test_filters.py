@@ -1,6 +1,7 @@
 """Line dedup, decontamination, near-duplicates and repeated strings against brute force."""
 
 import hashlib
+import random
 import string
 from collections import Counter, defaultdict
 
@@ -339,22 +340,81 @@ def test_strings_of_empty_and_clashing_tables(corpus, clashing, odd_rows):
     assert strings(corpus([]), 400, True) == []
     docs = clashing(odd_rows)
     found = suffix_dedup.dedup_strings(docs)
-    assert set(found.columns) == set(docs.columns) | {"n_bytes", "n_removed"}
+    assert set(found.columns) == set(docs.columns) | set(suffix_dedup.MADE)
     assert found.count() == len(odd_rows)
 
 
-def test_suffix_runs():
-    rng = np.random.default_rng(1)
-    data = rng.integers(97, 99, size=3_000).astype(np.uint8)
-    text, starts = data.tobytes(), np.arange(3_000 - 20 + 1)
-    order, run = suffix_dedup.suffix_runs(data, starts, 20)
-    cut = [text[s : s + 20] for s in starts[order]]
-    assert cut == sorted(cut)
-    assert [a == b for a, b in zip(cut, cut[1:])] == list(run[1:] == run[:-1])
-    earlier, later = suffix_dedup.earlier_and_later(order, run)
-    first, last = {}, {}
-    for s in starts:
-        first.setdefault(text[s : s + 20], s)
-        last[text[s : s + 20]] = s
-    assert all(earlier[s] == (first[text[s : s + 20]] < s) for s in starts)
-    assert all(later[s] == (last[text[s : s + 20]] > s) for s in starts)
+def common(a, b):
+    return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+@pytest.mark.parametrize("keep_first", [False, True])
+def test_longest_factors(keep_first):
+    """The array of longest previous (and next) factors against all pairs."""
+    rng = random.Random(6)
+    for _ in range(40):
+        letters = rng.choice(["a", "ab", "abc"]).encode()
+        sizes = [rng.randrange(1, 9) for _ in range(rng.randrange(1, 6))]
+        group = np.repeat(np.arange(len(sizes)), sizes)
+        left, right = (
+            [bytes(rng.choices(letters, k=rng.randrange(low, 9))) for _ in group] for low in (0, 1)
+        )
+        expected = {}
+        for i, g in enumerate(group):
+            others = [j for j in np.flatnonzero(group == g) if j < i or (j > i and not keep_first)]
+            for d in range(len(left[i]) + 1):
+                found = [common(right[i], right[j]) for j in others if common(left[i], left[j]) >= d]
+                if max(found, default=0):
+                    expected[i, d] = max(found)
+        found = {}
+        for i, near, far, n in zip(*suffix_dedup.longest_factors(group, left, right, 9, keep_first)):
+            for d in range(near, far + 1):
+                assert (i, d) not in found
+                found[i, d] = n
+        assert found == expected
+
+
+def test_next_smaller_positions():
+    values = np.array([0, 5, 3, 3, 7, 1, 0])
+    at = np.arange(1, 6)
+    assert suffix_dedup.smaller_positions(values, at, -1).tolist() == [0, 0, 0, 3, 0]
+    assert suffix_dedup.smaller_positions(values, at, 1).tolist() == [2, 5, 5, 5, 6]
+
+
+@pytest.mark.parametrize("keep_first", [False, True])
+@pytest.mark.parametrize("cell", [1_500, 2])
+def test_repeats_too_short_to_remove(corpus, prose, keep_first, cell):
+    """From `least` bytes on repeats are told of, with the longest; only longer ones are removed."""
+    passage = prose(40, 31)
+    rows = [(i, f"{prose(12, 40 + i)} {passage[: 50 + 9 * i]} {prose(9, 60 + i)}") for i in range(9)]
+    rows += [(20, prose(60, 90)), (21, f"{passage[20:105]} {prose(3, 91)} {passage[20:95]}"), (22, "xy" * 50)]
+    rows += [(23, rows[3][1]), (24, None)]
+    found = suffix_dedup.dedup_strings(
+        corpus(rows), 100, keep_first, gram=16, least=64, cell=cell
+    ).collect()
+    told = sorted((r["doc_id"], r["n_removed"], r["n_repeated"], r["longest_repeat"]) for r in found)
+    longest = Counter()
+    for n in range(64, 101):
+        for doc_id, _, gone, _, _ in strings_by_hand(rows, n, keep_first):
+            longest[doc_id] = n if gone else longest[doc_id]
+    covered = {r[0]: r[2] for r in strings_by_hand(rows, 64, keep_first)}
+    removed = {r[0]: r[2] for r in strings_by_hand(rows, 100, keep_first)}
+    assert told == sorted((i, removed[i], covered[i], longest[i]) for i, _ in rows)
+    assert sum(r[2] > 0 and r[1] == 0 for r in told) >= 3
+
+
+def test_passages_of_fifty_words(corpus, prose):
+    """Two documents share a passage of 51 words or more, which may take under 400 bytes."""
+    rows = []
+    for i in range(40):
+        passage = " ".join(prose(51 + i % 20, 500 + i).split())
+        rows += [(2 * i + k, f"{prose(90, 600 + 2 * i + k)} {passage} {prose(70, 800 + 2 * i + k)}") for k in (0, 1)]
+    rows += [(200 + i, prose(200, 900 + i)) for i in range(40)]
+    found = {r["doc_id"]: r for r in suffix_dedup.dedup_strings(corpus(rows), keep_first=False).collect()}
+    for i in range(40):
+        size = len(" ".join(prose(51 + i % 20, 500 + i).split())) + 2
+        for k in (0, 1):
+            row = found[2 * i + k]
+            assert (row["n_removed"] > 0) == (size >= 400)
+            assert (row["n_repeated"] > 0) == (size >= suffix_dedup.LEAST)
+    assert all(found[200 + i]["n_repeated"] == 0 for i in range(40))

@@ -60,6 +60,8 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_removed",
         F.size("removed").cast("bigint").alias("n_spans"),
         F.sha2("data", 256).alias("kept_sha256"),
+        "n_repeated",
+        "longest_repeat",
     )
 
 

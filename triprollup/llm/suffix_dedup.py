@@ -1,23 +1,27 @@
 """Repeated byte strings, by longest-previous-factor arrays over suffix order.
 
-A string of `length` bytes that starts at more than one place is found as follows.
+The longest previous factor of a place is the longest string that starts there and also at an
+earlier place; its counterpart looks for later places. Both are found for all places whose
+factors have `least` bytes or more, as follows, up to `length` bytes.
 
-1. Anchors. Each such string is assigned the place in it where a rolling hash of GRAM bytes is
-   least. Equal strings have their anchor at the same distance, so they can only meet at
-   anchors with equal grams. Some 6 in 1,000 places are anchors; only their hashes are
-   shuffled.
+1. Anchors. Each string of `least` bytes is assigned the place in it where a rolling hash of GRAM
+   bytes is least. Equal strings have their anchor at the same distance, so they can only meet at
+   anchors with equal grams. Some 10 in 1,000 places are anchors; only their hashes are shuffled.
 2. An anchor's context is all that a string assigned to it can cover. Where two anchors have
    the same context, all of it repeats; one of them, the first, stands for it from here on.
-3. Anchors that share a gram but differ in context send their contexts to a cell. There the
-   suffixes are ordered by prefix doubling up to `length` bytes. In suffix order, neighbours
-   that agree on `length` bytes form runs; a place with a smaller one before or after it in
-   its run has a longest previous factor of `length` or more, that is an earlier copy.
+3. Anchors that share a gram but differ in context send their contexts to a cell. Places at one
+   distance before their anchors, whose contexts agree up to there, are in suffix order as their
+   anchors are. So the anchors' suffixes are ordered once, and their common prefixes taken; and
+   for each distance at which contexts part, previous and next smaller positions in that order
+   give each place its longest previous factor, and larger positions its longest next one.
 4. A gram in more contexts than a cell takes is split: each context is compared with one of
    the group. Strings that both hold are settled; the others must agree beyond what the two
    share before the anchor, or after it, and are regrouped by that. Groups small enough go to
    cells, larger ones are split again.
 
-Nothing is left out at any step, and a cell's memory is bounded. Documents are ordered by id.
+A string is removed if a factor has `length` bytes; shorter factors are told of, as `n_repeated`
+and `longest_repeat`. Nothing is left out at any step, and a cell's memory is bounded. Documents
+are ordered by id.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,10 +38,14 @@ from pyspark.sql import functions as F
 from triprollup.llm.tables import ceil_div, stored
 
 LENGTH = 400
+#: Shortest repeats that are found; a passage of 50 words is rarely shorter.
+LEAST = 256
 GRAM = 64
 #: Contexts of a group that go to one cell, at most; and of a cell of small groups, about.
 CELL = 1_500
-CELL_OF_SMALL = 80
+CELL_OF_SMALL = 2_000
+#: Contexts whose suffixes are ordered at a time.
+ORDERED = 6_000
 #: Bytes hashed at a time.
 STRETCH = 2_000_000
 
@@ -51,7 +60,7 @@ FACTORS = (
 )
 MIX = 0xFF51AFD7ED558CCD
 
-ANCHORS = "doc_id bigint, version int, pos bigint, gram bigint, context bigint"
+ANCHORS = "doc_id bigint, version int, pos bigint, after int, gram bigint, context bigint"
 
 
 def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
@@ -78,23 +87,26 @@ def _least_places(keys: np.ndarray, width: int) -> np.ndarray:
     return (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
-def anchors_of(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Text number, place, gram hash and context hash of each anchor of some texts."""
+def anchors_of(
+    texts: list[bytes], length: int, gram: int, least: int | None = None
+) -> tuple[np.ndarray, ...]:
+    """Text number, place, bytes from there on, gram hash and context hash of each anchor."""
+    least = least or length
     data = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.array([len(t) for t in texts])
     ends = np.cumsum(sizes)
-    if not len(data) or sizes.max() < length:
-        return tuple(np.zeros(0, np.int64) for _ in range(4))
+    if not len(data) or sizes.max() < least:
+        return tuple(np.zeros(0, np.int64) for _ in range(5))
     hashes = _gram_hashes(data, gram)
-    place = _least_places(hashes, length - gram + 1)
+    place = _least_places(hashes, least - gram + 1)
     owner = np.repeat(np.arange(len(texts)), sizes)[: len(place)]
-    inside = np.arange(len(place)) + length <= ends[owner]
+    inside = np.arange(len(place)) + least <= ends[owner]
     # The least place moves forward only, so its repeats are next to each other.
     at = place[inside]
     at = at[np.concatenate([[True], at[1:] != at[:-1]])]
     owner = np.searchsorted(ends, at, side="right")
     pos = at - (ends - sizes)[owner]
-    before = np.minimum(pos, length - gram)
+    before = np.minimum(pos, least - gram)
     after = np.minimum(sizes[owner] - pos, length)
     context = np.fromiter(
         (
@@ -104,7 +116,7 @@ def anchors_of(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray,
         np.uint64,
         len(at),
     )
-    return owner, pos, hashes[at].view(np.int64), context.view(np.int64)
+    return owner, pos, after, hashes[at].view(np.int64), context.view(np.int64)
 
 
 def _stretches(sizes: list[int]) -> Iterator[tuple[int, int]]:
@@ -126,129 +138,199 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def _anchors(keyed: DataFrame, length: int, gram: int) -> DataFrame:
+def _anchors(keyed: DataFrame, length: int, gram: int, least: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data = batch.column("data").to_pylist()
             for first, last in _stretches([len(d) for d in data]):
-                owner, pos, grams, context = anchors_of(data[first:last], length, gram)
+                owner, pos, after, *hashes = anchors_of(data[first:last], length, gram, least)
                 rows = batch.select(["doc_id", "version"]).slice(first, last - first)
                 rows = rows.take(pa.array(owner))
-                columns = [*rows.columns, *map(pa.array, (pos, grams, context))]
-                names = ["doc_id", "version", "pos", "gram", "context"]
+                counts = [pa.array(pos), pa.array(after, pa.int32())]
+                columns = [*rows.columns, *counts, *map(pa.array, hashes)]
+                names = ["doc_id", "version", "pos", "after", "gram", "context"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return keyed.mapInArrow(scan, ANCHORS)
 
 
-def suffix_runs(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """The starts in suffix order, compared on `length` bytes, and the run that each is in.
-
-    From the ranks of all places by 8 bytes come those by several times as many: as many ranks
-    of stretches that follow each other as 62 bits hold are compared as one number. The last
-    stretches overlap, so that they cover `length` bytes exactly.
-    """
-    padded = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
-    n, key = len(data), np.zeros(len(data), np.uint64)
-    for k in range(8):
-        key = (key << np.uint64(8)) | padded[k : k + n]
-    bits = n.bit_length()
-    together = max(2, 62 // bits)
-
-    def joined(rank: np.ndarray, at: np.ndarray, offsets: list[int]) -> np.ndarray:
-        found = np.zeros(len(at), np.int64)
-        for offset in offsets:
-            found = (found << bits) | rank[np.minimum(at + offset, n)]
+def _shared(parts: list[bytes], width: int) -> np.ndarray:
+    """Leading bytes that each part, of up to `width`, shares with the one before it."""
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+    flat = np.frombuffer(b"".join([p.ljust(width, b"\0") for p in parts]), np.uint8)
+    rows = flat.reshape(len(parts), width)
+    differ = rows[1:] != rows[:-1]
+    first = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
+    return np.concatenate([[0], np.minimum(first, np.minimum(sizes[1:], sizes[:-1]))])
+
+
+class RangeMinimum:
+    """The least of any stretch of some values."""
+
+    def __init__(self, values: np.ndarray):
+        self.levels, width = [values], 1
+        while 2 * width <= len(values):
+            last = self.levels[-1]
+            self.levels.append(np.minimum(last[:-width], last[width:]))
+            width *= 2
+
+    def between(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """From `first` up to and with `last`; both in order."""
+        level = np.frexp(last - first + 1)[1] - 1
+        found = np.empty(len(first), np.int64)
+        for k in np.unique(level).tolist():
+            at = level == k
+            some = self.levels[k]
+            found[at] = np.minimum(some[first[at]], some[last[at] + 1 - (1 << k)])
         return found
 
-    places, width = np.arange(n), 8
-    while True:
-        # The place after the end ranks last.
-        rank = np.append(np.unique(key, return_inverse=True)[1], n)
-        times = ceil_div(length, width)
-        if times <= together:
-            break
-        key = joined(rank, places, [k * width for k in range(together)])
-        width *= together
-    offsets = [min(k * width, length - width) for k in range(times)]
-    pair = joined(rank, starts, offsets)
-    order = np.argsort(pair, kind="stable")
-    change = np.concatenate([[0], (np.diff(pair[order]) != 0).astype(int)])
-    return order, np.cumsum(change)
-
 
-def earlier_and_later(order: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whether each start has an equal one before it, and one after it, by its number.
+def smaller_positions(values: np.ndarray, at: np.ndarray, step: int) -> np.ndarray:
+    """For each of these places the nearest before it (step -1) or after it with a smaller value.
 
-    By the previous and the next smaller number in suffix order, within a run: a number has
-    neither only if it is the run's least. By larger ones, likewise.
+    What stands between a place and the one it points to is not smaller, so pointers are followed
+    all at once. There must be a smaller value at either end.
     """
-    bounds = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
-    least = np.minimum.reduceat(order, bounds)[run]
-    most = np.maximum.reduceat(order, bounds)[run]
-    earlier, later = np.zeros((2, len(order)), bool)
-    earlier[order] = order > least
-    later[order] = order < most
-    return earlier, later
-
-
-def _cell_spans(rows: pa.Table, length: int, keep_first: bool) -> pa.Table:
-    """Spans of the strings in a cell's contexts that occur elsewhere in it."""
-    rows = rows.combine_chunks().sort_by([(c, "ascending") for c in ("doc_id", "version", "pos")])
+    to = np.arange(len(values)) + step
+    active = at
+    while len(active):
+        active = active[values[to[active]] >= values[active]]
+        to[active] = to[to[active]]
+    return to[at]
+
+
+def longest_factors(
+    group: np.ndarray, left: list[bytes], right: list[bytes], length: int, keep_first: bool
+) -> tuple[np.ndarray, ...]:
+    """Longest factors of places before the anchors of some groups, as (row, near, far, bytes).
+
+    Rows are in order of their positions, group by group. A place `d` bytes before the anchor of
+    a row, with near <= d <= far, has a longest previous factor of d + bytes; with keep_first
+    false, the longer of its longest previous and its longest next factor. left: what stands
+    before the anchor, backwards; right: from it on. What no row says has no factor that holds
+    the anchor's first byte.
+    """
+    count, rows = len(group), np.arange(len(group))
+    by_right = np.array(sorted(rows.tolist(), key=lambda i: (group[i], right[i])), np.int64)
+    by_left = np.array(sorted(rows.tolist(), key=lambda i: (group[i], left[i])), np.int64)
+    first = np.concatenate([[True], group[1:] != group[:-1]])
+    prefix = _shared([right[i] for i in by_right.tolist()], length)
+    suffix = _shared([left[i] for i in by_left.tolist()], max(map(len, left), default=1) or 1)
+    prefix[first], suffix[first] = 0, 0
+    rank = np.empty(count, np.int64)
+    rank[by_right] = rows
+    shared = RangeMinimum(prefix)
+    # The distances at which contexts of a group part, from the farthest on.
+    parting = np.unique(np.stack([group[~first], -suffix[~first]]), axis=1)
+    begins = np.searchsorted(parting[0], np.arange(group[-1] + 2) if count else np.zeros(1))
+    levels = np.diff(begins)
+    found = []
+    for nth in range(int(levels.max(initial=0))):
+        # Of each group that has so many levels, the next one.
+        live = levels > nth
+        place = begins[:-1] + nth
+        far = np.where(live, -parting[1][np.minimum(place, parting.shape[1] - 1)], -1)
+        more = levels > nth + 1
+        near = np.where(more, 1 - parting[1][np.minimum(place + 1, parting.shape[1] - 1)], 0)
+        # Rows that agree on `far` bytes before their anchors are of one class.
+        own = np.empty(count, np.int64)
+        own[by_left] = np.cumsum(first | (suffix < far[group[by_left]]))
+        sizes = np.bincount(own)
+        order = by_right[live[group[by_right]] & (sizes[own[by_right]] > 1)]
+        order = order[np.argsort(own[order], kind="stable")]
+        new = np.concatenate([[True], own[order][1:] != own[order][:-1]])[: len(order)]
+        # Classes in suffix order, with a position before all others between them.
+        at = np.arange(len(order)) + np.cumsum(new)
+        size = len(order) + int(new.sum()) + 1
+        holder = np.full(size, -1, np.int64)
+        holder[at] = order
+        best = np.zeros(len(order), np.int64)
+        for position in (rows + 1,) if keep_first else (rows + 1, count - rows):
+            values = np.zeros(size, np.int64)
+            values[at] = position[order]
+            for step in (-1, 1):
+                other = holder[smaller_positions(values, at, step)]
+                have = np.flatnonzero(other >= 0)
+                ends = np.sort([rank[order[have]], rank[other[have]]], axis=0)
+                best[have] = np.maximum(best[have], shared.between(ends[0] + 1, ends[1]))
+        some = best > 0
+        of = group[order[some]]
+        found.append((order[some], near[of], far[of], best[some]))
+    if not found:
+        return tuple(np.zeros(0, np.int64) for _ in range(4))
+    return tuple(map(np.concatenate, zip(*found)))
+
+
+def _cell_factors(rows: pa.Table, length: int, least: int, keep_first: bool) -> pa.Table:
+    """What repeats of each context of a cell, one row for those where something does."""
+    rows = rows.combine_chunks()
+    keys = [(c, "ascending") for c in ("group", "doc_id", "version", "pos")]
+    rows = rows.take(pc.sort_indices(rows, sort_keys=keys, null_placement="at_start"))
+    # Rows that share an id and a text are one here; both are told what is found.
+    same = ~(_changes(rows, "doc_id") | _changes(rows, "pos"))
+    same &= ~(_changes(rows, "version") | _changes(rows, "group"))
+    rows = rows.take(pa.array(np.flatnonzero(~np.concatenate([[False], same]))))
+    number = np.cumsum(np.concatenate([[0], _changes(rows, "group")]))
+    before, low, high, pos = (rows.column(c).to_numpy() for c in ("before", "low", "high", "pos"))
     context = rows.column("bytes").to_pylist()
-    names = ["before", "low", "high", "pos"]
-    before, low, high, pos = (rows.column(c).to_numpy() for c in names)
-    sizes = np.array([len(c) for c in context])
-    # Strings that begin at most `high`, at least `low` bytes before the anchor and fit.
-    first = np.maximum(before - high, 0)
-    last = np.minimum(before - low, sizes - length)
-    count = np.maximum(last - first + 1, 0)
-    owner = np.repeat(np.arange(len(sizes)), count)
-    nth = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-    inside = first[owner] + nth
-    # In document order, an occurrence that several contexts hold counts once.
-    place = pos[owner] - before[owner] + inside
-    doc = np.cumsum(
-        np.concatenate([[0], (_changes(rows, "doc_id") | _changes(rows, "version")).astype(int)])
-    )[owner]
-    by_place = np.lexsort((place, doc))
-    owner, inside, place, doc = (x[by_place] for x in (owner, inside, place, doc))
-    new = np.concatenate([[True], (np.diff(place) != 0) | (np.diff(doc) != 0)])
-    owner, inside, place, doc = (x[new] for x in (owner, inside, place, doc))
-    data = np.frombuffer(b"".join(context), np.uint8)
-    starts = (np.cumsum(sizes) - sizes)[owner] + inside
-    if not len(starts):
-        return _spans(rows, owner, place, length)
-    earlier, later = earlier_and_later(*suffix_runs(data, starts, length))
-    repeated = earlier if keep_first else earlier | later
-    return _spans(rows, owner[repeated], place[repeated], length)
-
-
-def _changes(rows: pa.Table, name: str) -> np.ndarray:
-    values = rows.column(name)
-    a, b = values.slice(1).to_pylist(), values.to_pylist()[:-1]
-    return np.array([x != y for x, y in zip(a, b)], bool)
-
-
-def _spans(rows: pa.Table, owner: np.ndarray, place: np.ndarray, length: int) -> pa.Table:
-    """A span for each run of neighbouring places."""
-    if len(owner):
-        begins = np.concatenate([[True], (np.diff(owner) != 0) | (np.diff(place) != 1)])
-        ends = np.concatenate([begins[1:], [True]])
-    else:
-        begins = ends = np.zeros(0, bool)
-    held = rows.select(["doc_id", "version"]).take(pa.array(owner[begins]))
+    left = [c[:b][::-1] for c, b in zip(context, before.tolist())]
+    right = [c[b:] for c, b in zip(context, before.tolist())]
+    none = -np.ones(len(pos), np.int64)
+    far, seen_far, seen_right, longest = none.copy(), none.copy(), none.copy(), none.copy()
+    near = np.full(len(pos), length, np.int64)
+    # Whole groups, so many rows at a time.
+    cuts = np.flatnonzero(np.diff(number, prepend=-1, append=len(number)))
+    first = 0
+    while first < len(pos):
+        last = int(cuts[np.searchsorted(cuts, first + ORDERED, side="right") - 1])
+        if last <= first:
+            last = int(cuts[np.searchsorted(cuts, first, side="right")])
+        part = slice(first, last)
+        own = number[part] - number[first]
+        at, d_near, d_far, n = longest_factors(own, left[part], right[part], length, keep_first)
+        at = at + first
+        d_near, d_far = np.maximum(d_near, low[at]), np.minimum(d_far, high[at])
+        real = d_near <= d_far
+        at, d_near, d_far, n = (x[real] for x in (at, d_near, d_far, n))
+        # All of these hold their anchor, so that together they are one stretch.
+        seen = d_far + n >= least
+        np.maximum.at(seen_far, at[seen], d_far[seen])
+        np.maximum.at(seen_right, at[seen], n[seen])
+        np.maximum.at(longest, at[seen], (d_far + n)[seen])
+        d_near = np.maximum(d_near, length - n)
+        gone = d_near <= d_far
+        np.maximum.at(far, at[gone], d_far[gone])
+        np.minimum.at(near, at[gone], d_near[gone])
+        first = last
+    kept = np.flatnonzero(seen_far >= 0)
+    far, near, pos = far[kept], near[kept], pos[kept]
+    held = rows.select(["doc_id", "version"]).take(pa.array(kept))
+    removed = far >= 0
     return pa.table(
         {
             "doc_id": held.column("doc_id"),
             "version": held.column("version"),
-            "start": pa.array(place[begins], pa.int64()),
-            "end": pa.array(place[ends] + length, pa.int64()),
+            "start": pa.array(pos - far, pa.int64(), mask=~removed),
+            "end": pa.array(pos - near + length, pa.int64(), mask=~removed),
+            "seen_start": pa.array(pos - seen_far[kept], pa.int64()),
+            "seen_end": pa.array(pos + seen_right[kept], pa.int64()),
+            "longest": pa.array(np.minimum(longest[kept], length), pa.int64()),
         }
     )
 
 
-SPANS = "doc_id bigint, version int, start bigint, end bigint"
+def _changes(rows: pa.Table, name: str) -> np.ndarray:
+    """Whether each value but the first differs from the one before it."""
+    values = rows.column(name)
+    a, b = values.slice(1).to_pylist(), values.to_pylist()[:-1]
+    return np.array([x != y for x, y in zip(a, b)], bool)
+
+
+#: What is removed (null if nothing is), what repeats at all, and the longest that does.
+SPANS = (
+    "doc_id bigint, version int, start bigint, end bigint, "
+    "seen_start bigint, seen_end bigint, longest bigint"
+)
 
 
 def repeated_spans(
@@ -257,17 +339,20 @@ def repeated_spans(
     gram: int = GRAM,
     keep_first: bool = False,
     cell: int = CELL,
+    least: int | None = None,
 ) -> DataFrame:
     """doc_id, version, start and end of bytes in strings of `length` that start elsewhere too.
 
-    keep_first: only those that have an earlier copy. Spans may overlap or touch, and may end
-    after the text. version tells apart texts of rows that share an id.
+    keep_first: only those that have an earlier copy. seen_start, seen_end and longest: the same
+    of strings of `least` bytes or more, and the longest of them, up to `length`. Spans may
+    overlap or touch. version tells apart texts of rows that share an id.
     """
-    if length < 2 * gram or length > 32_000:
-        raise ValueError("length must be 2 grams at least, and under 32,000")
-    reach = length - gram
+    least = min(LEAST, length) if least is None else least
+    if not 2 * gram <= least <= length <= 32_000:
+        raise ValueError("lengths must be 2 grams at least, and 32,000 at most")
+    reach = least - gram
     keyed = _keyed(docs)
-    anchors = stored(_anchors(keyed, length, gram), "anchors")
+    anchors = stored(_anchors(keyed, length, gram, least), "anchors")
     grams = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     # Written first, so that the join of a gram that is in every third document can be split.
     grams = stored(grams.select("gram"), "shared-grams")
@@ -280,10 +365,10 @@ def repeated_spans(
     whole = anchors.join(contexts.filter("n > 1").drop("n"), ["gram", "context"])
     if keep_first:
         whole = whole.filter(~key.eqNullSafe(F.col("first")))
-    found = [_span(whole, F.greatest(F.col("pos") - reach, F.lit(0)), F.col("pos") + length)]
+    before = F.least(F.col("pos"), F.lit(reach))
+    found = [_spans(whole, before, length - F.col("after"), F.col("after"), length, least)]
     many = contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     members = contexts.join(many.select("gram"), "gram").select("gram", "first.*")
-    before = F.least(F.col("pos"), F.lit(reach))
     data = F.substring(
         F.col("data"),
         (F.col("pos") - before + 1).cast("int"),
@@ -298,11 +383,8 @@ def repeated_spans(
             before.cast("int").alias("before"),
             data.alias("bytes"),
             F.col("gram").alias("group"),
-        ).select(
-            "*",
-            # Distances at which a string fits into the context.
-            F.greatest(F.lit(0), length - F.octet_length("bytes") + F.col("before")).alias("low"),
-            F.col("before").alias("high"),
+            F.lit(0).alias("low"),
+            before.cast("int").alias("high"),
         ),
         "context-bytes",
     )
@@ -313,7 +395,7 @@ def repeated_spans(
         large = sizes.filter(F.col("m") > cell)
         if large.isEmpty():
             break
-        settled, groups = _split(groups.join(large.drop("m"), "group"), length, keep_first)
+        settled, groups = _split(groups.join(large.drop("m"), "group"), length, least, keep_first)
         found.append(settled)
     parts = small[0]
     for more in small[1:]:
@@ -322,7 +404,7 @@ def repeated_spans(
     dealt = parts.withColumn("cell", F.pmod(F.xxhash64("group"), F.lit(cells)))
     found.append(
         dealt.groupBy("cell").applyInArrow(
-            lambda rows: _cell_spans(rows, length, keep_first), SPANS
+            lambda rows: _cell_factors(rows, length, least, keep_first), SPANS
         )
     )
     spans = found[0]
@@ -331,8 +413,24 @@ def repeated_spans(
     return spans
 
 
-def _span(rows: DataFrame, start: Column, end: Column) -> DataFrame:
-    return rows.select("doc_id", "version", start.alias("start"), end.alias("end"))
+def _spans(
+    rows: DataFrame, far: Column, near: Column, right: Column, length: int, least: int
+) -> DataFrame:
+    """What repeats where places from `far` to 0 before an anchor share `right` bytes from it on.
+
+    near: the least distance at which a string of `length` bytes does.
+    """
+    near = F.greatest(near, F.lit(0))
+    pos, removed, seen = F.col("pos"), near <= far, far + right >= least
+    return rows.select(
+        "doc_id",
+        "version",
+        F.when(removed, pos - far).cast("bigint").alias("start"),
+        F.when(removed, pos - near + length).cast("bigint").alias("end"),
+        F.when(seen, pos - far).cast("bigint").alias("seen_start"),
+        F.when(seen, pos + right).cast("bigint").alias("seen_end"),
+        F.when(seen, F.least(far + right, F.lit(length))).cast("bigint").alias("longest"),
+    ).filter("seen_start is not null")
 
 
 MEMBERS = (
@@ -371,7 +469,9 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _split(large: DataFrame, length: int, keep_first: bool) -> tuple[DataFrame, DataFrame]:
+def _split(
+    large: DataFrame, length: int, least: int, keep_first: bool
+) -> tuple[DataFrame, DataFrame]:
     """Spans that are settled for groups too large, and their members in smaller groups.
 
     Members are compared with one of their group, the representative: a random one, or with
@@ -408,16 +508,18 @@ def _split(large: DataFrame, length: int, keep_first: bool) -> tuple[DataFrame,
     compared = stored(compared, "compared")
     near = F.greatest("low", length - F.col("right")).alias("near")
     far = F.least("high", "left").alias("far")
-    agreed = compared.select("group", "r_key", "doc_id", "version", "pos", near, far)
-    agreed = agreed.filter("near <= far")
+    names_of = ("near", "far", "right")
+    agreed = compared.filter(far >= F.col("low")).select(
+        "group", "r_key", "doc_id", "version", "pos", near, far, "right"
+    )
 
     def spans_of(rows: DataFrame) -> DataFrame:
-        return _span(rows, F.col("pos") - F.col("far"), F.col("pos") - F.col("near") + length)
+        return _spans(rows, *(F.col(c) for c in ("far", "near", "right")), length, least)
 
     settled = spans_of(agreed)
     if not keep_first:
-        own = agreed.select("group", "r_key", "near", "far").distinct()
-        settled = settled.unionByName(spans_of(own.select("r_key.*", "near", "far")))
+        own = agreed.select("group", "r_key", *names_of).distinct()
+        settled = settled.unionByName(spans_of(own.select("r_key.*", *names_of)))
     below = F.least("high", "left", length - 1 - F.col("right"))
     above = F.greatest("low", F.col("left") + 1)
     ranges = F.array(
@@ -433,16 +535,26 @@ def _branch(side: str, low: Column, high: Column) -> Column:
     return F.struct(group.alias("group"), low.alias("low"), high.alias("high"))
 
 
+#: Columns of the result.
+MADE = ("data", "n_bytes", "n_removed", "removed", "n_repeated", "longest_repeat")
+
+
 def without_repeats(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """All columns of docs, with `data` (bytes left), `n_bytes`, `n_removed` and `removed`.
 
-    removed: the maximal removed runs, as start and end in bytes.
+    removed: the maximal removed runs, as start and end in bytes. n_repeated: bytes in repeats of
+    any length that was looked for, and longest_repeat: the longest (0 if there is none).
     """
+    removed = F.when(F.col("start").isNotNull(), F.struct("start", "end"))
+    seen = F.struct(F.col("seen_start").alias("start"), F.col("seen_end").alias("end"))
     per_text = spans.groupBy("doc_id", "version").agg(
-        F.collect_list(F.struct("start", "end")).alias("spans")
+        F.collect_list(removed).alias("spans"),
+        F.collect_list(seen).alias("seen"),
+        F.max("longest").alias("longest"),
     )
-    per_text = per_text.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), "spans")
-    names = [c for c in docs.columns if c not in ("data", "n_bytes", "n_removed", "removed")]
+    own = ["spans", "seen", "longest"]
+    per_text = per_text.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), *own)
+    names = [c for c in docs.columns if c not in MADE]
     data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rows = docs.select(
         F.struct(*names).alias("row"),
@@ -451,18 +563,22 @@ def without_repeats(docs: DataFrame, spans: DataFrame) -> DataFrame:
         data.alias("data"),
     )
     same = rows["_doc"].eqNullSafe(per_text["_id"]) & (rows["_hash"] == per_text["_version"])
-    rows = rows.join(per_text, same, "left").select("row", "data", "spans")
+    rows = rows.join(per_text, same, "left").select("row", "data", *own)
+
+    def joined(spans: list[dict[str, int]] | None, size: int) -> list[dict[str, int]]:
+        merged: list[dict[str, int]] = []
+        for start, end in sorted((s["start"], min(s["end"], size)) for s in spans or ()):
+            if merged and start <= merged[-1]["end"]:
+                merged[-1]["end"] = max(merged[-1]["end"], end)
+            else:
+                merged.append({"start": start, "end": end})
+        return merged
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, sizes, gone, runs = [], [], [], []
-            for text, spans in zip(batch.column("data").to_pylist(), batch.column("spans").to_pylist()):
-                merged: list[dict[str, int]] = []
-                for start, end in sorted((s["start"], min(s["end"], len(text))) for s in spans or ()):
-                    if merged and start <= merged[-1]["end"]:
-                        merged[-1]["end"] = max(merged[-1]["end"], end)
-                    else:
-                        merged.append({"start": start, "end": end})
+            left, sizes, gone, runs, repeated = [], [], [], [], []
+            for text, spans, seen in zip(*(batch.column(c).to_pylist() for c in ("data", "spans", "seen"))):
+                merged = joined(spans, len(text))
                 at, parts = 0, []
                 for run in merged:
                     parts.append(text[at : run["start"]])
@@ -472,19 +588,19 @@ def without_repeats(docs: DataFrame, spans: DataFrame) -> DataFrame:
                 sizes.append(len(text))
                 gone.append(len(text) - len(kept))
                 runs.append(merged)
+                repeated.append(sum(s["end"] - s["start"] for s in joined(seen, len(text))))
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             arrays = [pa.array(left, pa.binary()), pa.array(sizes, pa.int64())]
             arrays += [pa.array(gone, pa.int64()), pa.array(runs, span)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), *arrays], names=["row", "data", "n_bytes", "n_removed", "removed"]
-            )
+            arrays += [pa.array(repeated, pa.int64()), pc.fill_null(batch.column("longest"), 0)]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *arrays], names=["row", *MADE])
 
     row = rows.schema["row"].dataType.simpleString()
     schema = (
         f"row {row}, data binary, n_bytes bigint, n_removed bigint, "
-        "removed array<struct<start: bigint, end: bigint>>"
+        "removed array<struct<start: bigint, end: bigint>>, n_repeated bigint, longest_repeat bigint"
     )
-    return rows.mapInArrow(cut, schema).select("row.*", "data", "n_bytes", "n_removed", "removed")
+    return rows.mapInArrow(cut, schema).select("row.*", *MADE)
 
 
 def dedup_strings(
