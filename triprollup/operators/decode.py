@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -124,14 +125,13 @@ def decode_documents(
 def is_one_document(line: Column) -> Column:
     """Whether a message is one JSON value that is not followed or preceded by anything.
 
-    A parser stops behind the first value, so the message is read as a part of an array. One
-    that closes this array itself gives the same length whatever comes behind it.
+    A parser stops behind the first value, so the message is read as the first of two elements
+    of an array. The second is a word that no message can know: one that closes the array itself,
+    or holds several values, has something else in its place.
     """
-
-    def length(tail: str) -> Column:
-        return F.json_array_length(F.concat(F.lit("["), line, F.lit(tail)))
-
-    return length("]").eqNullSafe(1) & length(",0]").eqNullSafe(2)
+    word = uuid4().hex
+    whole = F.concat(F.lit("["), line, F.lit(f',"{word}"]'))
+    return F.get_json_object(whole, "$[1]").eqNullSafe(word)
 
 
 DECODERS = {CSV: decode_lines, JSON: decode_documents}
