@@ -254,11 +254,45 @@ def test_near_duplicates_of_the_table(spark):
 
 
 def test_prefixes_are_shortened(corpus, prose):
-    assert jaccard_forest.depth_for(0.9999, 0.8, 24, 8) == 5
-    rows = near_rows(prose)
-    # Few trees of great depth miss links; the estimate of that makes prefixes shorter.
-    found = near(corpus(rows), trees=4, max_depth=8, recall=0.9)
-    assert {r[1] for r in found if 300 <= r[0] < 500} == {300}
+    """At whole paths a forest of few trees misses links; the queries tell, and it shortens."""
+    rng = random.Random(8)
+    rows = []
+    for group in range(60):
+        words = prose(130, 700 + group).split()
+        for copy in range(5):
+            changed = [*words]
+            for _ in range(rng.randrange(1, 4)):
+                changed[rng.randrange(130)] = f"w{rng.random()}"
+            rows.append((10 * group + copy, " ".join(changed)))
+    docs = corpus(rows)
+    options = {"trees": 4, "max_depth": 8}
+    whole = jaccard_forest.measured_recall(docs, recall=0.01, **options)
+    assert whole.depths == (8,) * 4 and whole.links > 8 and whole.recall < 0.9
+    found = jaccard_forest.measured_recall(docs, recall=0.9, **options)
+    assert found.recall >= 0.9 and found.links >= whole.links
+    assert max(found.depths) - min(found.depths) <= 1 and max(found.depths) < 8
+    # Queries are verified against all sets: their links are those of brute force.
+    expected = classes_by_hand(rows)
+    assert found.links == sum(r[4] for r in expected if r[0] % jaccard_forest.QUERIES == 0)
+    assert near(docs) == expected
+
+
+def test_stages_of_shortening():
+    most, trees = 5, 3
+    rng = np.random.default_rng(1)
+    shared = rng.integers(0, most + 1, size=(200, trees))
+    stage = jaccard_forest.stages_of(shared, most)
+    for s in range((most - 1) * trees + 1):
+        depths = jaccard_forest.stage_depths(s, trees, most)
+        assert ((stage <= s) == (shared >= depths).any(axis=1)).all()
+    assert (stage[(shared == 0).all(axis=1)] == (most - 1) * trees + 1).all()
+    many = {0: 9_000, 4: 990, 9: 10}
+    assert jaccard_forest.chosen_stage(many, 0.9, 6) == 4
+    assert jaccard_forest.chosen_stage({0: 10_000, 9: 10}, 0.9, 6) == 0
+    assert jaccard_forest.chosen_stage(many, 0.998, 12) == 4 and jaccard_forest.chosen_stage(many, 0.9995, 3) == 9
+    # Too few links to tell: the depth that the threshold asks for, or what the links ask for.
+    assert jaccard_forest.chosen_stage({0: 9}, 0.9, 6) == 6 == jaccard_forest.chosen_stage({}, 0.9, 6)
+    assert jaccard_forest.chosen_stage({0: 5, 8: 5}, 0.9, 6) == 8
 
 
 def test_one_of_each(corpus, clashing, prose, odd_rows):
