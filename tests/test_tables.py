@@ -1,4 +1,5 @@
 import glob
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ from triprollup.sources.messages import (
     project_key_value,
     project_value,
 )
-from triprollup.sources.scratch import scratch_path
+from triprollup.sources.scratch import scratch_path, scratch_run
 
 
 @pytest.fixture
@@ -400,6 +401,26 @@ def test_scratch_paths_differ_and_lie_in_the_shared_folder(spark):
     assert a != b and a.startswith(root)
 
 
+def test_intermediate_tables_of_a_run_are_removed(spark, tmp_path):
+    with scratch_run(spark) as outer:
+        first = scratch_path(spark, "a")
+        spark.range(3).write.parquet(first)
+        with scratch_run(spark) as inner:
+            second = scratch_path(spark, "b")
+            spark.range(3).write.parquet(second)
+            assert inner.startswith(outer) and second.startswith(inner)
+        assert not os.path.exists(inner) and os.path.exists(first) and first.startswith(outer)
+        result = str(tmp_path / "result")
+        spark.read.parquet(first).write.parquet(result)
+    assert not os.path.exists(outer) and spark.read.parquet(result).count() == 3
+    assert not scratch_path(spark, "c").startswith(outer)
+    with pytest.raises(RuntimeError):
+        with scratch_run(spark) as failed:
+            spark.range(3).write.parquet(scratch_path(spark, "d"))
+            raise RuntimeError
+    assert not os.path.exists(failed)
+
+
 class _Session:
     def __init__(self, **settings):
         self.conf = {name.replace("_", "."): value for name, value in settings.items()}
