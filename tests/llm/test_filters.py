@@ -437,6 +437,19 @@ def test_repeats_too_short_to_remove(corpus, prose, keep_first, cell):
     assert sum(r[2] > 0 and r[1] == 0 for r in told) >= 3
 
 
+@pytest.mark.parametrize("keep_first", [False, True])
+def test_groups_that_end_with_their_documents(corpus, prose, keep_first):
+    """Contexts that part only before the anchor and end together: splitting comes to an end."""
+    passage = prose(25, 77)[:80]
+    rows = [(i, f"{prose(8, 300 + i)}{passage}") for i in range(30)]
+    rows += [(100 + i, f"{prose(8, 400 + i)}{passage}{prose(2, 500 + i)}") for i in range(30)]
+    found = strings(corpus(rows), 100, keep_first, gram=16, least=64, cell=4)
+    assert found == strings_by_hand(rows, 100, keep_first)
+    told = suffix_dedup.dedup_strings(corpus(rows), 100, keep_first, gram=16, least=64, cell=4)
+    covered = {r[0]: r[2] for r in strings_by_hand(rows, 64, keep_first)}
+    assert {r["doc_id"]: r["n_repeated"] for r in told.collect()} == covered
+
+
 def test_passages_of_fifty_words(corpus, prose):
     """Two documents share a passage of 51 words or more, which may take under 400 bytes."""
     rows = []

@@ -520,7 +520,9 @@ def _split(
     if not keep_first:
         own = agreed.select("group", "r_key", *names_of).distinct()
         settled = settled.unionByName(spans_of(own.select("r_key.*", *names_of)))
-    below = F.least("high", "left", length - 1 - F.col("right"))
+    # A context that ends where they part shares no more with any other.
+    below = F.when(F.col("right_next") >= 0, F.least("high", "left", length - 1 - F.col("right")))
+    below = F.coalesce(below, F.lit(-1))
     above = F.greatest("low", F.col("left") + 1)
     ranges = F.array(
         _branch("left", above, F.col("high")), _branch("right", F.col("low"), below)
