@@ -92,6 +92,8 @@ class Tagger:
     ahead: Direction
     back: Direction
     bias: np.ndarray
+    #: Texts that score less are in doubt; see `fit`.
+    least: float = 0.0
 
     def position_log_probs(self, text: np.ndarray) -> np.ndarray:
         """(T, B, C) for windows of bytes in columns (T, B)."""
@@ -239,9 +241,19 @@ def fit(docs: DataFrame, **options) -> Tagger | None:
     """A tagger learned from the texts and languages of the training folds, of every label there.
 
     None without a label. Of languages that fit a text equally well the first by name is taken.
+    Its bound of doubt is `least_score`, or less where the sample's own texts score low: half of the
+    way from a draw to what all but one in a hundred of them score. A model that is in doubt of
+    these texts itself, as with labels that say nothing, has no bound, and no text is in doubt.
     """
     rows = labelled_sample(docs).collect()
-    return train([r["text"].encode() for r in rows], [r["lang"] for r in rows], **options)
+    texts = [r["text"].encode() for r in rows]
+    model = train(texts, [r["lang"] for r in rows], **options)
+    if model is not None:
+        draw = 1 / len(model.languages)
+        low = np.quantile([score for _, score in model.predict([t for t in texts if t])], 0.01)
+        least = least_score(len(model.languages))
+        model.least = float(min(least, (draw + low) / 2)) if low >= least else 0.0
+    return model
 
 
 def held_out() -> Column:
