@@ -219,21 +219,26 @@ def labelled_sample(docs: DataFrame, per_language: int | None = None) -> DataFra
     labelled = docs.filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
     ).filter(crc_of_id() % FOLDS != HELD_OUT)
-    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     if per_language is None:
-        spread_over = SAMPLE_TEXTS // max(counts.count(), 1)
+        spread_over = SAMPLE_TEXTS // max(labelled.select("lang").distinct().count(), 1)
         per_language = max(LEAST_TEXTS, min(TEXTS_PER_LANGUAGE, spread_over))
-    unit = float(1 << 30)
-    draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / unit
+    draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30))
     spread = F.pmod(F.xxhash64(F.lit("place"), "doc_id"), F.lit(1 << 30))
     room = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1
     cut = F.substring(F.col("text"), (spread % room + 1).cast("int"), F.lit(SAMPLE_CHARS))
-    # Four times as many are drawn, so that a language lacks texts once in e^32 times.
-    near = labelled.join(counts, "lang").filter(draw * F.col("n") < 4.0 * max(per_language, LEAST_TEXTS))
-    near = near.select("lang", cut.alias("text"), draw.alias("_draw"), F.xxhash64("doc_id", "text").alias("_order"))
-    first = Window.partitionBy("lang").orderBy("_draw", "_order", "text")
-    ranked = near.withColumn("_rank", F.row_number().over(first))
-    chosen = ranked.filter(F.col("_rank") <= per_language)
+
+    def first(rows: DataFrame, *order: str) -> DataFrame:
+        # Spark takes so many of each task before it shuffles.
+        rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+        return rows.withColumn("_rank", rank).filter(F.col("_rank") <= per_language).drop("_rank")
+
+    # How far to draw, from the draws alone: a row for each label, which the model holds anyway.
+    drawn = first(labelled.select("lang", draw.alias("_draw")), "_draw")
+    bounds = drawn.groupBy("lang").agg(F.max("_draw").alias("_last"))
+    near = labelled.withColumn("_draw", draw).join(F.broadcast(bounds), "lang").filter("_draw <= _last")
+    near = near.select("lang", cut.alias("text"), "_draw", F.xxhash64("doc_id", "text").alias("_order"))
+    # Once more, as many rows may share an id.
+    chosen = first(near, "_draw", "_order", "text")
     return chosen.orderBy("_order", "lang", "text").select("lang", "text")
 
 
