@@ -88,9 +88,12 @@ def _least_places(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors_of(
-    texts: list[bytes], length: int, gram: int, least: int | None = None
+    texts: list[bytes], length: int, gram: int, least: int | None = None, contexts: bool = True
 ) -> tuple[np.ndarray, ...]:
-    """Text number, place, bytes from there on, gram hash and context hash of each anchor."""
+    """Text number, place, bytes from there on, gram hash and context hash of each anchor.
+
+    The context hash is 0 without `contexts`.
+    """
     least = least or length
     data = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.array([len(t) for t in texts])
@@ -108,6 +111,8 @@ def anchors_of(
     pos = at - (ends - sizes)[owner]
     before = np.minimum(pos, least - gram)
     after = np.minimum(sizes[owner] - pos, length)
+    if not contexts:
+        return owner, pos, after, hashes[at].view(np.int64), np.zeros(len(at), np.int64)
     context = np.fromiter(
         (
             xxhash.xxh3_64_intdigest(texts[o][p - b : p + a], b * 65_536 + a)
@@ -154,6 +159,20 @@ def _anchors(keyed: DataFrame, length: int, gram: int, least: int) -> DataFrame:
     return keyed.mapInArrow(scan, ANCHORS)
 
 
+def _shared_grams(keyed: DataFrame, length: int, gram: int, least: int) -> DataFrame:
+    """The grams of more than one anchor."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data = batch.column("data").to_pylist()
+            for first, last in _stretches([len(d) for d in data]):
+                grams = anchors_of(data[first:last], length, gram, least, contexts=False)[3]
+                yield pa.RecordBatch.from_arrays([pa.array(grams)], names=["gram"])
+
+    grams = keyed.select("data").mapInArrow(scan, "gram bigint")
+    return grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+
+
 def _shared(parts: list[bytes], width: int) -> np.ndarray:
     """Leading bytes that each part, of up to `width`, shares with the one before it."""
     sizes = np.fromiter(map(len, parts), np.int64, len(parts))
@@ -352,11 +371,11 @@ def repeated_spans(
         raise ValueError("lengths must be 2 grams at least, and 32,000 at most")
     reach = least - gram
     keyed = _keyed(docs)
-    anchors = stored(_anchors(keyed, length, gram, least), "anchors")
-    grams = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    # Written first, so that the join of a gram that is in every third document can be split.
-    grams = stored(grams.select("gram"), "shared-grams")
-    anchors = stored(anchors.join(grams, "gram"), "shared-anchors")
+    # Anchors are looked for twice: most share their gram with no other, and are not written.
+    # Grams are written first, so that the join of one in every third document can be split.
+    grams = stored(_shared_grams(keyed, length, gram, least), "shared-grams")
+    anchors = _anchors(keyed, length, gram, least).join(grams, "gram")
+    anchors = stored(anchors, "shared-anchors", "zstd")
     key = F.struct("doc_id", "version", "pos")
     contexts = stored(
         anchors.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first")),
@@ -387,6 +406,7 @@ def repeated_spans(
             before.cast("int").alias("high"),
         ),
         "context-bytes",
+        "zstd",
     )
     small = []
     while True:
@@ -484,7 +504,7 @@ def _split(
     has half of the group's members or less at every second round, on average.
     """
     key = F.struct("doc_id", "version", "pos")
-    large = stored(large, "large-groups")
+    large = stored(large, "large-groups", "zstd")
     order = key if keep_first else F.struct(F.xxhash64("doc_id", "version", "pos"), key)
     chosen = large.groupBy("group").agg(
         F.min_by(F.struct(key.alias("r_key"), "before", "bytes"), order).alias("r")
@@ -505,7 +525,7 @@ def _split(
         _compared,
         f"{MEMBERS}, r_key {r_key}, left int, right int, left_next int, right_next int",
     )
-    compared = stored(compared, "compared")
+    compared = stored(compared, "compared", "zstd")
     near = F.greatest("low", length - F.col("right")).alias("near")
     far = F.least("high", "left").alias("far")
     names_of = ("near", "far", "right")
@@ -529,7 +549,7 @@ def _split(
     )
     ranges = F.filter(ranges, lambda x: x["low"] <= x["high"])
     parts = compared.select(*names[:5], F.explode(ranges).alias("range"))
-    return settled, stored(parts.select(*names[:5], "range.*"), "split-groups")
+    return settled, stored(parts.select(*names[:5], "range.*"), "split-groups", "zstd")
 
 
 def _branch(side: str, low: Column, high: Column) -> Column:
