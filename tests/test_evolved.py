@@ -6,6 +6,7 @@ import decimal
 import pytest
 from pyspark.sql import types as T
 
+from triprollup.plans.queries import _narrowed
 from triprollup.sources import evolved
 
 
@@ -82,3 +83,13 @@ def test_what_cannot_be_widened(spark, tmp_path, kinds):
 def test_an_empty_directory(spark, tmp_path):
     with pytest.raises(Exception):
         evolved.evolved_table(spark, str(tmp_path / "none"))
+
+
+def test_a_sum_that_grew_out_of_bigint(spark):
+    """Where SQL's bigint holds it, it is one; beyond, all its digits stay."""
+    for n, kind in ((2**63 - 1, "bigint"), (2**63, "decimal(30,0)"), (-(2**63), "bigint"), (None, "bigint")):
+        value = None if n is None else decimal.Decimal(n)
+        rows = spark.createDataFrame([("a", value), ("b", decimal.Decimal(1))], "k string, n decimal(30,0)")
+        found = _narrowed(spark, rows, "n")
+        assert found.schema["n"].dataType.simpleString() == kind and found.columns == ["k", "n"]
+        assert sorted(map(tuple, found.collect())) == [("a", n), ("b", 1)]
