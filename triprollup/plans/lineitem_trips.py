@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triprollup.schemas import GROUP_KEYS, TRIP_COLUMNS
+from triprollup.sinks.files import stored_bytes
 
 # Stand-in for the stamp of a micro-batch, which no oracle could know.
 BATCH = "batch_id"
@@ -100,10 +104,28 @@ def damaged_documents(good: DataFrame) -> DataFrame:
     )
 
 
+#: Folders that a task writes to side by side; beyond these it sorts its lines by folder.
+OPEN_FOLDERS = 32
+#: Lines of a file at most: a compressed file is read by one task.
+FILE_LINES = 1 << 17
+
+
+@contextmanager
+def _side_by_side(spark: SparkSession) -> Iterator[None]:
+    """Tasks write to several folders at a time, and need not sort whole lines for it."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, OPEN_FOLDERS)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def write_feed(lines: DataFrame, path: str, by: str | None = None) -> int:
-    """Write lines as text files, in subdirectories ``by`` a column, and tell their bytes."""
-    written = Observation()
-    size = F.sum(F.octet_length("value").cast("bigint") + 1).alias("bytes")
-    writer = lines.observe(written, size).write.mode("error")
-    (writer.partitionBy(by) if by else writer).text(path)
-    return written.get["bytes"] or 0
+    """Write lines as compressed text files, in subdirectories ``by`` a column, and tell their bytes."""
+    spark = lines.sparkSession
+    writer = lines.write.mode("error").option("compression", "lz4").option("maxRecordsPerFile", FILE_LINES)
+    with _side_by_side(spark):
+        (writer.partitionBy(by) if by else writer).text(path)
+    return stored_bytes(spark, path)

@@ -20,6 +20,12 @@ def children(spark: SparkSession, path: str) -> Iterator[tuple[str, int]]:
             yield status.getPath().getName(), status.getModificationTime()
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files in a directory and below it."""
+    system, where = _hadoop(spark, path)
+    return system.getContentSummary(where).getLength()
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     """Remove a directory with all it holds; whether there was one."""
     system, where = _hadoop(spark, path)
