@@ -102,6 +102,40 @@ def test_types_are_found_in_one_scan(spark, tmp_path):
     assert plans[0].count("partial_bool_and") or plans[0].count("partial_min")
 
 
+def test_two_numbers_a_column_are_folded(spark, lines_of):
+    """No value is looked at by more than a number for each chain of types."""
+    texts, plans = lines_of("1", None, "x"), []
+    agg = type(texts).agg
+
+    class Watched:
+        columns = texts.columns
+
+        def agg(self, *least):
+            plans.extend(least)
+            return agg(texts, *least)
+
+    assert inferred.inferred_types(Watched()) == texts.schema and len(plans) == 2
+
+
+ODD = ["+", "-", ".", "-.", "1.", "+.5", "1..", "--1", "1-", "1e", "1E-05", "1e999999999999", "Inf", "-NaN", "+Infinity", "0x1F", "1_0", "1 ",
+       "1\n", "\t1", "9223372036854775807", "-9223372036854775808", "-9223372036854775809", "9" * 30, "-73.9", "9999-99-99", "0000-01-01",
+       "2016-01-01 ", "2016-01-01 25:00:00", "2016-01-01 01:02:03.1234567", "2016-01-01 01:02:03+01:00", "12345-01-01", "\u0663"]
+
+
+def test_odd_values_one_by_one(spark):
+    """Beginnings and lengths that are looked at first give what pattern and cast give."""
+
+    def holds(kind, looks):
+        return F.col("v").rlike(looks) & F.col("v").try_cast(kind).isNotNull()
+
+    time = f"{inferred.DATE_TEXT}|{inferred.TIME_TEXT}"
+    number = F.when(holds("bigint", inferred.WHOLE_TEXT), 2).when(holds("double", inferred.NUMBER_TEXT), 1).otherwise(0)
+    stamp = F.when(holds("date", inferred.DATE_TEXT), 2).when(holds("timestamp", time), 1).otherwise(0)
+    rows = spark.createDataFrame([(v,) for v in [*VALUES, *ODD]], "v string")
+    found = rows.select("v", inferred._number(F.col("v")), number, inferred._time(F.col("v")), stamp).collect()
+    assert [r for r in found if r[1] != r[2] or r[3] != r[4]] == []
+
+
 VALUES = ["1", "-2", "007", "1.5", "1e3", "NaN", "2016-01-01", "2016-02-30", "2016-01-01 01:02:03", "x", "", " 1",
           "1d", "9223372036854775808", "Infinity", "+3", ".", "2016-01-01T01:02:03Z", "true"]
 
