@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triprollup.schemas import GROUP_KEYS, TRIP_COLUMNS
@@ -61,27 +61,19 @@ def damaged_lines(good: DataFrame) -> DataFrame:
     for the distance, 7 a passenger count beyond 32 bits.
     """
 
-    def line(**changed: str) -> Column:
-        fields = (changed.get(name, f"cast({name} as string)") for name in TRIP_COLUMNS)
-        return F.expr(f"concat_ws(',', {', '.join(fields)})")
-
-    kind, vendor = F.col("payment_type"), F.col("vendor_id")
-    first_fields = ", ".join(f"cast({name} as string)" for name in TRIP_COLUMNS[:-1])
-    return good.select(
-        F.when(
-            kind == "1",
-            F.when(vendor == "A", line(total_amount="'NaN'"))
-            .when(vendor == "R", line(total_amount="'nan'"))
-            .otherwise(line()),
-        )
-        .when(kind == "2", F.expr(f"concat_ws(',', {first_fields})"))
-        .when(kind == "3", line(total_amount="''"))
-        .when(kind == "4", F.concat(line(), F.lit(",,")))
-        .when(kind == "5", line(passenger_count="concat(passenger_count, '.0')"))
-        .when(kind == "6", line(trip_distance="'x'"))
-        .otherwise(line(passenger_count="'2147483648'"))
-        .alias("value")
-    )
+    # A line is put together once, of fields that know their damage: nulls are left out of it.
+    changed = {
+        "passenger_count": "case when payment_type in ('1', '2', '3', '4', '6') then cast(passenger_count as string) "
+        "when payment_type = '5' then concat(passenger_count, '.0') else '2147483648' end",
+        "trip_distance": "if(payment_type = '6', 'x', cast(trip_distance as string))",
+        "total_amount": "case when payment_type = '1' and vendor_id = 'A' then 'NaN' "
+        "when payment_type = '1' and vendor_id = 'R' then 'nan' when payment_type = '2' then null "
+        "when payment_type = '3' then '' else cast(total_amount as string) end",
+    }
+    fields = (changed.get(name, f"cast({name} as string)") for name in TRIP_COLUMNS)
+    line = F.expr(f"concat_ws(',', {', '.join(fields)})")
+    end = F.when(F.col("payment_type") == "4", ",,").otherwise("")
+    return good.select(F.concat(line, end).alias("value"))
 
 
 def damaged_documents(good: DataFrame) -> DataFrame:
