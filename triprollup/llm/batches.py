@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,3 +59,21 @@ def gathered(
             size += more
     if held:
         yield pa.concat_batches(held)
+
+
+def _release() -> None:
+    """Give what is freed back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What a task gives, without memory that others freed before it or that it freed itself.
+
+    Python workers wait for other stages when a task ends, and several are there for one core.
+    """
+    _release()
+    yield from batches
+    _release()

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from triprollup.llm.batches import hashes_of, slices, split
+from triprollup.llm.batches import hashes_of, released, slices, split
 from triprollup.llm.components import connected
 from triprollup.llm.tables import ceil_div, stored
 
@@ -189,7 +189,7 @@ def _signed_rows(docs: DataFrame, trees: int, depth: int) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("bigint"), "text").filter("doc_id is not null")
-    signed = rows.mapInArrow(sign, "doc_id bigint, set bigint, path binary, sketch binary")
+    signed = rows.mapInArrow(lambda batches: released(sign(batches)), "doc_id bigint, set bigint, path binary, sketch binary")
     return signed.withColumn("row", F.monotonically_increasing_id())
 
 
@@ -220,7 +220,7 @@ def _prefixes(sets: DataFrame, depths: np.ndarray, most: int) -> DataFrame:
                 names=["set", "key", "branch"],
             )
 
-    return sets.select("set", "path").mapInArrow(cut, "set bigint, key bigint, branch binary")
+    return sets.select("set", "path").mapInArrow(lambda batches: released(cut(batches)), "set bigint, key bigint, branch binary")
 
 
 class _Forest:
@@ -366,7 +366,7 @@ def _candidates(
             yield edges(pa.Table.from_batches(held))
 
     rows = rows.select("bucket", "set", "branch", "sketch", "rest")
-    return rows.mapInArrow(connect, "a bigint, b bigint").distinct()
+    return rows.mapInArrow(lambda batches: released(connect(batches)), "a bigint, b bigint").distinct()
 
 
 def _verified(

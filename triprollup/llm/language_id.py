@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
-from triprollup.llm.batches import slices
+from triprollup.llm.batches import released, slices
 from triprollup.llm.tables import crc_of_id
 from triprollup.llm.tokens import chunks
 
@@ -104,7 +104,7 @@ class Tagger:
         scores -= np.log(np.exp(scores).sum(axis=2, keepdims=True))
         return scores
 
-    def predict(self, texts: list[bytes], part: int = 1 << 20) -> list[tuple[int, float]]:
+    def predict(self, texts: list[bytes], part: int = 1 << 18) -> list[tuple[int, float]]:
         """Language number and mean probability at a position, for texts that are not empty."""
         out: list[tuple[int, float]] = []
         for first, last in chunks([len(t) for t in texts], part):
@@ -293,4 +293,4 @@ def identify(docs: DataFrame, model: Tagger | None, keep: list[str] | None = Non
             )
 
     schema = StructType([rows.schema["row"]]).add("lang_pred", StringType()).add("score", DoubleType())
-    return rows.mapInArrow(label, schema).select("row.*", "lang_pred", "score")
+    return rows.mapInArrow(lambda batches: released(label(batches)), schema).select("row.*", "lang_pred", "score")

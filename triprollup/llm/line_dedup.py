@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triprollup.llm.batches import slices
+from triprollup.llm.batches import released, slices
 from triprollup.llm.cuckoo import CuckooFilter
 from triprollup.llm.tables import ceil_div, stored
 
@@ -247,7 +247,7 @@ def clean(docs: DataFrame, store: LineStore) -> DataFrame:
     row = rows.schema["row"].dataType.simpleString()
     schema = f"row {row}, text string, n_lines bigint, n_dropped bigint"
     columns = [F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in names]
-    return rows.mapInArrow(strip, schema).select(*columns, "n_lines", "n_dropped")
+    return rows.mapInArrow(lambda batches: released(strip(batches)), schema).select(*columns, "n_lines", "n_dropped")
 
 
 def dedup_lines(

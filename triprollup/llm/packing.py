@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from triprollup.llm.batches import released
 from triprollup.llm.tables import ceil_div, stored
 from triprollup.llm.tokens import encoded, tokenizer_path
 
@@ -95,7 +96,7 @@ def pieces_of(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text")).mapInArrow(cut, PIECES)
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text")).mapInArrow(lambda batches: released(cut(batches)), PIECES)
 
 
 def _packed(pieces: DataFrame, round_: int, capacity: int, open_bins: int, last: bool) -> DataFrame:

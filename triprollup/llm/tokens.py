@@ -25,6 +25,8 @@ PUNCTUATION = ".,|!#$%&*+-/:;=?@\\^_`~()[]{}\"<>"
 SPECIAL = "<|"
 #: Words that a worker keeps from batch to batch, at most.
 KEPT_WORDS = 200_000
+#: Bytes of text encoded at a time; less repeats in fewer, more takes memory.
+PART = 4_000_000
 
 
 def tokenizer_path() -> str:
@@ -129,7 +131,7 @@ def encoded(batch: pa.RecordBatch, path: str) -> Iterator[tuple[int | None, np.n
     """doc_id and ids of each row of a batch of doc_id and text."""
     doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
-    for first, last in chunks(sizes):
+    for first, last in chunks(sizes, PART):
         ids, bounds = tokenizer_at(path).encode(texts.slice(first, last - first))
         for n, doc_id in enumerate(doc_ids[first:last]):
             yield doc_id, ids[bounds[n] : bounds[n + 1]]
