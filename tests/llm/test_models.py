@@ -498,6 +498,81 @@ def test_scores_without_training_documents(corpus):
     assert (alone["n_tokens"], alone["n_known"], alone["train_tokens"]) == (3, 0, 0)
 
 
+def test_texts_are_split_once(spark, corpus, prose, monkeypatch):
+    """Splitting cost as much as scoring: later steps go by the numbers of words."""
+    texts, real = spark.sparkContext.accumulator(0), lm_scoring.split
+
+    def counted(column):
+        texts.add(len(column))
+        return real(column)
+
+    monkeypatch.setattr(lm_scoring, "split", counted)
+    docs = corpus([(i, prose(30, i)) for i in range(50)])
+    assert len(lm_scoring.score_documents(docs).collect()) == 50
+    assert texts.value == 50
+
+
+def test_a_block_tells_each_word_once(spark, corpus, monkeypatch):
+    """Though its rows come in several batches, and a text that is too long is alone."""
+    monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", 100)
+    rows = [(1, "b a B"), (2, None), (3, "a c"), (8, "c " * 99), (4, "a\u00e9"), (None, " d  a ")]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        found = lm_scoring.blocks(lm_scoring.placed(corpus(rows).coalesce(1))).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    words = [(r["block"], r["word"]) for r in found if r["numbers"] is None]
+    assert len(set(words)) == len(words)
+    texts = dict(rows)
+    by_hash = dict(zip(hashes_of([w.encode() for w in "a b c d aé".split()]).tolist(), "a b c d aé".split()))
+    told = [r for r in found if r["numbers"] is not None]
+    assert len(told) == len(rows)
+    for r in told:
+        own = sorted(w for b, w in words if b == r["block"])
+        numbers = lm_scoring.unpacked(r["numbers"], lm_scoring.bytes_of(len(own)))
+        assert [by_hash[own[k]] for k in numbers] == (texts[r["doc_id"]] or "").lower().split()
+    (alone,) = {r["block"] for r in told if r["doc_id"] == 8}
+    assert sum(r["block"] == alone for r in told) == 1
+
+
+def test_numbers_in_few_bytes():
+    for most in (1, 2, 256, 257, 65_536, 65_537, 2**24 + 1):
+        width, numbers = lm_scoring.bytes_of(most), np.array([0, most - 1, most // 2])
+        assert 256 ** (width - 1) < most <= 256**width or most == width == 1
+        data = lm_scoring.packed(numbers, width).tobytes()
+        assert lm_scoring.unpacked(data, width).tolist() == numbers.tolist()
+    assert len(lm_scoring.unpacked(b"", 1)) == 0
+
+
+def test_rows_of_a_type_are_added():
+    rng = np.random.default_rng(5)
+    for most, n in ((1, 700), (40, 700), (5000, 700), (3, 1)):
+        types, values = rng.integers(most, size=n), rng.standard_normal((n, 3)).astype(np.float32)
+        whole = np.zeros((most, 3))
+        np.add.at(whole, types, values)
+        found, sums = recurrent._row_sums(values, types)
+        assert found.tolist() == sorted(set(types.tolist()))
+        assert np.allclose(sums, whole[found], atol=1e-4)
+
+
+def test_weights_too_large_for_exp():
+    """Beyond SAFE logits are shifted; without that their exps are infinite."""
+    model = recurrent.GatedLM.new(3, 4, 2, 6, np.random.default_rng(3))
+    model.classes *= 3000
+    model.within *= 3000
+    states = np.random.default_rng(4).uniform(-1, 1, (9, 6)).astype(np.float32)
+    aims = np.arange(9)
+    found = model.log_probs(states, aims)
+    for i, t in enumerate(aims):
+        logits = states[i].astype(float) @ model.classes
+        inside = model.within[t // 4].astype(float) @ states[i]
+        by_hand = logits[t // 4] - np.logaddexp.reduce(logits) + inside[t % 4] - np.logaddexp.reduce(inside)
+        assert found[i] == pytest.approx(by_hand, rel=1e-4, abs=1e-3)
+    fed = np.zeros((3, 3), int)
+    (_, g_rows), gradients, _ = model.learn(fed, aims.reshape(3, 3), np.zeros((3, 6), np.float32))
+    assert all(np.isfinite(g).all() for g in (g_rows, *gradients))
+
+
 def test_model_is_a_distribution_and_carries_state():
     rng = np.random.default_rng(1)
     model = recurrent.GatedLM.new(3, 4, 2, 6, rng)

@@ -13,9 +13,10 @@ mean of the weights of all shares, by tokens, is what the next round begins with
 rounds and shares there are, how many words are types and how many ranges there are follows the
 input.
 
-Of a document each different word of its block is sent once, and the types of its words once
-more in its round. The counts come back by block, so that a task holds the counts of its own
-words only.
+Texts are split into words once. A block is some documents that one task has read, and its
+words are numbered; documents are kept as these numbers. Each different word of a block is sent
+once, and its count over all blocks comes back to the block, so that a task holds the counts of
+its own words only. The types of words are sent once more in their round.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from triprollup.llm import recurrent
@@ -35,8 +36,8 @@ from triprollup.llm.tables import ceil_div, crc_of_id, stored
 from triprollup.sources.scratch import scratch_path
 
 FOLDS, HELD_OUT = 7, 2
-#: Rows of a file that make a block.
-BLOCK_ROWS = 4096
+#: Bytes of texts that make a block, about; a longer text is a block of its own.
+BLOCK_BYTES = 10_000_000
 #: Classes of frequent words, and words of each, at least and at most (types have 16 bits).
 LEAST_HEADS, MOST_HEADS = 32, 250
 #: The first round has about so many tokens, and one task that reads them so many times.
@@ -54,7 +55,10 @@ DEALT_SHARES = 4096
 #: Rates of learning: at first, at the end of the first round, and in the last round.
 RATES = (0.01, 0.003, 0.0005)
 
-COUNTS = "block bigint, word bigint, n bigint"
+BLOCKS = (
+    "block bigint, word bigint, n bigint, "
+    "doc_id bigint, held_out boolean, learned boolean, numbers binary"
+)
 CODED = (
     "doc_id bigint, held_out boolean, learned boolean, n_tokens bigint, n_known bigint, "
     "base_score double, share double, types binary"
@@ -67,52 +71,83 @@ SCORES = (
 )
 
 
-def blocked(docs: DataFrame) -> DataFrame:
-    """doc_id, text, held_out, learned and block; a block is a stretch of rows of one file.
+def placed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, held_out, learned and place, a hash of the file and the row's number in it.
 
-    So it is the same whichever task reads it. A frame that isn't read from files is written
-    to the shared folder first.
+    So it is the same whichever task reads the row. A frame that isn't read from files is
+    written to the shared folder first.
     """
     try:
         rows = docs.select("doc_id", "text", "_metadata.file_path", "_metadata.row_index")
     except AnalysisException:
-        return blocked(stored(docs.select("doc_id", "text"), "documents"))
+        return placed(stored(docs.select("doc_id", "text"), "documents"))
     remainder = crc_of_id() % FOLDS
-    nth = F.floor(F.col("row_index") / BLOCK_ROWS)
     return rows.select(
         F.col("doc_id").cast("bigint"),
         "text",
         F.coalesce(remainder == HELD_OUT, F.lit(False)).alias("held_out"),
         F.coalesce(remainder != HELD_OUT, F.lit(False)).alias("learned"),
-        F.xxhash64("file_path", nth).alias("block"),
+        F.xxhash64("file_path", "row_index").alias("place"),
     )
 
 
-def block_words(rows: DataFrame) -> DataFrame:
-    """Each different word of a block, and how often its training documents have it."""
+def bytes_of(words: int) -> int:
+    """How many bytes tell so many words apart."""
+    return max((words - 1).bit_length() + 7, 8) // 8
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            blocks = batch.column("block").to_numpy()
+
+def packed(numbers: np.ndarray, width: int) -> np.ndarray:
+    """Each number in so many bytes, a row each."""
+    return numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+
+
+def unpacked(data: bytes, width: int) -> np.ndarray:
+    whole = np.zeros((len(data) // width, 8), np.uint8)
+    whole[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
+    return whole.reshape(-1).view("<i8")
+
+
+def blocks(rows: DataFrame) -> DataFrame:
+    """Each different word of a block, and how often its training documents have it.
+
+    And in rows of their own all documents, by the numbers of their words: their places among
+    those of the block in order. A block is called by the place of its first row.
+    """
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["block", "word", "n", "doc_id", "held_out", "learned", "numbers"]
+        for batch in gathered(batches, "text", BLOCK_BYTES):
+            found, texts, bounds = split(batch.column("text"))
+            seen = np.zeros(len(texts), bool)
+            seen[found] = True
+            rank = np.zeros(len(texts), np.int64)
+            words, rank[seen] = np.unique(hashes_of(texts)[seen], return_inverse=True)
+            numbers = rank[found]
             learned = batch.column("learned").to_numpy(zero_copy_only=False)
-            cuts = np.flatnonzero(np.diff(blocks)) + 1
-            for first, last in zip([0, *cuts], [*cuts, len(blocks)]):
-                if first == last:
-                    continue
-                number, words, bounds = split(batch.column("text").slice(first, last - first))
-                weight = np.repeat(learned[first:last], np.diff(bounds)).astype(float)
-                n = np.bincount(number, weight, minlength=len(words)).astype(np.int64)
-                seen = np.bincount(number, minlength=len(words)) > 0
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(int(seen.sum()), blocks[first])),
-                        pa.array(hashes_of(words)[seen]),
-                        pa.array(n[seen]),
-                    ],
-                    names=["block", "word", "n"],
-                )
-
-    return rows.select("block", "learned", "text").mapInArrow(count, COUNTS)
+            weight = np.repeat(learned, np.diff(bounds)).astype(float)
+            n = np.bincount(numbers, weight, minlength=len(words)).astype(np.int64)
+            own = packed(numbers, bytes_of(len(words)))
+            block = batch.column("place")[0].as_py()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(words), block)),
+                    pa.array(words),
+                    pa.array(n),
+                    *(pa.nulls(len(words), t) for t in (pa.int64(), pa.bool_(), pa.bool_(), pa.binary())),
+                ],
+                names=names,
+            )
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(batch), block)),
+                    *(pa.nulls(len(batch), pa.int64()) for _ in range(2)),
+                    *(batch.column(c) for c in ("doc_id", "held_out", "learned")),
+                    pa.array([own[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary()),
+                ],
+                names=names,
+            )
+
+    return rows.select("place", "doc_id", "held_out", "learned", "text").mapInArrow(number, BLOCKS)
 
 
 class Vocabulary:
@@ -176,9 +211,15 @@ class Vocabulary:
         return np.log10((counts + 1) / (self.tokens + self.types + 1))
 
 
-def word_counts(words: DataFrame) -> DataFrame:
-    """word and n over all blocks, of words that training documents have."""
-    return words.groupBy("word").agg(F.sum("n").alias("n")).filter("n > 0")
+def totals(words: DataFrame) -> DataFrame:
+    """n of each word of each block over all blocks, and `once`, which one row of a word has."""
+    same = Window.partitionBy("word")
+    return words.select(
+        "block",
+        "word",
+        F.sum("n").over(same).alias("n"),
+        (F.col("block") == F.min("block").over(same)).alias("once"),
+    )
 
 
 def sequences(batch: pa.RecordBatch) -> list[np.ndarray]:
@@ -303,27 +344,23 @@ def score_documents(docs: DataFrame) -> DataFrame:
     columns are not read. Without training documents the model is untrained and every word
     unknown. An empty table gives no rows.
     """
-    rows = blocked(docs)
-    words = stored(block_words(rows), "block-words")
-    counts = stored(word_counts(words), "word-counts")
-    vocabulary = Vocabulary(counts, rows.filter("learned").count())
-    # A word that is in all blocks has a row for each; adaptive execution may split them.
-    known = words.select("block", "word").join(counts, "word")
+    found = stored(blocks(placed(docs)), "blocks")
+    numbered = found.filter("numbers IS NOT NULL").drop("word", "n")
+    counts = stored(totals(found.filter("numbers IS NULL")), "word-counts")
+    # Of words that training documents have.
+    known = counts.filter("once AND n > 0").select("word", "n")
+    vocabulary = Vocabulary(known, numbered.filter("learned").count())
     ends = np.log10((vocabulary.ends + 1) / (vocabulary.tokens + vocabulary.types + 1))
 
-    def code(texts: pa.Table, known: pa.Table) -> pa.Table:
-        texts = texts.combine_chunks()
-        column = texts.column("text")
-        number, distinct, bounds = split(
-            column.chunk(0) if column.num_chunks else pa.array([], pa.string())
-        )
-        hashes = hashes_of(distinct)
-        word, n = (known.column(c).to_numpy() for c in ("word", "n"))
+    def code(texts: pa.Table, words: pa.Table) -> pa.Table:
+        word, c = (words.column(name).to_numpy() for name in ("word", "n"))
         order = np.argsort(word)
-        word, n = word[order], n[order]
-        at = np.minimum(np.searchsorted(word, hashes), max(len(word) - 1, 0))
-        c = np.where(word[at] == hashes, n[at], 0) if len(word) else np.zeros(len(hashes), int)
-        types, share = vocabulary.types_of(hashes, c)
+        word, c = word[order], c[order]
+        width = bytes_of(len(word))
+        numbers = texts.column("numbers").to_pylist()
+        number = unpacked(b"".join(numbers), width)
+        bounds = np.cumsum([0, *map(len, numbers)]) // width
+        types, share = vocabulary.types_of(word, c)
         owner = np.repeat(np.arange(texts.num_rows), np.diff(bounds))
 
         def summed(values: np.ndarray) -> np.ndarray:
@@ -345,9 +382,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
         )
 
     coded = (
-        rows.select("block", "doc_id", "held_out", "learned", "text")
-        .groupBy("block")
-        .cogroup(known.groupBy("block"))
+        numbered.groupBy("block")
+        .cogroup(counts.select("block", "word", "n").groupBy("block"))
         .applyInArrow(code, CODED)
     )
     rounds = rounds_of(vocabulary.tokens)

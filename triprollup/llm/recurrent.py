@@ -9,6 +9,7 @@ the state, but no gradient, carried from one to the next.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +19,11 @@ END = 0
 
 F32 = np.float32
 #: Tokens whose softmax is computed at a time, so that it stays in the processor's cache.
-BLOCK = 4096
+BLOCK = 2048
+#: Logits of at most so much, up or down, are not shifted: sums of their exps fit in 32 bits.
+SAFE = 60
+#: Rows of one type that are added at once.
+FEW = 16
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -30,14 +35,63 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _limit(weights: np.ndarray) -> float:
+    """What no logit exceeds, up or down: states and the one for the bias are from -1 to 1."""
+    return float(np.abs(weights).sum(axis=-1).max(initial=0))
+
+
+def _exps(logits: np.ndarray) -> np.ndarray:
+    """Sums of the exps of each column; logits become exps in place."""
+    np.exp(logits, out=logits)
+    return logits.sum(axis=0)
+
+
 def _chosen(logits: np.ndarray, aims: np.ndarray) -> np.ndarray:
-    """Log-probability of one of the rows for each column; logits become probabilities in place."""
-    logits -= logits.max(axis=0)
+    """Log-probability of one of the rows for each column; logits are overwritten."""
     found = logits[aims, np.arange(len(aims))]
-    np.exp(logits, out=logits)
-    total = logits.sum(axis=0)
-    logits *= F32(1) / total
-    return found - np.log(total)
+    return found - np.log(_exps(logits))
+
+
+def _off(logits: np.ndarray, aims: np.ndarray, scale: np.floating) -> None:
+    """Logits become their gradients in place: how far probabilities are off, by `scale`."""
+    logits *= scale / _exps(logits)
+    logits[aims, np.arange(len(aims))] -= scale
+
+
+def _order(types: np.ndarray) -> np.ndarray:
+    """Places by type or class; those have 16 bits, which sort fast."""
+    return np.argsort(types.astype(np.uint16), kind="stable")
+
+
+def _row_sums(values: np.ndarray, types: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct types, and the sum of the rows of each.
+
+    Stretches of up to FEW rows of one type are added at once, one row of each at a time; then
+    their sums in the same way, until each type has one.
+    """
+    place = _order(types)
+    kinds = types[place]
+    first = np.flatnonzero(np.diff(kinds, prepend=-1))
+    distinct = kinds[first]
+    while True:
+        sizes = np.diff(first, append=len(place))
+        parts = -(-sizes // FEW)
+        owner, starts = np.repeat(np.arange(len(first)), parts), np.cumsum(parts) - parts
+        done = FEW * (np.arange(len(owner)) - starts[owner])
+        size = np.minimum(sizes[owner] - done, FEW)
+        # Longest first, so that those with a row left are in front.
+        by = np.argsort((FEW - size).astype(np.uint16), kind="stable")
+        begin = (first[owner] + done)[by]
+        left = len(by) - np.cumsum(np.bincount(size, minlength=FEW + 1))
+        total = values.take(place[begin], axis=0)
+        for j in range(1, FEW):
+            m = left[j]
+            total[:m] += values.take(place[begin[:m] + j], axis=0)
+        values = np.empty_like(total)
+        values[by] = total
+        if len(owner) == len(first):
+            return distinct, values
+        place, first = np.arange(len(values)), starts
 
 
 @dataclass
@@ -81,51 +135,66 @@ class GatedLM:
         return np.where(types < head, types // self.members, self.heads + types - head)
 
     def step(self, fed: np.ndarray, h: np.ndarray, zr: np.ndarray, c: np.ndarray) -> np.ndarray:
-        """The next state; gates go to zr and the candidate to c, for backpropagation."""
+        """The next state; gates go to zr and the candidate to c, for backpropagation.
+
+        All update gates come first in zr, then all reset gates: rows that lie together are fast.
+        """
         size = self.hidden
         a = self.rows.take(fed, axis=0)
-        np.matmul(h, self.gates, out=zr)
-        zr += a[:, : 2 * size]
+        z, r = zr.reshape(2, *h.shape)
+        np.matmul(h, self.gates[:, :size], out=z)
+        np.matmul(h, self.gates[:, size:], out=r)
+        z += a[:, :size]
+        r += a[:, size : 2 * size]
         _sigmoid(zr)
-        np.matmul(zr[:, size:] * h, self.candidate, out=c)
+        np.matmul(r * h, self.candidate, out=c)
         c += a[:, 2 * size :]
         np.tanh(c, out=c)
         after = c - h
-        after *= zr[:, :size]
+        after *= z
         after += h
         return after
 
-    def _heads_in(self, kinds: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-        """Places by class, and for each head class that occurs its stretch of them."""
-        order = np.argsort(kinds, kind="stable")
-        bounds = np.searchsorted(kinds[order], np.arange(self.heads + 1)).tolist()
-        return order, [(k, a, b) for k, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b]
-
-    def _inside(self, some: np.ndarray, owner: np.ndarray, stretches) -> np.ndarray:
-        """Logits of the members of each token's class, a column for each token."""
-        found = np.empty((self.members, len(some)), F32)
-        for k, first, last in stretches:
-            np.matmul(self.within[k], some[first:last].T, out=found[:, first:last])
-        found += self.within_bias.take(owner, axis=0).T
-        return found
+    def _outputs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Weights of classes and of members, with their biases as the last column."""
+        classes = np.concatenate([self.classes.T, self.class_bias[:, None]], axis=1)
+        return classes, np.concatenate([self.within, self.within_bias[:, :, None]], axis=2)
+
+    def _softmaxes(self, states: np.ndarray, targets: np.ndarray, outputs) -> Iterator[tuple]:
+        """Places of some tokens in order of their classes, so that those of a class are a stretch.
+
+        And their states, with a one for the bias; logits of classes, a column for each, and the
+        class that is meant; stretches of head classes; logits within these, and the member.
+        """
+        classes, within = outputs
+        shifted, shifted_within = (not _limit(w) <= SAFE for w in outputs)
+        kinds = self.class_of(targets)
+        order = _order(kinds)
+        for first in range(0, len(order), BLOCK):
+            part = order[first : first + BLOCK]
+            own = kinds[part]
+            some = np.ones((len(part), self.hidden + 1), states.dtype)
+            some[:, :-1] = states.take(part, axis=0)
+            logits = classes @ some.T
+            if shifted:
+                logits -= logits.max(axis=0)
+            bounds = np.searchsorted(own, np.arange(self.heads + 1)).tolist()
+            stretches = [(k, a, b) for k, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b]
+            inside = np.empty((self.members, bounds[-1]), logits.dtype)
+            for k, a, b in stretches:
+                np.matmul(within[k], some[a:b].T, out=inside[:, a:b])
+            if shifted_within and stretches:
+                inside -= inside.max(axis=0)
+            member = targets[part[: bounds[-1]]] - own[: bounds[-1]] * self.members
+            yield part, some, logits, own, stretches, inside, member
 
     def log_probs(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log-probability of each target type given the state before it."""
-        kinds = self.class_of(targets)
         found = np.empty(len(targets))
-        for first in range(0, len(targets), BLOCK):
-            part = slice(first, first + BLOCK)
-            logits = self.classes.T @ states[part].T
-            logits += self.class_bias[:, None]
-            found[part] = _chosen(logits, kinds[part])
-        order, _ = self._heads_in(kinds)
-        order = order[: int((kinds < self.heads).sum())]
-        for first in range(0, len(order), BLOCK):
-            some = order[first : first + BLOCK]
-            own = kinds[some]
-            _, stretches = self._heads_in(own)
-            inside = self._inside(states.take(some, axis=0), own, stretches)
-            found[some] += _chosen(inside, targets[some] - own * self.members)
+        for part, _, logits, own, _, inside, member in self._softmaxes(states, targets, self._outputs()):
+            logs = _chosen(logits, own)
+            logs[: len(member)] += _chosen(inside, member)
+            found[part] = logs
         return found
 
     def score(self, documents: list[np.ndarray], window: int = 64, width: int = 1024) -> np.ndarray:
@@ -173,43 +242,30 @@ class GatedLM:
         """
         steps, width = fed.shape
         size, count = self.hidden, steps * width
-        goes_on = (fed != END).astype(F32)[:, :, None]
+        at, which = np.nonzero(fed == END)
+        ended = np.split(which, np.searchsorted(at, np.arange(1, steps)))
         before, states, c = (np.empty((steps, width, size), F32) for _ in range(3))
         zr = np.empty((steps, width, 2 * size), F32)
         for t in range(steps):
-            np.multiply(h, goes_on[t], out=before[t])
+            before[t] = h
+            if len(ended[t]):
+                before[t, ended[t]] = 0
             states[t] = h = self.step(fed[t], before[t], zr[t], c[t])
-        flat, aim = states.reshape(count, size), targets.reshape(count)
-        kinds = self.class_of(aim)
-        scale = F32(1 / count)
-        probs = self.classes.T @ flat.T
-        probs += self.class_bias[:, None]
-        _chosen(probs, kinds)
-        probs[kinds, np.arange(count)] -= 1
-        probs *= scale
-        g_classes, g_bias = (probs @ flat).T, probs.sum(axis=1)
-        d_flat = probs.T @ self.classes.T
-        g_within, g_within_bias = np.zeros_like(self.within), np.zeros_like(self.within_bias)
-        order, stretches = self._heads_in(kinds)
-        if stretches:
-            # One softmax for all head classes: a column for each token, in order of classes.
-            order = order[: stretches[-1][2]]
-            some, owner = flat.take(order, axis=0), kinds[order]
-            inside = self._inside(some, owner, stretches)
-            which = aim[order] - owner * self.members
-            _chosen(inside, which)
-            inside[which, np.arange(len(order))] -= 1
-            inside *= scale
-            d_some = np.empty_like(some)
+        outputs = self._outputs()
+        g_classes, g_within = map(np.zeros_like, outputs)
+        d_flat, scale = np.empty((count, size), F32), F32(1 / count)
+        tokens = states.reshape(count, size), targets.reshape(count)
+        for part, some, probs, own, stretches, inside, member in self._softmaxes(*tokens, outputs):
+            _off(probs, own, scale)
+            g_classes += probs @ some
+            d_some = probs.T @ self.classes.T
+            _off(inside, member, scale)
             for k, first, last in stretches:
-                part = inside[:, first:last]
-                np.matmul(part, some[first:last], out=g_within[k])
-                np.matmul(part.T, self.within[k], out=d_some[first:last])
-            heads, firsts, _ = map(list, zip(*stretches))
-            g_within_bias[heads] = np.add.reduceat(inside, firsts, axis=1).T
-            d_flat[order] += d_some
+                g_within[k] += inside[:, first:last] @ some[first:last]
+                d_some[first:last] += inside[:, first:last].T @ self.within[k]
+            d_flat[part] = d_some
         # In place: gates become the factors that carry a gradient to them.
-        z, r = zr[:, :, :size], zr[:, :, size:]
+        z, r = zr.reshape(steps, 2, width, size).swapaxes(0, 1)
         reset = r * before
         stays = 1 - z
         into_c = z * (1 - c * c)
@@ -233,15 +289,14 @@ class GatedLM:
             into *= r[t]
             dh += into
             dh += now[:, : 2 * size] @ back_gates
-            dh *= goes_on[t]
+            if len(ended[t]):
+                dh[ended[t]] = 0
         d_rows = d_rows.reshape(count, 3 * size)
         g_gates = before.reshape(count, size).T @ d_rows[:, : 2 * size]
         g_candidate = reset.reshape(count, size).T @ d_rows[:, 2 * size :]
-        place = np.argsort(fed, axis=None, kind="stable")
-        sorted_fed = fed.reshape(count)[place]
-        first = np.flatnonzero(np.diff(sorted_fed, prepend=-1))
-        g_rows = sorted_fed[first], np.add.reduceat(d_rows.take(place, axis=0), first, axis=0)
-        gradients = [g_gates, g_candidate, g_classes, g_bias, g_within, g_within_bias]
+        g_rows = _row_sums(d_rows, fed.reshape(count))
+        gradients = [g_gates, g_candidate, g_classes[:, :-1].T, g_classes[:, -1]]
+        gradients += [g_within[:, :, :-1], g_within[:, :, -1]]
         return g_rows, gradients, h
 
     def flat(self) -> np.ndarray:
